@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import skew_safe_join
-from tidemark.session import stage
+from tidemark.session import row_count, stage
 
 CHECK_MULTI_CURRENT = "multiple_current"
 CHECK_NO_CURRENT = "no_current"
@@ -89,8 +89,10 @@ def _inverted_pair_counts(dim: DataFrame, business_key: str) -> DataFrame:
     """Per key: Z, the pairs involving a row with ``valid_to <= valid_from``."""
     bk = business_key
     rows = dim.select(F.col(bk).alias("_k"), F.col("valid_from").alias("_f"), F.col("valid_to").alias("_t"))
-    bad = rows.where(F.col("_t") <= F.col("_f")).select(
-        F.col("_k").alias("_bk"), F.col("_f").alias("_bf"), F.col("_t").alias("_bt"))
+    bad = stage(rows.where(F.col("_t") <= F.col("_f")).select(
+        F.col("_k").alias("_bk"), F.col("_f").alias("_bf"), F.col("_t").alias("_bt")), "inverted")
+    if row_count(bad) == 0:  # a healthy history: nothing to pair
+        return dim.sparkSession.createDataFrame([], f"_k {dim.schema[bk].dataType.simpleString()}, _z decimal(38,0)")
     # (a in bad, b any): b.to <= a.from and a.to <= b.from
     first = skew_safe_join(rows, bad, ["_k"], ["_bk"], "inner",
                            residual=lambda: (F.col("_t") <= F.col("_bf")) & (F.col("_bt") <= F.col("_f")))
@@ -127,20 +129,21 @@ def validate_history(dim: DataFrame, business_key: str, num_partitions: int | No
     multiple_current and no_current count keys, overlapping_pairs counts
     ordered pairs, inverted_windows counts rows.
     """
-    spark = dim.sparkSession
-    multi = history_multi_current(dim, business_key).agg(F.count(F.lit(1)).alias("n"))
-    none = history_no_current(dim, business_key).agg(F.count(F.lit(1)).alias("n"))
+    # Current-version checks and inverted rows: one grouped pass.
+    per_key = dim.groupBy(business_key).agg(
+        F.count_if(F.col("is_current")).alias("_cur"),
+        F.count_if(F.col("valid_to") <= F.col("valid_from")).alias("_inv"))
+    simple = per_key.agg(
+        F.count_if(F.col("_cur") > 1).cast("long").alias(CHECK_MULTI_CURRENT),
+        F.count_if(F.col("_cur") == 0).cast("long").alias(CHECK_NO_CURRENT),
+        F.coalesce(F.sum("_inv"), F.lit(0)).cast("long").alias(CHECK_INVERTED))
     overl = history_overlaps(dim, business_key, num_partitions).agg(
-        F.coalesce(F.sum("overlapping_pairs"), F.lit(0)).cast("long").alias("n"))
-    inv = history_inverted(dim).agg(F.count(F.lit(1)).alias("n"))
-    parts = [multi.select(F.lit(CHECK_MULTI_CURRENT).alias("check"), F.col("n").cast("long").alias("n")),
-             none.select(F.lit(CHECK_NO_CURRENT).alias("check"), F.col("n").cast("long").alias("n")),
-             overl.select(F.lit(CHECK_OVERLAPS).alias("check"), F.col("n").cast("long").alias("n")),
-             inv.select(F.lit(CHECK_INVERTED).alias("check"), F.col("n").cast("long").alias("n"))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        F.coalesce(F.sum("overlapping_pairs"), F.lit(0)).cast("long").alias(CHECK_OVERLAPS))
+    stacked = [F.struct(F.lit(c).alias("check"), F.col(c).alias("n"))
+               for c in (CHECK_MULTI_CURRENT, CHECK_NO_CURRENT, CHECK_INVERTED)]
+    simple_rows = simple.select(F.explode(F.array(*stacked)).alias("r")).select("r.check", "r.n")
+    return simple_rows.unionByName(overl.select(F.lit(CHECK_OVERLAPS).alias("check"),
+                                                F.col(CHECK_OVERLAPS).alias("n")))
 
 
 def history_problems(dim: DataFrame, business_key: str) -> list[str]:

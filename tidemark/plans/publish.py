@@ -18,6 +18,7 @@ retried run (idempotent) produces the same result.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,7 +112,8 @@ class Warehouse:
          .write.mode("errorifexists").partitionBy(MONTH_COL).parquet(path))
         # Which months came out non-empty: a directory listing via partition
         # discovery, bounded by the number of months.
-        present = [r[0] for r in self.spark.read.parquet(path).select(MONTH_COL).distinct().collect()]
+        files = self.spark.read.parquet(path).inputFiles()
+        present = sorted({int(m) for m in re.findall(rf"{MONTH_COL}=(\d+)", " ".join(files))})
         return {str(m): f"{path}/{MONTH_COL}={m}" for m in present}
 
     def commit(self, base: Manifest, changes: dict[str, dict[str, str] | tuple[dict[str, str], set[str]]],

@@ -186,3 +186,47 @@ def snapshot(spark: SparkSession, sf_dir: str, version: int, base_lines: DataFra
         product=src_product(spark, sf_dir, version),
         order_line=src_order_line(spark, sf_dir, version, base_lines),
     )
+
+
+# --- Planted history defects (so that validation is not trivially empty) ---
+# Every 50th customer gets a second current row, every 51st
+# loses its current flag, every 53rd gets an overlapping closed row, every 59th
+# an inverted row. Planted rows get SKs offset by 10, 20 and 30 million.
+DEFECT_SECOND_CURRENT_MOD = 50
+DEFECT_NO_CURRENT_MOD = 51
+DEFECT_OVERLAP_MOD = 53
+DEFECT_INVERTED_MOD = 59
+DEFECT_SK_OFFSETS = (10_000_000, 20_000_000, 30_000_000)
+DEFECT_OVERLAP_WINDOW = ("1950-01-01 00:00:00", "2000-01-01 00:00:00")
+DEFECT_INVERTED_WINDOW = ("2001-06-01 00:00:00", "2001-01-01 00:00:00")
+
+
+def planted_defects(dim: DataFrame) -> DataFrame:
+    """The dimension with the four kinds of defect planted on real customers."""
+    num = F.substring(F.col("customer_id"), len(CUSTOMER_PREFIX) + 1, 64).cast("long")
+    real = dim.where(F.col("customer_id") != schemas.UNKNOWN_BK)
+    cols = dim.columns
+    base = dim.select(*[
+        F.when((F.col("customer_id") != schemas.UNKNOWN_BK) & (num % DEFECT_NO_CURRENT_MOD == 0), F.lit(False))
+        .otherwise(F.col(c)).alias(c) if c == "is_current" else F.col(c) for c in cols])
+
+    def planted(where, sk_offset, window, current):
+        rows = real.where(F.col("is_current") & where)
+        out = []
+        for c in cols:
+            if c == "sk":
+                out.append((F.col("sk") + F.lit(sk_offset)).alias("sk"))
+            elif c == "valid_from" and window:
+                out.append(_ts(window[0]).alias(c))
+            elif c == "valid_to" and window:
+                out.append(_ts(window[1]).alias(c))
+            elif c == "is_current":
+                out.append(F.lit(current).alias(c))
+            else:
+                out.append(F.col(c))
+        return rows.select(*out)
+
+    second = planted(num % DEFECT_SECOND_CURRENT_MOD == 0, DEFECT_SK_OFFSETS[0], None, True)
+    overlap = planted(num % DEFECT_OVERLAP_MOD == 0, DEFECT_SK_OFFSETS[1], DEFECT_OVERLAP_WINDOW, False)
+    inverted = planted(num % DEFECT_INVERTED_MOD == 0, DEFECT_SK_OFFSETS[2], DEFECT_INVERTED_WINDOW, False)
+    return base.unionByName(second).unionByName(overlap).unionByName(inverted)
