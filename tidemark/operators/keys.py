@@ -16,7 +16,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import stage
+from tidemark.session import known_rows, range_partitions, stage
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -33,7 +33,10 @@ def assign_dense_keys(df: DataFrame, order: Sequence[str | Column], base: int |
     The order must be total (unique) for the numbering to be deterministic.
     """
     spark = df.sparkSession
-    n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Partition count follows the number of rows to number (known when the
+    # input was staged): one partition needs no sampling job, a large input
+    # spreads over many.
+    n = num_partitions or range_partitions(known_rows(df), spark)
     cols = _order_columns(order)
     numbered = (df.repartitionByRange(n, *cols)
                 .sortWithinPartitions(*cols)

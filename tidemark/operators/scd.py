@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.expressions import as_at_condition, ts_literal
 from tidemark.operators.keys import assign_dense_keys
-from tidemark.session import fits_broadcast, maybe_broadcast, stage
+from tidemark.session import BROADCAST_MAX_ROWS, fits_broadcast, observed, range_partitions, stage
 
 NEW, CHANGED, UNCHANGED, NO_CURRENT = "new", "changed", "unchanged", "no_current"
 
@@ -155,14 +155,23 @@ def classify_type1(target: DataFrame, staging: DataFrame, business_key: str,
                           F.col("_n_target").cast("long").alias("n_target"))
 
 
+def _action_metrics(business_key: str) -> list:
+    return [*[F.count_if(F.col("action") == a).alias(a) for a in (NEW, CHANGED, UNCHANGED, NO_CURRENT)],
+            F.count_if(F.col("n_staged") > 1).alias("duplicate_keys"),
+            F.count_if(F.col(business_key).isNull()).alias("null_keys")]
+
+
 def action_counts(classified: DataFrame, business_key: str) -> dict:
-    """Counts per action plus key-integrity counts, in one small aggregate."""
-    row = classified.agg(
-        *[F.count_if(F.col("action") == a).alias(a) for a in (NEW, CHANGED, UNCHANGED, NO_CURRENT)],
-        F.count_if(F.col("n_staged") > 1).alias("duplicate_keys"),
-        F.count_if(F.col(business_key).isNull()).alias("null_keys"),
-    ).collect()[0]
-    return row.asDict()
+    """Counts per action plus key-integrity counts (observed while staging the
+    classification, else one small aggregate)."""
+    seen = observed(classified)
+    if seen:
+        return seen
+    return classified.agg(*_action_metrics(business_key)).collect()[0].asDict()
+
+
+def _stage_classified(df: DataFrame, business_key: str, name: str) -> DataFrame:
+    return stage(df, name, _action_metrics(business_key))
 
 
 def _check_keys(counts: dict, business_key: str) -> None:
@@ -184,24 +193,31 @@ def load_type_2(dim: DataFrame, staging: DataFrame, business_key: str, attribute
     after ``coalesce(max(sk), 0)``.
     """
     bk = business_key
-    classified = stage(classify_type2(dim, staging, bk, attributes))
+    classified = _stage_classified(classify_type2(dim, staging, bk, attributes), bk, "classified_type2")
     counts = action_counts(classified, bk)
     _check_keys(counts, bk)
     stats = LoadStats(inserted=counts[NEW], versioned=counts[CHANGED],
                       unchanged=counts[UNCHANGED], no_current=counts[NO_CURRENT])
 
-    base = dim.agg(F.coalesce(F.max(surrogate_key), F.lit(0)).cast("long").alias("b")).collect()[0]["b"]
+    end = ts_literal(schemas.END_OF_TIME)
+    n_open = counts[NEW] + counts[CHANGED]
     to_open = classified.where(F.col("action").isin(NEW, CHANGED)).withColumn(
         "_action_order", F.when(F.col("action") == NEW, F.lit(0)).otherwise(F.lit(1)))
-    keyed = assign_dense_keys(to_open, ["_action_order", bk], base, surrogate_key, num_partitions)
-    end = ts_literal(schemas.END_OF_TIME)
+    if n_open:
+        base = dim.agg(F.coalesce(F.max(surrogate_key), F.lit(0)).cast("long").alias("b")).collect()[0]["b"]
+        keyed = assign_dense_keys(to_open, ["_action_order", bk], base, surrogate_key,
+                                  num_partitions or range_partitions(n_open, dim.sparkSession))
+    else:
+        keyed = to_open.withColumn(surrogate_key, F.lit(None).cast("long"))
     opened = keyed.select(
         F.col(surrogate_key), F.col(bk), *[F.col(a) for a in attributes],
         F.when(F.col("action") == NEW, ts_literal(initial_from)).otherwise(ts_literal(effective_at)).alias("valid_from"),
         end.alias("valid_to"), F.lit(True).alias("is_current"))
 
     changed_keys = classified.where(F.col("action") == CHANGED).select(F.col(bk), F.lit(True).alias("_chg"))
-    marked = dim.join(maybe_broadcast(changed_keys), bk, "left")
+    # The changed-key count is known, so the broadcast check costs no job.
+    small = counts[CHANGED] <= BROADCAST_MAX_ROWS
+    marked = dim.join(F.broadcast(changed_keys) if small else changed_keys, bk, "left")
     closing = F.col("is_current") & F.coalesce(F.col("_chg"), F.lit(False))
     dim_cols = dim.columns
     kept_and_closed = marked.select(*[
@@ -223,7 +239,7 @@ def load_type_1(target: DataFrame, staging: DataFrame, business_key: str, attrib
     ``unchanged`` is left at 0 and ``updated`` counts overwritten keys.
     """
     bk = business_key
-    classified = stage(classify_type1(target, staging, bk, attributes))
+    classified = _stage_classified(classify_type1(target, staging, bk, attributes), bk, "classified_type1")
     counts = action_counts(classified, bk)
     _check_keys(counts, bk)
     stats = LoadStats(inserted=counts[NEW], updated=counts[CHANGED])
@@ -231,7 +247,7 @@ def load_type_1(target: DataFrame, staging: DataFrame, business_key: str, attrib
     stamp = ts_literal(loaded_at)
     changes = classified.where(F.col("action") == CHANGED).select(
         F.col(bk), *[F.col(a).alias(f"_s_{a}") for a in attributes], F.lit(True).alias("_chg"))
-    marked = target.join(maybe_broadcast(changes), bk, "left")
+    marked = target.join(F.broadcast(changes) if counts[CHANGED] <= BROADCAST_MAX_ROWS else changes, bk, "left")
     hit = F.coalesce(F.col("_chg"), F.lit(False))
     cols = []
     for c in target.columns:

@@ -75,26 +75,56 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _ROWS_ATTR = "_tidemark_rows"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", metrics: list | None = None) -> DataFrame:
     """Materialise a DataFrame reliably (read once, use many; P3).
 
     The rows are written as Parquet to a fresh directory under the shared
     checkpoint folder and read back, in one job: a lost executor cannot force
     a re-read of a source that has moved on, lineage is cut, and later reads
     get column pruning and pushed filters. The row count is observed during
-    the same write, so size checks on staged data cost no extra job.
+    the same write, so size checks on staged data cost no extra job; further
+    aggregate ``metrics`` (named Columns) are observed the same way and read
+    back with ``observed(staged)``.
     """
     from pyspark.sql import Observation
 
     spark = df.sparkSession
     path = scratch_path(spark, name)
     obs = Observation(f"tidemark_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("_n"), *(metrics or [])).write.mode("errorifexists").parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
-    setattr(staged, _ROWS_ATTR, int(obs.get["n"]))
+    values = dict(obs.get)
+    setattr(staged, _ROWS_ATTR, int(values.pop("_n")))
+    setattr(staged, _METRICS_ATTR, values)
     return staged
 
 
+_METRICS_ATTR = "_tidemark_metrics"
+
+
+def observed(df: DataFrame) -> dict:
+    """Metrics observed while ``df`` was staged."""
+    return dict(getattr(df, _METRICS_ATTR, {}))
+
+
+def known_rows(df: DataFrame) -> int | None:
+    """The row count of a staged DataFrame, if it is known without a job."""
+    return getattr(df, _ROWS_ATTR, None)
+
+
+# Rows per range partition when a sort is split by range: enough work per task
+# to amortise its overhead, small enough to sort in memory.
+ROWS_PER_RANGE_PARTITION = 1_000_000
+
+
+def range_partitions(rows: int | None, spark: SparkSession) -> int:
+    """Partitions for a range-partitioned sort of ``rows`` rows (known count),
+    or the session's shuffle partitions when the count is unknown."""
+    if rows is None:
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(1, -(-rows // ROWS_PER_RANGE_PARTITION))
+
+
 def row_count(df: DataFrame) -> int:
     known = getattr(df, _ROWS_ATTR, None)
     if known is not None:
