@@ -25,10 +25,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import skew_safe_join
+from tidemark.operators.keys import partition_offsets
 from tidemark.session import row_count, stage
 
 CHECK_MULTI_CURRENT = "multiple_current"
@@ -59,29 +60,52 @@ def history_inverted(dim: DataFrame) -> DataFrame:
     return dim.where(F.col("valid_to") <= F.col("valid_from"))
 
 
-def _event_rank_sums(dim: DataFrame, business_key: str, num_partitions: int | None) -> DataFrame:
-    """Per key: sum of end positions minus sum of start positions (X - W)."""
+def _ranged_events(dim: DataFrame, business_key: str, num_partitions: int | None) -> DataFrame:
+    """Start and end events sorted by (key, time, end before start), range
+    partitioned so a hot key spans several partitions; ``_mid`` carries the
+    partition id (high bits) and the position within it (low 33 bits)."""
     spark = dim.sparkSession
     n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bk = business_key
-    events = dim.select(F.col(bk).alias("_k"), F.explode(F.array(
+    events = dim.select(F.col(business_key).alias("_k"), F.explode(F.array(
         F.struct(F.col("valid_from").alias("t"), F.lit(1).alias("kind"), F.lit(-1).alias("sign")),
         F.struct(F.col("valid_to").alias("t"), F.lit(0).alias("kind"), F.lit(1).alias("sign")),
     )).alias("e")).select("_k", "e.t", "e.kind", "e.sign")
     order = [F.col("_k").asc_nulls_last(), F.col("t").asc_nulls_last(), F.col("kind")]
-    ranged = (events.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    return (events.repartitionByRange(n, *order).sortWithinPartitions(*order)
+            .withColumn("_mid", F.monotonically_increasing_id()))
+
+
+def _rank_sum_total(dim: DataFrame, business_key: str, num_partitions: int | None) -> int:
+    """X - W over all keys, from one aggregate with one row per partition.
+
+    With g = offset(p) + pos for an event at position pos of partition p,
+    sum(sign * g) = sum_p offset(p) * S_p + I_p, where S_p is the sum of signs
+    and I_p the sum of sign * pos in p; the key's first position cancels
+    because each key has as many ends as starts.
+    """
+    per = _ranged_events(dim, business_key, num_partitions).groupBy(
+        F.shiftright("_mid", 33).alias("_pid")).agg(
+        F.count(F.lit(1)).alias("c"), F.sum("sign").alias("s"),
+        F.sum(F.col("sign") * F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))).cast(_BIG).alias("i"))
+    total, offset = 0, 0
+    for r in sorted(per.collect(), key=lambda r: r["_pid"]):  # one row per partition
+        total += offset * int(r["s"]) + int(r["i"])
+        offset += int(r["c"])
+    return total
+
+
+def _event_rank_sums(dim: DataFrame, business_key: str, num_partitions: int | None) -> DataFrame:
+    """Per key: sum of end positions minus sum of start positions (X - W)."""
+    ranged = _ranged_events(dim, business_key, num_partitions)
     # Ties (same key, time and kind) share a sign, so their relative order does
     # not change any sum below.
     per_part = stage(ranged.groupBy(F.shiftright("_mid", 33).alias("_pid"), "_k").agg(
         F.sum(F.col("sign") * F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))).cast(_BIG).alias("_sp"),
         F.sum("sign").cast(_BIG).alias("_ss"),
         F.count(F.lit(1)).alias("_c")))
-    counts = per_part.groupBy("_pid").agg(F.sum("_c").alias("_c"))
-    offsets = counts.withColumn("_off", F.coalesce(
-        F.sum("_c").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select("_pid", F.col("_off").cast(_BIG).alias("_off"))
-    return (per_part.join(F.broadcast(offsets), "_pid")
+    offsets = partition_offsets(per_part, "_pid", F.col("_c")).select(
+        "_pid", F.col("_offset").cast(_BIG).alias("_off"))
+    return (per_part.join(offsets, "_pid")
             .groupBy("_k").agg(F.sum(F.col("_sp") + F.col("_off") * F.col("_ss")).alias("_xw")))
 
 
@@ -104,6 +128,17 @@ def _inverted_pair_counts(dim: DataFrame, business_key: str) -> DataFrame:
     return both.groupBy("_k").agg(F.count(F.lit(1)).cast(_BIG).alias("_z"))
 
 
+def history_overlap_total(dim: DataFrame, business_key: str, num_partitions: int | None = None) -> int:
+    """The number of ordered overlapping pairs over the whole dimension."""
+    counts = dim.agg(F.count_if(F.col("valid_to") > F.col("valid_from")).alias("v"),
+                     F.count_if(F.col("valid_to") <= F.col("valid_from")).alias("bad")).collect()[0]
+    total = _rank_sum_total(dim, business_key, num_partitions) - int(counts["v"])
+    if counts["bad"]:
+        z = _inverted_pair_counts(dim, business_key).agg(F.sum("_z").alias("z")).collect()[0]["z"]
+        total += int(z or 0)
+    return total
+
+
 def history_overlaps(dim: DataFrame, business_key: str, num_partitions: int | None = None) -> DataFrame:
     """Keys with overlapping validity windows: (key, overlapping_pairs).
 
@@ -129,21 +164,19 @@ def validate_history(dim: DataFrame, business_key: str, num_partitions: int | No
     multiple_current and no_current count keys, overlapping_pairs counts
     ordered pairs, inverted_windows counts rows.
     """
-    # Current-version checks and inverted rows: one grouped pass.
+    # Current-version checks and inverted rows: one grouped pass (partial
+    # aggregation per key), then one row to the driver.
     per_key = dim.groupBy(business_key).agg(
         F.count_if(F.col("is_current")).alias("_cur"),
         F.count_if(F.col("valid_to") <= F.col("valid_from")).alias("_inv"))
     simple = per_key.agg(
         F.count_if(F.col("_cur") > 1).cast("long").alias(CHECK_MULTI_CURRENT),
         F.count_if(F.col("_cur") == 0).cast("long").alias(CHECK_NO_CURRENT),
-        F.coalesce(F.sum("_inv"), F.lit(0)).cast("long").alias(CHECK_INVERTED))
-    overl = history_overlaps(dim, business_key, num_partitions).agg(
-        F.coalesce(F.sum("overlapping_pairs"), F.lit(0)).cast("long").alias(CHECK_OVERLAPS))
-    stacked = [F.struct(F.lit(c).alias("check"), F.col(c).alias("n"))
-               for c in (CHECK_MULTI_CURRENT, CHECK_NO_CURRENT, CHECK_INVERTED)]
-    simple_rows = simple.select(F.explode(F.array(*stacked)).alias("r")).select("r.check", "r.n")
-    return simple_rows.unionByName(overl.select(F.lit(CHECK_OVERLAPS).alias("check"),
-                                                F.col(CHECK_OVERLAPS).alias("n")))
+        F.coalesce(F.sum("_inv"), F.lit(0)).cast("long").alias(CHECK_INVERTED)).collect()[0]
+    overlaps = history_overlap_total(dim, business_key, num_partitions)
+    rows = [(CHECK_MULTI_CURRENT, simple[CHECK_MULTI_CURRENT]), (CHECK_NO_CURRENT, simple[CHECK_NO_CURRENT]),
+            (CHECK_OVERLAPS, overlaps), (CHECK_INVERTED, simple[CHECK_INVERTED])]
+    return dim.sparkSession.createDataFrame(rows, "check string, n bigint")
 
 
 def history_problems(dim: DataFrame, business_key: str) -> list[str]:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import known_rows, range_partitions, stage
@@ -26,6 +26,20 @@ def _order_columns(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
 
 
+def partition_offsets(df: DataFrame, pid_col: str, weight: Column | None = None) -> DataFrame:
+    """``(pid, _offset)``: the number (or total weight) of rows in all earlier
+    partitions. The per-partition counts are one row per partition, so they
+    are collected and cumulated on the driver and come back as a broadcast
+    table of the same bounded size."""
+    w = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = sorted((r[0], int(r[1] or 0)) for r in df.groupBy(pid_col).agg(w.alias("_c")).collect())
+    rows, running = [], 0
+    for pid, c in counts:
+        rows.append((pid, running))
+        running += c
+    return F.broadcast(df.sparkSession.createDataFrame(rows, f"{pid_col} bigint, _offset bigint"))
+
+
 def assign_dense_keys(df: DataFrame, order: Sequence[str | Column], base: int | Column,
                       out_col: str = "sk", num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col = base + 1, base + 2, ...`` in the order given.
@@ -44,15 +58,8 @@ def assign_dense_keys(df: DataFrame, order: Sequence[str | Column], base: int |
     numbered = stage(numbered)
     numbered = numbered.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
-    # One row per partition: a single-partition window here is bounded by the
-    # partition count, not by the data.
-    per_part = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = per_part.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)),
-    ).select("_pid", "_offset")
+    offsets = partition_offsets(numbered, "_pid")
     base_col = base if isinstance(base, Column) else F.lit(int(base))
-    return (numbered.join(F.broadcast(offsets), "_pid")
+    return (numbered.join(offsets, "_pid")
             .withColumn(out_col, (base_col + F.col("_offset") + F.col("_pos") + F.lit(1)).cast("long"))
             .drop("_mid", "_pid", "_pos", "_offset"))

@@ -21,11 +21,12 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.session import path_exists, with_known_rows
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
@@ -62,18 +63,18 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.rows_written: dict[str, int] = {}
 
     # -- manifest ------------------------------------------------------------
     def _manifest_dir(self) -> str:
         return f"{self.root}/_manifest"
 
     def manifest(self) -> Manifest:
-        try:
-            rows = self.spark.read.schema(
-                T.StructType(MANIFEST_SCHEMA.fields + [T.StructField("seq", T.IntegerType())])
-            ).parquet(self._manifest_dir())
-        except Exception:  # no manifest yet: an empty warehouse
-            return Manifest(seq=0)
+        if not path_exists(self.spark, self._manifest_dir()):
+            return Manifest(seq=0)  # an empty warehouse
+        rows = self.spark.read.schema(
+            T.StructType(MANIFEST_SCHEMA.fields + [T.StructField("seq", T.IntegerType())])
+        ).parquet(self._manifest_dir())
         top = rows.agg(F.max("seq").alias("s")).collect()[0]["s"]
         if top is None:
             return Manifest(seq=0)
@@ -95,9 +96,18 @@ class Warehouse:
     # -- writes --------------------------------------------------------------
     def write_snapshot(self, table: str, df: DataFrame, run_id: str) -> dict[str, str]:
         path = f"{self.root}/{table}/{run_id}"
-        df.select(*TABLE_SCHEMAS[table].fieldNames()).write.mode("errorifexists").parquet(path)
+        obs = Observation(f"rows_{table}_{run_id}".replace("-", "_"))
+        (df.select(*TABLE_SCHEMAS[table].fieldNames()).observe(obs, F.count(F.lit(1)).alias("n"))
+         .write.mode("errorifexists").parquet(path))
+        self.rows_written[path] = int(obs.get["n"])
         return {"": path}
 
+    def read_path(self, table: str, path: str) -> DataFrame:
+        """Read back a part just written; its row count is known without a job."""
+        df = self.spark.read.schema(TABLE_SCHEMAS[table]).parquet(path)
+        n = self.rows_written.get(path)
+        return with_known_rows(df, n) if n is not None else df
+
     def write_fact_months(self, df: DataFrame, months: list[int], run_id: str) -> dict[str, str]:
         """Write the given months' rows, partitioned by month; returns the
         parts written (a month with no rows is absent)."""

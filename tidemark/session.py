@@ -107,6 +107,19 @@ def observed(df: DataFrame) -> dict:
     return dict(getattr(df, _METRICS_ATTR, {}))
 
 
+def with_known_rows(df: DataFrame, rows: int) -> DataFrame:
+    """Mark ``df`` as having ``rows`` rows (counted while it was written)."""
+    setattr(df, _ROWS_ATTR, int(rows))
+    return df
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or directory exists, on any Hadoop-supported store."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def known_rows(df: DataFrame) -> int | None:
     """The row count of a staged DataFrame, if it is known without a job."""
     return getattr(df, _ROWS_ATTR, None)
