@@ -93,6 +93,8 @@ def test_skew_safe_join_equals_a_plain_join(spark, monkeypatch, how):
         return (F.col("t") >= F.col("lo")) & (F.col("t") < F.col("hi"))
 
     plain = left.join(right, (F.col("k") == F.col("rk")) & res(), how)
+    hot = joins.hot_keys(left, ["k"])
+    assert hot is not None and [r[0] for r in hot.collect()] == ["hot"]
     # broadcast_rows=0 forces the split path; 1 forces salting of the hot part
     for bound in (0, 1):
         split = joins.skew_safe_join(left, right, ["k"], ["rk"], how, residual=res, broadcast_rows=bound)

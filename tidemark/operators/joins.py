@@ -15,7 +15,7 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import BROADCAST_MAX_ROWS, fits_broadcast, row_count, stage
+from tidemark.session import broadcast_bound, fits_broadcast, row_count, stage
 
 # A key is hot when it holds at least this share of the rows (and at least
 # HOT_MIN_ROWS rows). At most ~2 / HOT_SHARE keys can qualify, which bounds the
@@ -26,13 +26,16 @@ SAMPLE_ROWS = 1_000_000
 SALT_BUCKETS = 64
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE,
-             min_rows: int = HOT_MIN_ROWS, sample_rows: int = SAMPLE_ROWS) -> DataFrame | None:
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float | None = None,
+             min_rows: int | None = None, sample_rows: int | None = None) -> DataFrame | None:
     """Keys of ``df`` holding at least ``max(min_rows, share * n)`` rows, or None.
 
     Found on a sample of about ``sample_rows`` rows; the result has at most
     about ``2 / share`` rows (a proven bound, so it may be broadcast).
     """
+    share = HOT_SHARE if share is None else share
+    min_rows = HOT_MIN_ROWS if min_rows is None else min_rows
+    sample_rows = SAMPLE_ROWS if sample_rows is None else sample_rows
     n = row_count(df)
     threshold = max(float(min_rows), share * n)
     if n < threshold:
@@ -57,7 +60,7 @@ def _equi(left_keys: Sequence[str], right_keys: Sequence[str]) -> Column:
 def skew_safe_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                    right_keys: Sequence[str], how: str = "inner",
                    residual: Callable[[], Column] | None = None,
-                   broadcast_rows: int = BROADCAST_MAX_ROWS,
+                   broadcast_rows: int | None = None,
                    detect_hot: bool = True) -> DataFrame:
     """Equi join (plus an optional residual predicate) of a large ``left`` with
     a ``right`` that has few rows per key.
@@ -66,6 +69,9 @@ def skew_safe_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     keys); ``residual`` builds its predicate from ``F.col`` names.
     ``how`` is one of inner, left, left_semi, left_anti.
     """
+    if broadcast_rows is None:
+        broadcast_rows = broadcast_bound()
+
     def cond() -> Column:
         c = _equi(left_keys, right_keys)
         return c if residual is None else c & residual()
@@ -80,9 +86,10 @@ def skew_safe_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
 
     hot_l = F.broadcast(hot)
     hot_r = F.broadcast(hot.toDF(*right_keys))
-    left_hot = left.join(hot_l, list(left_keys), "left_semi")
-    left_cold = left.join(hot_l, list(left_keys), "left_anti")
-    right_hot = right.join(hot_r, list(right_keys), "left_semi")
+    # (USING-style joins put the key first; restore each side's column order.)
+    left_hot = left.join(hot_l, list(left_keys), "left_semi").select(*left.columns)
+    left_cold = left.join(hot_l, list(left_keys), "left_anti").select(*left.columns)
+    right_hot = right.join(hot_r, list(right_keys), "left_semi").select(*right.columns)
     cold = left_cold.join(right, cond(), how)
 
     if fits_broadcast(right_hot, broadcast_rows):
@@ -94,7 +101,7 @@ def skew_safe_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
         salted_left = left_hot.withColumn(
             "_salt_l", F.pmod(F.xxhash64(*left.columns), F.lit(SALT_BUCKETS)))
         salted_right = right_hot.withColumn(
-            "_salt_r", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))).cast("long"))
+            "_salt_r", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT_BUCKETS - 1).cast("long"))))
 
         def salted_cond() -> Column:
             return cond() & (F.col("_salt_l") == F.col("_salt_r"))

@@ -145,16 +145,22 @@ def row_count(df: DataFrame) -> int:
     return int(df.select(F.count(F.lit(1)).alias("n")).collect()[0]["n"])
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     A distributed count (partial counts per task, one row per task to the
     driver); a ``limit`` would funnel rows through a single partition.
     """
-    return row_count(df) <= max_rows
+    bound = broadcast_bound() if max_rows is None else max_rows
+    return row_count(df) <= bound
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_bound() -> int:
+    """The row bound for broadcasts (``BROADCAST_MAX_ROWS``, read at call time)."""
+    return BROADCAST_MAX_ROWS
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only behind a checked row bound; else leave it to the
     planner (sort-merge with AQE skew handling)."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
