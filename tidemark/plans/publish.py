@@ -5,10 +5,14 @@ read destroys it. So every load writes *new* part directories and then commits
 a manifest naming, for every table, the part directories that make up its
 current version:
 
-* a dimension or control table is one part (a full snapshot);
+* a dimension is hash-bucketed on its business key (``pmod(xxhash64(key), B)``,
+  B fixed per warehouse and recorded in the manifest); a load reads and
+  rewrites only the buckets its staged keys fall in, since every version of a
+  key lives in the key's bucket;
 * the fact is partitioned by order month; a load rewrites only the months it
   touches (months of the staged rows and months where their keys sat before),
-  and a month left empty simply drops out of the manifest.
+  and a month left empty simply drops out of the manifest;
+* the date dimension and the control tables are one part (a full snapshot).
 
 A manifest is written with Spark to ``<root>/_manifest/seq=<n>``; the highest
 ``seq`` whose write committed is current. Until the manifest is committed no
@@ -21,7 +25,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,12 +49,22 @@ TABLE_SCHEMAS = {
 }
 
 MONTH_COL = "_order_month"
+BUCKET_COL = "_bucket"
+DEFAULT_DIM_BUCKETS = 16
+# Business key of each bucketed dimension.
+BUCKETED = {"dim_customer": "customer_id", "dim_product": "product_id"}
+CONFIG_TABLE = "_config"
 
 
 def order_month(df: DataFrame) -> DataFrame:
     return df.withColumn(MONTH_COL, (F.col("order_date_key") / 100).cast("int"))
 
 
+def bucket_of(key: Column, buckets: int) -> Column:
+    """The dimension bucket of a business key (stable across runs)."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 @dataclass
 class Manifest:
     seq: int
@@ -60,10 +74,17 @@ class Manifest:
 class Warehouse:
     """A warehouse rooted at a shared directory (HDFS, object store, or local in tests)."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, dim_buckets: int = DEFAULT_DIM_BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
         self.rows_written: dict[str, int] = {}
+        self._requested_buckets = dim_buckets
+
+    def dim_buckets(self, manifest: Manifest) -> int:
+        """Buckets per dimension: as recorded by the first commit, else the
+        number this Warehouse was opened with."""
+        recorded = manifest.parts.get(CONFIG_TABLE, {}).get("dim_buckets")
+        return int(recorded) if recorded else self._requested_buckets
 
     # -- manifest ------------------------------------------------------------
     def _manifest_dir(self) -> str:
@@ -108,29 +129,44 @@ class Warehouse:
         n = self.rows_written.get(path)
         return with_known_rows(df, n) if n is not None else df
 
+    def write_parts(self, table: str, df: DataFrame, part: Column, part_col: str, key: str,
+                    run_id: str) -> dict[str, str]:
+        """Write ``df`` split into part directories by ``part``; returns the
+        parts written (a part with no rows is absent). Range partitioning on
+        (part, key) spreads a part holding a large share of rows over tasks."""
+        path = f"{self.root}/{table}/{run_id}"
+        cols = TABLE_SCHEMAS[table].fieldNames()
+        obs = Observation(f"rows_{table}_{run_id}_parts".replace("-", "_"))
+        (df.select(*cols, part.alias(part_col))
+         .observe(obs, F.count(F.lit(1)).alias("n"))
+         .repartitionByRange(F.col(part_col), F.col(key))
+         .write.mode("errorifexists").partitionBy(part_col).parquet(path))
+        if not int(obs.get["n"]):
+            return {}
+        # Which parts came out non-empty: a directory listing, bounded by the
+        # number of parts (months or buckets), not by data.
+        files = self.spark.read.parquet(path).inputFiles()
+        present = sorted({int(m) for m in re.findall(rf"{part_col}=(\d+)", " ".join(files))})
+        return {str(m): f"{path}/{part_col}={m}" for m in present}
+
     def write_fact_months(self, df: DataFrame, months: list[int], run_id: str) -> dict[str, str]:
-        """Write the given months' rows, partitioned by month; returns the
-        parts written (a month with no rows is absent)."""
-        path = f"{self.root}/fact_order_line/{run_id}"
+        """Write the given months' fact rows, one part per order month."""
         if not months:
             return {}
-        cols = TABLE_SCHEMAS["fact_order_line"].fieldNames()
-        # Range on (month, key): a month holding a large share of the rows is
-        # split over several tasks instead of landing in one.
-        (order_month(df).select(*cols, MONTH_COL)
-         .repartitionByRange(F.col(MONTH_COL), F.col("order_line_id"))
-         .write.mode("errorifexists").partitionBy(MONTH_COL).parquet(path))
-        # Which months came out non-empty: a directory listing via partition
-        # discovery, bounded by the number of months.
-        files = self.spark.read.parquet(path).inputFiles()
-        present = sorted({int(m) for m in re.findall(rf"{MONTH_COL}=(\d+)", " ".join(files))})
-        return {str(m): f"{path}/{MONTH_COL}={m}" for m in present}
+        return self.write_parts("fact_order_line", df, (F.col("order_date_key") / 100).cast("int"),
+                                MONTH_COL, "order_line_id", run_id)
+
+    def write_dim_buckets(self, table: str, df: DataFrame, buckets: int, run_id: str) -> dict[str, str]:
+        """Write a bucketed dimension's rows, one part per bucket."""
+        key = BUCKETED[table]
+        return self.write_parts(table, df, bucket_of(F.col(key), buckets), BUCKET_COL, key, run_id)
 
     def commit(self, base: Manifest, changes: dict[str, dict[str, str] | tuple[dict[str, str], set[str]]],
                run_id: str) -> Manifest:
         """Commit a new manifest: ``changes[table]`` is either a full set of
         parts, or ``(new_parts, replaced_parts)`` for a partial rewrite."""
         parts = {t: dict(p) for t, p in base.parts.items()}
+        parts.setdefault(CONFIG_TABLE, {"dim_buckets": str(self.dim_buckets(base))})
         for table, change in changes.items():
             if isinstance(change, tuple):
                 new_parts, replaced = change
