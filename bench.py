@@ -76,6 +76,7 @@ def main() -> None:
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "rows": {"fact_order_line": facts_rows, "load2_read": r2.facts_read,
                  "load1_read": r1.facts_read},
+        "load_phases": {"load1": r1.timings, "load2": r2.timings},
     }))
     spark.stop()
 

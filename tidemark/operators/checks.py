@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import skew_safe_join
 from tidemark.operators.keys import partition_offsets
-from tidemark.session import row_count, stage
+from tidemark.session import range_partitions, row_count, stage
 
 CHECK_MULTI_CURRENT = "multiple_current"
 CHECK_NO_CURRENT = "no_current"
@@ -65,7 +65,8 @@ def _ranged_events(dim: DataFrame, business_key: str, num_partitions: int | None
     partitioned so a hot key spans several partitions; ``_mid`` carries the
     partition id (high bits) and the position within it (low 33 bits)."""
     spark = dim.sparkSession
-    n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Two events per row; the range partition count follows the row count.
+    n = num_partitions or range_partitions(2 * row_count(dim), spark)
     events = dim.select(F.col(business_key).alias("_k"), F.explode(F.array(
         F.struct(F.col("valid_from").alias("t"), F.lit(1).alias("kind"), F.lit(-1).alias("sign")),
         F.struct(F.col("valid_to").alias("t"), F.lit(0).alias("kind"), F.lit(1).alias("sign")),
