@@ -202,3 +202,14 @@ def test_dense_key_plan_has_no_single_partition_window(spark):
     out = keys.assign_dense_keys(df, ["k"], 0, "sk", num_partitions=4)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_overlapping_versions_fan_out_the_as_at_join_and_are_caught(spark):
+    dim = spark.createDataFrame([
+        (1, "C1", "n", "s", "c", datetime(1900, 1, 1), END_OF_TIME, True),
+        (2, "C1", "n", "t", "c", datetime(2000, 1, 1), END_OF_TIME, True)], DIM_SCHEMA)
+    lines = spark.createDataFrame(
+        [("L1", "O1", datetime(2001, 1, 1), "C1", "P1", 1, Decimal("1.0000"), Decimal("0.0000"), datetime(2001, 1, 1))],
+        schemas.SRC_ORDER_LINE)
+    staged = facts.stage_facts(lines, dim)
+    assert staged.count() == 2 and facts.duplicate_keys(staged) == 1
