@@ -82,7 +82,7 @@ def duplicate_keys(df: DataFrame, key: str = "order_line_id") -> int:
 def restated_count(staged_facts: DataFrame, fact: DataFrame, key: str = "order_line_id") -> int:
     """Staged facts whose key is already in the fact table (rows to restate)."""
     keys = staged_facts.select(key)
-    hit = fact.select(key).join(F.broadcast(keys), key, "left_semi") if fits_broadcast(keys) \
+    hit = fact.select(key).join(F.broadcast(keys), key, "left_semi") if fits_broadcast(staged_facts) \
         else keys.join(fact.select(key), key, "left_semi")
     return int(hit.count())
 
@@ -92,6 +92,6 @@ def merge_facts(fact: DataFrame, staged_facts: DataFrame, loaded_at: datetime,
     """Delete-then-insert on the natural key: the result holds every fact not
     restaged, plus the staged rows stamped ``loaded_at``. Idempotent."""
     keys = staged_facts.select(key)
-    kept = fact.join(F.broadcast(keys) if fits_broadcast(keys) else keys, key, "left_anti")
+    kept = fact.join(F.broadcast(keys) if fits_broadcast(staged_facts) else keys, key, "left_anti")
     new_rows = staged_facts.withColumn("loaded_at", ts_literal(loaded_at))
     return kept.unionByName(new_rows.select(*fact.columns))

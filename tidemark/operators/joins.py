@@ -15,7 +15,7 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import broadcast_bound, fits_broadcast, row_count, stage
+from tidemark.session import broadcast_bound, fits_broadcast, known_rows, row_count, stage
 
 # A key is hot when it holds at least this share of the rows (and at least
 # HOT_MIN_ROWS rows). At most ~2 / HOT_SHARE keys can qualify, which bounds the
@@ -80,6 +80,10 @@ def skew_safe_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     # the left at all, so a hot key cannot unbalance anything.
     if fits_broadcast(right, broadcast_rows):
         return left.join(F.broadcast(right), cond(), how)
+    if detect_hot and known_rows(left) is None:
+        # Counting, sampling and splitting a derived input would each recompute
+        # it; stage it once instead.
+        left = stage(left, "skew_left")
     hot = hot_keys(left, left_keys) if detect_hot else None
     if hot is None:
         return left.join(right, cond(), how)
