@@ -15,8 +15,6 @@ from datetime import datetime
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from tidemark import schemas  # noqa: E402
 from tidemark.operators import checks, dates, facts, reports, scd  # noqa: E402
 from tidemark.plans import scenario  # noqa: E402

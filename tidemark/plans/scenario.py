@@ -13,10 +13,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import schemas
 from tidemark.plans.publish import Manifest, Warehouse
 from tidemark.plans.run import LoadReport, WarehouseState, read_state, run
 from tidemark.session import scratch_path, stage
