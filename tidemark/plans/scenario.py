@@ -25,6 +25,7 @@ from tidemark.sources.tables import read_table
 # --- Fixed values of the scenario ------------------------------------------
 RUN1_TS = datetime(2026, 1, 1, 0, 0, 0)
 RUN2_TS = datetime(2026, 1, 2, 0, 0, 0)
+RUN3_TS = datetime(2026, 1, 3, 0, 0, 0)
 # ----------------------------------------------------------------------------
 
 
