@@ -137,9 +137,11 @@ class Warehouse:
         path = f"{self.root}/{table}/{run_id}"
         cols = TABLE_SCHEMAS[table].fieldNames()
         obs = Observation(f"rows_{table}_{run_id}_parts".replace("-", "_"))
+        # Observed after the shuffle, in the writing (result) stage: a re-run
+        # map stage after an executor loss cannot count rows twice.
         (df.select(*cols, part.alias(part_col))
-         .observe(obs, F.count(F.lit(1)).alias("n"))
          .repartitionByRange(F.col(part_col), F.col(key))
+         .observe(obs, F.count(F.lit(1)).alias("n"))
          .write.mode("errorifexists").partitionBy(part_col).parquet(path))
         if not int(obs.get["n"]):
             return {}

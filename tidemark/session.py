@@ -91,6 +91,8 @@ def stage(df: DataFrame, name: str = "stage", metrics: list | None = None) -> Da
     spark = df.sparkSession
     path = scratch_path(spark, name)
     obs = Observation(f"tidemark_{uuid.uuid4().hex[:8]}")
+    # The observation sits on top of the plan, in the writing (result) stage,
+    # whose task updates Spark applies once per partition even under retries.
     df.observe(obs, F.count(F.lit(1)).alias("_n"), *(metrics or [])).write.mode("errorifexists").parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     values = dict(obs.get)
