@@ -187,3 +187,21 @@ def test_second_load_rewrites_only_touched_buckets_and_months(sc):
     old = sc.state1.fact_order_line.join(sc.report2.details["stg_fact"].select("order_line_id"), "order_line_id")
     months |= {str(r[0]) for r in old.select((F.col("order_date_key") / 100).cast("int")).distinct().collect()}
     assert fact_rewritten <= months and len(fact_rewritten) < len(m2["fact_order_line"])
+
+
+def test_initialise_is_idempotent_and_seeds_the_unknown_member(spark):
+    from tidemark.plans.inspect import initialise
+    wh = Warehouse(spark, scratch_path(spark, "init"))
+    first = initialise(wh)
+    second = initialise(wh)
+    assert second.seq == first.seq
+    dim = read_state(wh).dim_customer.collect()
+    assert [(r["sk"], r["customer_id"]) for r in dim] == [(-1, "UNKNOWN")]
+    assert read_state(wh).fact_order_line.count() == 0
+
+
+def test_inspect_report_lists_contents_run_log_and_revenue(sc):
+    from tidemark.plans.inspect import inspect_text
+    text = inspect_text(sc.warehouse)
+    assert "fact_order_line" in text and "history validation" in text
+    assert text.count("SUCCESS") >= 2 and "Unknown" in text
