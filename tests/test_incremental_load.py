@@ -205,3 +205,18 @@ def test_inspect_report_lists_contents_run_log_and_revenue(sc):
     text = inspect_text(sc.warehouse)
     assert "fact_order_line" in text and "history validation" in text
     assert text.count("SUCCESS") >= 2 and "Unknown" in text
+
+
+def test_surrogate_keys_do_not_depend_on_shuffle_partitions(spark, sc):
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        wh = Warehouse(spark, scratch_path(spark, "one-partition"))
+        for src, ts in ((sc.v1, datetime(2026, 1, 1)), (sc.v2, datetime(2026, 1, 2))):
+            run(spark, wh, src, run_ts=ts, date_start=sc.date_start, date_end=sc.date_end)
+        single = read_state(wh).dim_customer
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    cols = ["sk", "customer_id", "segment", "valid_from", "valid_to", "is_current"]
+    assert single.select(cols).exceptAll(sc.state2.dim_customer.select(cols)).count() == 0
+    assert sc.state2.dim_customer.select(cols).exceptAll(single.select(cols)).count() == 0
