@@ -22,7 +22,6 @@ retried run (idempotent) produces the same result.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -37,6 +36,7 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("part", T.StringType(), False),
     T.StructField("path", T.StringType(), False),
     T.StructField("run_id", T.StringType(), False),
+    T.StructField("rows", T.LongType(), True),
 ])
 
 TABLE_SCHEMAS = {
@@ -69,6 +69,15 @@ def bucket_of(key: Column, buckets: int) -> Column:
 class Manifest:
     seq: int
     parts: dict[str, dict[str, str]] = field(default_factory=dict)  # table -> part -> path
+    rows: dict[str, int] = field(default_factory=dict)  # path -> row count
+
+    def row_count(self, table: str, parts: set[str] | None = None) -> int | None:
+        """Rows of a table (or of some parts) from the manifest, if recorded."""
+        counts = [self.rows.get(p) for k, p in self.parts.get(table, {}).items() if parts is None or k in parts]
+        return None if any(c is None for c in counts) else sum(counts)
+
+    def config(self, name: str) -> str | None:
+        return self.parts.get(CONFIG_TABLE, {}).get(name)
 
 
 class Warehouse:
@@ -100,19 +109,24 @@ class Warehouse:
         if top is None:
             return Manifest(seq=0)
         parts: dict[str, dict[str, str]] = {}
-        # The manifest lists part directories (tables x months): small, bounded
-        # by the number of tables and months, not by data volume.
+        counts: dict[str, int] = {}
+        # The manifest lists part directories (tables x months / buckets):
+        # bounded by the number of parts, not by data volume.
         for r in rows.where(F.col("seq") == top).collect():
             parts.setdefault(r["table_name"], {})[r["part"]] = r["path"]
-        return Manifest(seq=int(top), parts=parts)
+            if r["rows"] is not None:
+                counts[r["path"]] = int(r["rows"])
+        return Manifest(seq=int(top), parts=parts, rows=counts)
 
     def read(self, table: str, manifest: Manifest | None = None, parts: set[str] | None = None) -> DataFrame:
         m = manifest or self.manifest()
         schema = TABLE_SCHEMAS[table]
         paths = [p for k, p in sorted(m.parts.get(table, {}).items()) if parts is None or k in parts]
         if not paths:
-            return schemas.empty(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+            return with_known_rows(schemas.empty(self.spark, schema), 0)
+        df = self.spark.read.schema(schema).parquet(*paths)
+        n = m.row_count(table, parts)
+        return with_known_rows(df, n) if n is not None else df
 
     # -- writes --------------------------------------------------------------
     def write_snapshot(self, table: str, df: DataFrame, run_id: str) -> dict[str, str]:
@@ -130,38 +144,50 @@ class Warehouse:
         return with_known_rows(df, n) if n is not None else df
 
     def write_parts(self, table: str, df: DataFrame, part: Column, part_col: str, key: str,
-                    run_id: str) -> dict[str, str]:
-        """Write ``df`` split into part directories by ``part``; returns the
-        parts written (a part with no rows is absent). Range partitioning on
-        (part, key) spreads a part holding a large share of rows over tasks."""
+                    run_id: str, expected: list[int]) -> dict[str, str]:
+        """Write ``df`` split into part directories by ``part``, whose values
+        must lie in ``expected`` (a bounded list: months or buckets); returns
+        the parts written (a part with no rows is absent). Rows per part are
+        observed during the write and kept for the manifest. Range
+        partitioning on (part, key) spreads a part holding a large share of
+        rows over tasks."""
         path = f"{self.root}/{table}/{run_id}"
         cols = TABLE_SCHEMAS[table].fieldNames()
         obs = Observation(f"rows_{table}_{run_id}_parts".replace("-", "_"))
+        per_part = [F.count_if(F.col(part_col) == F.lit(v)).alias(f"p{v}") for v in expected]
         # Observed after the shuffle, in the writing (result) stage: a re-run
         # map stage after an executor loss cannot count rows twice.
         (df.select(*cols, part.alias(part_col))
          .repartitionByRange(F.col(part_col), F.col(key))
-         .observe(obs, F.count(F.lit(1)).alias("n"))
+         .observe(obs, F.count(F.lit(1)).alias("n"), *per_part)
          .write.mode("errorifexists").partitionBy(part_col).parquet(path))
-        if not int(obs.get["n"]):
-            return {}
-        # Which parts came out non-empty: a directory listing, bounded by the
-        # number of parts (months or buckets), not by data.
-        files = self.spark.read.parquet(path).inputFiles()
-        present = sorted({int(m) for m in re.findall(rf"{part_col}=(\d+)", " ".join(files))})
-        return {str(m): f"{path}/{part_col}={m}" for m in present}
+        got = obs.get
+        counts = {v: int(got[f"p{v}"]) for v in expected}
+        if sum(counts.values()) != int(got["n"]):
+            raise RuntimeError(f"{table}: rows outside the expected parts {expected}")
+        written = {}
+        for v, n in counts.items():
+            if n:
+                written[str(v)] = f"{path}/{part_col}={v}"
+                self.rows_written[written[str(v)]] = n
+        return written
 
     def write_fact_months(self, df: DataFrame, months: list[int], run_id: str) -> dict[str, str]:
         """Write the given months' fact rows, one part per order month."""
         if not months:
             return {}
         return self.write_parts("fact_order_line", df, (F.col("order_date_key") / 100).cast("int"),
-                                MONTH_COL, "order_line_id", run_id)
+                                MONTH_COL, "order_line_id", run_id, sorted(int(m) for m in months))
 
-    def write_dim_buckets(self, table: str, df: DataFrame, buckets: int, run_id: str) -> dict[str, str]:
-        """Write a bucketed dimension's rows, one part per bucket."""
+    def write_dim_buckets(self, table: str, df: DataFrame, buckets: int, run_id: str,
+                          touched: set[str] | None = None) -> dict[str, str]:
+        """Write a bucketed dimension's rows (of the ``touched`` buckets, or
+        any bucket), one part per bucket."""
         key = BUCKETED[table]
-        return self.write_parts(table, df, bucket_of(F.col(key), buckets), BUCKET_COL, key, run_id)
+        expected = sorted(int(b) for b in touched) if touched is not None else list(range(buckets))
+        if not expected:
+            return {}
+        return self.write_parts(table, df, bucket_of(F.col(key), buckets), BUCKET_COL, key, run_id, expected)
 
     def commit(self, base: Manifest, changes: dict[str, dict[str, str] | tuple[dict[str, str], set[str]]],
                run_id: str) -> Manifest:
@@ -177,8 +203,14 @@ class Warehouse:
                 parts[table] = current
             else:
                 parts[table] = dict(change)
-        rows = [(t, k, v, run_id) for t, ps in parts.items() for k, v in ps.items()]
+        counts = dict(base.rows)
+        counts.update(self.rows_written)
+        rows = [(t, k, v, run_id, counts.get(v) if t != CONFIG_TABLE else None)
+                for t, ps in parts.items() for k, v in ps.items()]
         seq = base.seq + 1
+        # errorifexists: a concurrent writer committing the same sequence
+        # number fails instead of overwriting (one writer per warehouse).
         (self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1)
          .write.mode("errorifexists").parquet(f"{self._manifest_dir()}/seq={seq}"))
-        return Manifest(seq=seq, parts=parts)
+        live = {v for t, ps in parts.items() if t != CONFIG_TABLE for v in ps.values()}
+        return Manifest(seq=seq, parts=parts, rows={p: n for p, n in counts.items() if p in live})
