@@ -213,3 +213,18 @@ def test_overlapping_versions_fan_out_the_as_at_join_and_are_caught(spark):
         schemas.SRC_ORDER_LINE)
     staged = facts.stage_facts(lines, dim)
     assert staged.count() == 2 and facts.duplicate_keys(staged) == 1
+
+
+def test_small_staged_side_prefilters_a_large_right_before_joining(spark):
+    from tidemark.session import stage
+    left = stage(spark.createDataFrame([(1, "a", 2), (2, "b", 5), (3, "zz", 1)], "id int, k string, t int"))
+    right = spark.createDataFrame([(f"k{i}", 0, 9) for i in range(20)] + [("a", 0, 3), ("b", 6, 9)],
+                                  "rk string, lo int, hi int")
+
+    def res():
+        return (F.col("t") >= F.col("lo")) & (F.col("t") < F.col("hi"))
+
+    plain = left.join(right, (F.col("k") == F.col("rk")) & res(), "left")
+    got = joins.skew_safe_join(left, right, ["k"], ["rk"], "left", residual=res, broadcast_rows=5)
+    assert _join_rows(got) == _join_rows(plain)
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()

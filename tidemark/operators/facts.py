@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.expressions import date_key, gross_amount, net_amount, ts_literal
 from tidemark.operators.joins import skew_safe_join
-from tidemark.session import fits_broadcast
+from tidemark.session import fits_broadcast, known_rows, with_known_rows
 
 
 class FactKeyError(ValueError):
@@ -39,6 +39,8 @@ def as_at_join(facts: DataFrame, dim: DataFrame, fact_key: str = "customer_id",
     """
     versions = dim.select(F.col(dim_key).alias("_d_key"), F.col(surrogate_key).alias("_d_sk"),
                           F.col("valid_from").alias("_d_from"), F.col("valid_to").alias("_d_to"))
+    if known_rows(dim) is not None:
+        versions = with_known_rows(versions, known_rows(dim))
 
     def in_window():
         return (F.col(event_ts) >= F.col("_d_from")) & (F.col(event_ts) < F.col("_d_to"))
@@ -57,7 +59,13 @@ def inferred_members(staged: DataFrame, dim: DataFrame, fact_key: str = "custome
     """
     per_key = staged.groupBy(F.col(fact_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     keys = dim.select(F.col(dim_key).alias("_k"))
-    missing = per_key.join(keys, "_k", "left_anti")
+    if fits_broadcast(staged):
+        # Few staged facts: find which of their keys the dimension has by
+        # scanning it through a broadcast of those keys (no dimension shuffle).
+        keys = keys.join(F.broadcast(per_key.select("_k")), "_k", "left_semi").distinct()
+        missing = per_key.join(F.broadcast(keys), "_k", "left_anti")
+    else:
+        missing = per_key.join(keys, "_k", "left_anti")
     return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("inferred"))
 
 

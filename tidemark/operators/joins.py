@@ -80,6 +80,17 @@ def skew_safe_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     # the left at all, so a hot key cannot unbalance anything.
     if fits_broadcast(right, broadcast_rows):
         return left.join(F.broadcast(right), cond(), how)
+    n_left = known_rows(left)
+    if n_left is not None and n_left <= broadcast_rows:
+        # A small (staged) left and a large right, as in an incremental load:
+        # keep only the right rows whose key the left has, by scanning the
+        # right through a broadcast of the left's keys; what remains is
+        # usually small enough to broadcast, so the right is never shuffled.
+        key_set = left.select(*[F.col(lk).alias(rk) for lk, rk in zip(left_keys, right_keys)]).distinct()
+        right = stage(right.join(F.broadcast(key_set), list(right_keys), "left_semi").select(*right.columns),
+                      "prefiltered")
+        if fits_broadcast(right, broadcast_rows):
+            return left.join(F.broadcast(right), cond(), how)
     if detect_hot and known_rows(left) is None:
         # Counting, sampling and splitting a derived input would each recompute
         # it; stage it once instead.
