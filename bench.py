@@ -44,9 +44,9 @@ def main() -> None:
     start, end = scenario.calendar_range(spark, sf_dir)
     wh = Warehouse(spark, scratch_path(spark, "bench-warehouse"))
     r1 = timed("load1_cold", lambda: run(spark, wh, v1, run_ts=scenario.RUN1_TS, date_start=start,
-                                          date_end=end, run_id="load1"))
+                                          date_end=end, run_id="load1", keep_staging=True))
     r2 = timed("load2_incremental", lambda: run(spark, wh, v2, run_ts=scenario.RUN2_TS, date_start=start,
-                                                 date_end=end, run_id="load2"))
+                                                 date_end=end, run_id="load2", keep_staging=True))
     st = read_state(wh)
 
     # Fact-scale as-at resolution: every v2 line against the versioned dimension.

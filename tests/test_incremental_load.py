@@ -24,7 +24,7 @@ def reloaded(spark, sc):
     """A third run on the unchanged v2 source: idempotence."""
     before = read_state(sc.warehouse, sc.manifest2)
     report = run(spark, sc.warehouse, sc.v2, run_ts=datetime(2026, 1, 3), date_start=sc.date_start,
-                 date_end=sc.date_end, run_id="load3")
+                 date_end=sc.date_end, run_id="load3", keep_staging=True)
     return before, report, read_state(sc.warehouse, report.details["manifest"])
 
 
@@ -237,5 +237,16 @@ def test_incremental_validation_matches_a_full_validation(spark, sc):
         "segment", F.when(F.col("customer_id") == victim, F.lit("EDITED")).otherwise(F.col("segment")))
     third = run(spark, wh, SourceSnapshot(edited, sc.v2.product, sc.v2.order_line), run_ts=datetime(2026, 1, 3),
                 date_start=sc.date_start, date_end=sc.date_end)
+    assert third.details["manifest"].seq > 0
     full = checks.history_problems(read_state(wh).dim_customer, "customer_id")
     assert third.history_problems == full == ["1 row(s) with valid_to on or before valid_from"]
+
+
+def test_a_run_removes_its_staging_unless_asked_to_keep_it(spark, sc):
+    from tidemark.session import path_exists, staged_since, staging_mark
+    wh = Warehouse(spark, scratch_path(spark, "tidy"))
+    mark = staging_mark()
+    run(spark, wh, sc.v1, run_ts=datetime(2026, 1, 1), date_start=sc.date_start, date_end=sc.date_end)
+    created = staged_since(mark)
+    assert created and not any(path_exists(spark, p) for p in created)
+    assert read_state(wh).fact_order_line.count() == sc.report1.facts_read

@@ -242,7 +242,8 @@ def _reload(spark, sf_dir):
     if "reload" not in sc.extra:
         from tidemark.plans.run import run
         sc.extra["reload"] = run(spark, sc.warehouse, sc.v2, run_ts=scenario.RUN3_TS,
-                                 date_start=sc.date_start, date_end=sc.date_end, run_id="load3")
+                                 date_start=sc.date_start, date_end=sc.date_end, run_id="load3",
+                                 keep_staging=True)
     return sc.extra["reload"]
 
 

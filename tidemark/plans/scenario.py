@@ -73,9 +73,9 @@ def build(spark: SparkSession, sf_dir: str) -> Scenario:
     v1, v2 = materialise_sources(spark, sf_dir)
     start, end = calendar_range(spark, sf_dir)
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
-    r1 = run(spark, wh, v1, run_ts=RUN1_TS, date_start=start, date_end=end, run_id="load1")
+    r1 = run(spark, wh, v1, run_ts=RUN1_TS, date_start=start, date_end=end, run_id="load1", keep_staging=True)
     m1 = r1.details["manifest"]
-    r2 = run(spark, wh, v2, run_ts=RUN2_TS, date_start=start, date_end=end, run_id="load2")
+    r2 = run(spark, wh, v2, run_ts=RUN2_TS, date_start=start, date_end=end, run_id="load2", keep_staging=True)
     m2 = r2.details["manifest"]
     return Scenario(spark, sf_dir, wh, v1, v2, start, end, r1, r2, m1, m2,
                     read_state(wh, m1), read_state(wh, m2))

@@ -90,6 +90,7 @@ def stage(df: DataFrame, name: str = "stage", metrics: list | None = None) -> Da
 
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _STAGED.append(path)
     obs = Observation(f"tidemark_{uuid.uuid4().hex[:8]}")
     # The observation sits on top of the plan, in the writing (result) stage,
     # whose task updates Spark applies once per partition even under retries.
@@ -102,6 +103,26 @@ def stage(df: DataFrame, name: str = "stage", metrics: list | None = None) -> Da
 
 
 _METRICS_ATTR = "_tidemark_metrics"
+# Directories written by ``stage`` in this process, oldest first.
+_STAGED: list[str] = []
+
+
+def staged_since(mark: int) -> list[str]:
+    """Staging directories written since ``len(_STAGED) == mark``."""
+    return list(_STAGED[mark:])
+
+
+def staging_mark() -> int:
+    return len(_STAGED)
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Recursively delete directories on any Hadoop-supported store."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
 
 
 def observed(df: DataFrame) -> dict:
