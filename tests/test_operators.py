@@ -228,3 +228,23 @@ def test_small_staged_side_prefilters_a_large_right_before_joining(spark):
     got = joins.skew_safe_join(left, right, ["k"], ["rk"], "left", residual=res, broadcast_rows=5)
     assert _join_rows(got) == _join_rows(plain)
     assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_per_group_validation_counts_add_up_to_the_pairwise_definition(spark, seed):
+    rows = _random_dim(seed, keys=9, rows=60)
+    dim = spark.createDataFrame(rows, DIM_SCHEMA)
+    per_key = _brute_overlaps(rows)
+
+    def group_of(key):
+        return F.substring(key, 2, 1).cast("int") % 3
+
+    got = checks.validation_counts_by(dim, "customer_id", group_of)
+    expected = {}
+    for k, n in per_key.items():
+        g = int(k[1:]) % 3
+        expected[g] = expected.get(g, 0) + n
+    assert {g: c["overlapping_pairs"] for g, c in got.items() if c["overlapping_pairs"]} == expected
+    totals = {r["check"]: r["n"] for r in checks.validate_history(dim, "customer_id").collect()}
+    for check in totals:
+        assert sum(c[check] for c in got.values()) == totals[check]
