@@ -220,10 +220,13 @@ def validation_counts_by(dim: DataFrame, business_key: str,
     per = ranged.groupBy(F.shiftright("_mid", 33).alias("_pid"), "_g").agg(
         F.count(F.lit(1)).alias("c"), F.sum("sign").alias("s"),
         F.sum(F.col("sign") * F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))).cast(_BIG).alias("i")).collect()
+    per_pid: dict = {}
+    for r in per:
+        per_pid[r["_pid"]] = per_pid.get(r["_pid"], 0) + int(r["c"])
     offsets, running = {}, 0
-    for pid in sorted({r["_pid"] for r in per}):
+    for pid in sorted(per_pid):
         offsets[pid] = running
-        running += sum(int(r["c"]) for r in per if r["_pid"] == pid)
+        running += per_pid[pid]
     for r in per:
         out[r["_g"]][CHECK_OVERLAPS] += offsets[r["_pid"]] * int(r["s"]) + int(r["i"])
 
