@@ -230,8 +230,8 @@ def test_small_staged_side_prefilters_a_large_right_before_joining(spark):
     assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("seed", [4, 5])
-def test_per_group_validation_counts_add_up_to_the_pairwise_definition(spark, seed):
+@pytest.mark.parametrize("seed,parts", [(4, None), (5, 4)])
+def test_per_group_validation_counts_add_up_to_the_pairwise_definition(spark, seed, parts):
     rows = _random_dim(seed, keys=9, rows=60)
     dim = spark.createDataFrame(rows, DIM_SCHEMA)
     per_key = _brute_overlaps(rows)
@@ -239,7 +239,7 @@ def test_per_group_validation_counts_add_up_to_the_pairwise_definition(spark, se
     def group_of(key):
         return F.substring(key, 2, 1).cast("int") % 3
 
-    got = checks.validation_counts_by(dim, "customer_id", group_of)
+    got = checks.validation_counts_by(dim, "customer_id", group_of, num_partitions=parts)
     expected = {}
     for k, n in per_key.items():
         g = int(k[1:]) % 3

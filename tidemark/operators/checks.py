@@ -181,7 +181,7 @@ def validate_history(dim: DataFrame, business_key: str, num_partitions: int | No
 
 
 def validation_counts_by(dim: DataFrame, business_key: str,
-                         group_of: Callable[[Column], Column]) -> dict:
+                         group_of: Callable[[Column], Column], num_partitions: int | None = None) -> dict:
     """The four invariant counts per group of keys, where ``group_of(key)``
     is a function of the business key (e.g. its storage bucket), as
     ``{group: {check: n}}``. Rows reaching the driver: one per group and one
@@ -208,7 +208,7 @@ def validation_counts_by(dim: DataFrame, business_key: str,
         return out
 
     spark = dim.sparkSession
-    n = range_partitions(2 * row_count(dim), spark)
+    n = num_partitions or range_partitions(2 * row_count(dim), spark)
     events = dim.select(group_of(F.col(bk)).alias("_g"), F.col(bk).alias("_k"), F.explode(F.array(
         F.struct(F.col("valid_from").alias("t"), F.lit(1).alias("kind"), F.lit(-1).alias("sign")),
         F.struct(F.col("valid_to").alias("t"), F.lit(0).alias("kind"), F.lit(1).alias("sign")),
