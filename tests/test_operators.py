@@ -248,3 +248,13 @@ def test_per_group_validation_counts_add_up_to_the_pairwise_definition(spark, se
     totals = {r["check"]: r["n"] for r in checks.validate_history(dim, "customer_id").collect()}
     for check in totals:
         assert sum(c[check] for c in got.values()) == totals[check]
+
+
+def test_latest_per_key_keeps_the_newest_row_of_each_key(spark):
+    df = spark.createDataFrame([
+        ("C1", "old", datetime(2026, 1, 1)), ("C1", "new", datetime(2026, 1, 3)),
+        ("C2", "only", datetime(2026, 1, 2)), ("C1", "mid", datetime(2026, 1, 2))],
+        "customer_id string, customer_name string, updated_at timestamp_ntz")
+    out = {r["customer_id"]: r["customer_name"] for r in scd.latest_per_key(df, "customer_id").collect()}
+    assert out == {"C1": "new", "C2": "only"}
+    assert scd.latest_per_key(df, "customer_id").columns == df.columns

@@ -267,6 +267,22 @@ def load_type_1(target: DataFrame, staging: DataFrame, business_key: str, attrib
                        classified=classified, stats=stats)
 
 
+def latest_per_key(df: DataFrame, business_key: str, order_by: str = "updated_at") -> DataFrame:
+    """One row per key: the row with the greatest ``order_by`` (ties broken by
+    the greatest whole row, so the result is deterministic).
+
+    For callers whose staging may repeat a key (the loaders reject that). An
+    aggregation with ``max_by`` (map-side partial), not a per-key window, so a
+    heavily repeated key cannot pin one task.
+    """
+    others = [c for c in df.columns if c != business_key]
+    row = F.struct(*[F.col(c) for c in others])
+    order = F.struct(F.col(order_by), row)
+    return (df.groupBy(business_key).agg(F.max_by(row, order).alias("_r"))
+            .select(business_key, *[F.col(f"_r.{c}").alias(c) for c in others])
+            .select(*df.columns))
+
+
 def unknown_member(spark, schema=schemas.DIM_CUSTOMER) -> DataFrame:
     """The one-row Unknown member: SK -1, key UNKNOWN, attributes Unknown."""
     row = {}
