@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, sentencepiece_bpe, toxicity
+from . import ngram_join, quality_rules, sentencepiece_bpe, toxicity
 
 
 def tokenizer_file(name: str) -> str:
@@ -27,9 +27,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(_table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepiece_bpe.digests(docs, model or tokenizer_file("piece_bpe_32k.model")).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op8_toxicity, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_sentencepiece)}
