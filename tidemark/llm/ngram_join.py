@@ -331,8 +331,13 @@ def join_components(docs: DataFrame) -> DataFrame:
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with the least doc_id, with all columns.
 
-    Rows without a doc_id stay.
+    Of rows that share that doc_id the least row stays; rows without one all stay.
     """
-    groups = join_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    same = F.col("doc_id").cast("long") == F.col("_keep")
-    return docs.join(groups, same, "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    groups = join_components(docs)
+    dropped = written(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_drop")).distinct(), "dropped")
+    kept = docs.join(dropped, F.col("doc_id").cast("long") == F.col("_drop"), "left_anti")
+    rows = groups.where("doc_id IS NOT NULL").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("d")).collect()[0]
+    if rows["n"] > rows["d"]:
+        named = kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("_row"))
+        kept = named.select("_row.*").unionByName(kept.where("doc_id IS NULL"))
+    return kept

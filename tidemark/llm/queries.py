@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram_join, quality_rules, sentencepiece_bpe, toxicity
+from . import decontamination, ngram_join, quality_rules, sentencepiece_bpe, toxicity
 
 
 def tokenizer_file(name: str) -> str:
@@ -23,6 +23,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op4_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -36,4 +40,4 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = Non
     return sentencepiece_bpe.digests(docs, model or tokenizer_file("piece_bpe_32k.model")).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_bm25_decontamination, op8_toxicity, op9_ngram_jaccard_join, op10_sentencepiece)}
