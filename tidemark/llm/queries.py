@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, ngram_join, quality_rules, sentencepiece_bpe, toxicity
+from . import decontamination, huffman_ids, ngram_join, quality_rules, sentencepiece_bpe, toxicity
 
 
 def tokenizer_file(name: str) -> str:
@@ -19,6 +19,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_huffman_ids(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    return huffman_ids.round_trip(_table(spark, sf_dir, "documents"), tokenizer or tokenizer_file("word_bpe_49k.json"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
@@ -40,4 +44,4 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = Non
     return sentencepiece_bpe.digests(docs, model or tokenizer_file("piece_bpe_32k.model")).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_bm25_decontamination, op8_toxicity, op9_ngram_jaccard_join, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_huffman_ids, op2_quality_rules, op4_bm25_decontamination, op8_toxicity, op9_ngram_jaccard_join, op10_sentencepiece)}
