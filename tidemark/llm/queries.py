@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, huffman_ids, ngram_join, quality_rules, sentencepiece_bpe, toxicity
+from . import decontamination, huffman_ids, license_scan, ngram_join, quality_rules, sentencepiece_bpe, sharding, toxicity, url_rules
 
 
 def tokenizer_file(name: str) -> str:
@@ -27,10 +27,22 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op3_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_table(spark, sf_dir, "documents"))
+
+
 def op4_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(_table(spark, sf_dir, "pages"), url_rules.rule_table(spark))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -44,4 +56,17 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = Non
     return sentencepiece_bpe.digests(docs, model or tokenizer_file("piece_bpe_32k.model")).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_huffman_ids, op2_quality_rules, op4_bm25_decontamination, op8_toxicity, op9_ngram_jaccard_join, op10_sentencepiece)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_huffman_ids,
+        op2_quality_rules,
+        op3_extendible_sharding,
+        op4_bm25_decontamination,
+        op6_url_rules,
+        op7_license_scan,
+        op8_toxicity,
+        op9_ngram_jaccard_join,
+        op10_sentencepiece,
+    )
+}
