@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, huffman_ids, license_scan, ngram_join, quality_rules, sentencepiece_bpe, sharding, toxicity, url_rules
+from . import decontamination, html_model, huffman_ids, license_scan, ngram_join, quality_rules, sentencepiece_bpe, sharding, toxicity, url_rules
 
 
 def tokenizer_file(name: str) -> str:
@@ -35,6 +35,11 @@ def op4_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return html_model.main_texts(pages, html_model.learn(pages))
+
+
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages"), url_rules.rule_table(spark))
 
@@ -63,6 +68,7 @@ QUERIES = {
         op2_quality_rules,
         op3_extendible_sharding,
         op4_bm25_decontamination,
+        op5_html_extraction,
         op6_url_rules,
         op7_license_scan,
         op8_toxicity,
