@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -18,12 +17,19 @@ class FactKeyError(ValueError):
     """Staged facts would break the fact's primary key."""
 
 
-@dataclass
-class FactStats:
-    read: int = 0
-    inserted: int = 0
-    updated: int = 0
-    inferred: int = 0
+class FactNullError(ValueError):
+    """Staged facts hold a NULL where the fact table allows none."""
+
+
+def null_metrics() -> list:
+    """Aggregates (one per NOT NULL column) to observe while facts are staged."""
+    return [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in schemas.NOT_NULL["fact_order_line"] if c != "loaded_at"]
+
+
+def check_nulls(observed: dict) -> None:
+    bad = {k.removeprefix("null_"): v for k, v in observed.items() if k.startswith("null_") and v}
+    if bad:
+        raise FactNullError("NULL in staged facts: " + ", ".join(f"{c} ({n})" for c, n in sorted(bad.items())))
 
 
 def as_at_join(facts: DataFrame, dim: DataFrame, fact_key: str = "customer_id",
@@ -87,14 +93,6 @@ def duplicate_keys(df: DataFrame, key: str = "order_line_id") -> int:
     return int(df.groupBy(key).count().where(F.col("count") > 1).count())
 
 
-def restated_count(staged_facts: DataFrame, fact: DataFrame, key: str = "order_line_id") -> int:
-    """Staged facts whose key is already in the fact table (rows to restate)."""
-    keys = staged_facts.select(key)
-    hit = fact.select(key).join(F.broadcast(keys), key, "left_semi") if fits_broadcast(staged_facts) \
-        else keys.join(fact.select(key), key, "left_semi")
-    return int(hit.count())
-
-
 def merge_facts(fact: DataFrame, staged_facts: DataFrame, loaded_at: datetime,
                 key: str = "order_line_id") -> DataFrame:
     """Delete-then-insert on the natural key: the result holds every fact not

@@ -1,10 +1,9 @@
 """Slowly changing dimensions: Type 1 overwrite and Type 2 history.
 
-Both loaders classify each staged business key in one aggregation over the
-staged rows and the target's versions (a union grouped by key, with map-side
-partial aggregation, so a key with many versions cannot unbalance a task), then
-derive the next snapshot of the dimension as a DataFrame. Nothing is updated
-in place: the caller publishes the returned snapshot.
+Both loaders join the staged rows to the target's versions of their keys and
+reduce each key to a count and booleans (hash aggregates), then derive the next
+snapshot of the dimension as a DataFrame. Nothing is updated in place: the
+caller publishes the returned snapshot.
 """
 
 from __future__ import annotations
@@ -13,11 +12,11 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.expressions import as_at_condition, ts_literal
+from tidemark.functions.expressions import as_at_condition, null_safe_difference, ts_literal
 from tidemark.operators.keys import assign_dense_keys
 from tidemark.session import broadcast_bound, fits_broadcast, observed, range_partitions, stage
 
@@ -33,10 +32,6 @@ class LoadStats:
     # Keys whose versions are all closed: neither new nor changed, skipped.
     no_current: int = 0
 
-    def __str__(self) -> str:
-        return (f"inserted={self.inserted} versioned={self.versioned} "
-                f"updated={self.updated} unchanged={self.unchanged}")
-
 
 @dataclass
 class Type2Result:
@@ -68,18 +63,6 @@ def as_at(dim: DataFrame, moment: datetime) -> DataFrame:
     return dim.where(as_at_condition(moment))
 
 
-def _attrs_struct(attributes: Sequence[str]) -> Column:
-    return F.struct(*[F.col(a) for a in attributes])
-
-
-def _nullable_struct_type(df: DataFrame, attributes: Sequence[str]):
-    """The attributes' struct type with every field nullable, so staged and
-    stored rows (whose nullability may differ) share one type."""
-    from pyspark.sql import types as T
-    fields = [T.StructField(a, df.schema[a].dataType, True) for a in attributes]
-    return T.StructType(fields)
-
-
 def _versions_of_staged(target: DataFrame, staging: DataFrame, business_key: str) -> DataFrame:
     """Target rows whose key is staged. A staged set of checked, bounded size is
     broadcast, so the target is only scanned, never shuffled whole."""
@@ -88,6 +71,22 @@ def _versions_of_staged(target: DataFrame, staging: DataFrame, business_key: str
     return target
 
 
+def _staged_beside_target(target: DataFrame, staging: DataFrame, business_key: str,
+                          attributes: Sequence[str]) -> DataFrame:
+    """Each staged row beside every target row of its key (left join), with how
+    often its key is staged and whether the attributes differ (null-safe)."""
+    bk = business_key
+    counted = staging.groupBy(bk).agg(F.count(F.lit(1)).alias("n_staged"))
+    staged = staging.select(bk, *attributes).join(
+        counted.withColumnRenamed(bk, "_k"), F.col(bk).eqNullSafe(F.col("_k"))).drop("_k")
+    rows = _versions_of_staged(target, staging, bk)
+    differs = null_safe_difference(attributes, "t", "s")
+    return staged.alias("s").join(rows.alias("t"), F.col(f"s.{bk}") == F.col(f"t.{bk}"), "left").select(
+        *[F.col(f"s.{c}").alias(c) for c in (bk, *attributes)], "n_staged",
+        F.col(f"t.{bk}").isNotNull().alias("_there"), differs.alias("_differs"),
+        *([F.col("t.is_current").alias("_live")] if "is_current" in target.columns else []))
+
+
 def classify_type2(dim: DataFrame, staging: DataFrame, business_key: str,
                    attributes: Sequence[str]) -> DataFrame:
     """One row per staged key: its staged attributes, ``action`` and ``n_staged``.
@@ -95,64 +94,29 @@ def classify_type2(dim: DataFrame, staging: DataFrame, business_key: str,
     ``new``: no version at all; ``no_current``: versions, none current;
     ``changed``: some current version differs (null-safe) from the staged row;
     ``unchanged``: every current version equals it. Several current versions
-    (a defect) compare as changed when any of them differs.
+    (a defect) compare as changed when any of them differs. The aggregates are
+    a count and two booleans, so grouping hashes and never sorts.
     """
-    bk = business_key
-    st = _attrs_struct(attributes)
-    struct_type = _nullable_struct_type(staging, attributes)
-    staged = staging.select(
-        F.col(bk), F.lit(1).alias("_is_staged"), st.cast(struct_type).alias("_new"),
-        F.lit(None).cast("boolean").alias("_is_current"), F.lit(None).cast(struct_type).alias("_cur"))
-    versions = _versions_of_staged(dim, staging, bk).select(
-        F.col(bk), F.lit(0).alias("_is_staged"), F.lit(None).cast(struct_type).alias("_new"),
-        F.col("is_current").alias("_is_current"), st.cast(struct_type).alias("_cur"))
-    both = staged.unionByName(versions)
-
-    is_dim = F.col("_is_staged") == 0
-    live = is_dim & F.col("_is_current")
-    grouped = both.groupBy(bk).agg(
-        F.sum("_is_staged").alias("n_staged"),
-        F.max(F.when(F.col("_is_staged") == 1, F.col("_new"))).alias("_new"),
-        F.count_if(is_dim).alias("_n_versions"),
-        F.count_if(live).alias("_n_current"),
-        F.min(F.when(live, F.col("_cur"))).alias("_cur_min"),
-        F.max(F.when(live, F.col("_cur"))).alias("_cur_max"),
-    ).where(F.col("n_staged") > 0)
-    action = (F.when(F.col("_n_versions") == 0, F.lit(NEW))
-              .when(F.col("_n_current") == 0, F.lit(NO_CURRENT))
-              .when(F.col("_cur_min").eqNullSafe(F.col("_new")) & F.col("_cur_max").eqNullSafe(F.col("_new")),
-                    F.lit(UNCHANGED))
-              .otherwise(F.lit(CHANGED)))
-    return grouped.select(bk, *[F.col("_new")[a].alias(a) for a in attributes],
-                          action.alias("action"), F.col("n_staged").cast("long").alias("n_staged"))
+    live = F.col("_there") & F.col("_live")
+    grouped = _staged_beside_target(dim, staging, business_key, attributes).groupBy(
+        business_key, *attributes, "n_staged").agg(
+        F.count_if("_there").alias("_n"), F.coalesce(F.bool_or(live), F.lit(False)).alias("_any"),
+        F.coalesce(F.bool_or(live & F.col("_differs")), F.lit(False)).alias("_changed"))
+    action = (F.when(F.col("_n") == 0, NEW).when(~F.col("_any"), NO_CURRENT)
+              .when(F.col("_changed"), CHANGED).otherwise(UNCHANGED))
+    return grouped.select(business_key, *attributes, action.alias("action"), F.col("n_staged").cast("long").alias("n_staged"))
 
 
 def classify_type1(target: DataFrame, staging: DataFrame, business_key: str,
                    attributes: Sequence[str]) -> DataFrame:
     """One row per staged key with ``action`` new / changed / unchanged."""
-    bk = business_key
-    st = _attrs_struct(attributes)
-    struct_type = _nullable_struct_type(staging, attributes)
-    staged = staging.select(F.col(bk), F.lit(1).alias("_is_staged"), st.cast(struct_type).alias("_new"),
-                            F.lit(None).cast(struct_type).alias("_cur"))
-    existing = _versions_of_staged(target, staging, bk).select(
-        F.col(bk), F.lit(0).alias("_is_staged"), F.lit(None).cast(struct_type).alias("_new"),
-        st.cast(struct_type).alias("_cur"))
-    both = staged.unionByName(existing)
-    grouped = both.groupBy(bk).agg(
-        F.sum("_is_staged").alias("n_staged"),
-        F.max(F.when(F.col("_is_staged") == 1, F.col("_new"))).alias("_new"),
-        F.count_if(F.col("_is_staged") == 0).alias("_n_target"),
-        F.min(F.when(F.col("_is_staged") == 0, F.col("_cur"))).alias("_cur_min"),
-        F.max(F.when(F.col("_is_staged") == 0, F.col("_cur"))).alias("_cur_max"),
-    ).where(F.col("n_staged") > 0)
-    action = (F.when(F.col("_n_target") == 0, F.lit(NEW))
-              .when(F.col("_cur_min").eqNullSafe(F.col("_new")) & F.col("_cur_max").eqNullSafe(F.col("_new")),
-                    F.lit(UNCHANGED))
-              .otherwise(F.lit(CHANGED)))
-    return grouped.select(bk, *[F.col("_new")[a].alias(a) for a in attributes],
-                          action.alias("action"), F.col("n_staged").cast("long").alias("n_staged"),
-                          F.col("_n_target").cast("long").alias("n_target"))
+    grouped = _staged_beside_target(target, staging, business_key, attributes).groupBy(
+        business_key, *attributes, "n_staged").agg(
+        F.count_if("_there").alias("n_target"),
+        F.coalesce(F.bool_or(F.col("_there") & F.col("_differs")), F.lit(False)).alias("_changed"))
+    action = F.when(F.col("n_target") == 0, NEW).when(F.col("_changed"), CHANGED).otherwise(UNCHANGED)
+    return grouped.select(business_key, *attributes, action.alias("action"), F.col("n_staged").cast("long").alias("n_staged"),
+                          F.col("n_target").cast("long").alias("n_target"))
 
 
 def _action_metrics(business_key: str) -> list:
@@ -229,8 +193,9 @@ def load_type_2(dim: DataFrame, staging: DataFrame, business_key: str, attribute
         else F.col(c)
         for c in dim_cols], closing.alias("_closing"))
     closed = kept_and_closed.where(F.col("_closing")).drop("_closing")
-    opened = opened.select(*dim_cols)
-    dimension = kept_and_closed.drop("_closing").unionByName(opened)
+    # Further columns of the target are null on the rows opened here.
+    dimension = kept_and_closed.drop("_closing").unionByName(opened, allowMissingColumns=True)
+    opened = closed.limit(0).unionByName(opened, allowMissingColumns=True)
     return Type2Result(dimension=dimension, classified=classified, closed=closed, opened=opened, stats=stats)
 
 
@@ -263,7 +228,7 @@ def load_type_1(target: DataFrame, staging: DataFrame, business_key: str, attrib
     updated = marked.select(*cols)
     inserted = classified.where(F.col("action") == NEW).select(
         F.col(bk), *[F.col(a) for a in attributes], stamp.alias(stamp_column))
-    return Type1Result(dimension=updated.unionByName(inserted.select(*target.columns)),
+    return Type1Result(dimension=updated.unionByName(inserted, allowMissingColumns=True),
                        classified=classified, stats=stats)
 
 
