@@ -14,14 +14,18 @@ current version:
   and a month left empty simply drops out of the manifest;
 * the date dimension and the control tables are one part (a full snapshot).
 
-A manifest is written with Spark to ``<root>/_manifest/seq=<n>``; the highest
-``seq`` whose write committed is current. Until the manifest is committed no
-reader sees the load, so a crash leaves the previous version intact and the
-retried run (idempotent) produces the same result.
+A manifest is written with Spark to a scratch name and then renamed to
+``<root>/_manifest/seq=<n>``, which fails if that name exists; ``n`` is beyond
+every name there, so a folder left by a dead write blocks nothing. The highest
+``seq`` with a ``_SUCCESS`` mark is current. A load whose base is no longer
+current is refused. Until the manifest is committed no reader sees the load, so
+a crash leaves the previous version intact and the retried run (idempotent)
+produces the same result.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.session import path_exists, with_known_rows
+from tidemark.session import path_exists, rename, with_known_rows
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
@@ -65,6 +69,10 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
+class ConcurrentLoadError(RuntimeError):
+    """Another load was committed since this one began."""
+
+
 @dataclass
 class Manifest:
     seq: int
@@ -99,24 +107,33 @@ class Warehouse:
     def _manifest_dir(self) -> str:
         return f"{self.root}/_manifest"
 
+    def _sequence(self) -> tuple[int, int]:
+        """(the current committed number, the highest number of any folder)."""
+        jvm, path = self.spark.sparkContext._jvm, self._manifest_dir()
+        if not path_exists(self.spark, path):
+            return 0, 0
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = [s.getPath().getName() for s in fs.listStatus(folder)]
+        numbers = sorted((int(n[4:]) for n in found if n.startswith("seq=") and n[4:].isdigit()), reverse=True)
+        done = (n for n in numbers if path_exists(self.spark, f"{path}/seq={n}/_SUCCESS"))
+        return next(done, 0), numbers[0] if numbers else 0
+
     def manifest(self) -> Manifest:
-        if not path_exists(self.spark, self._manifest_dir()):
+        """The current manifest; only its own folder is read."""
+        top, _ = self._sequence()
+        if not top:
             return Manifest(seq=0)  # an empty warehouse
-        rows = self.spark.read.schema(
-            T.StructType(MANIFEST_SCHEMA.fields + [T.StructField("seq", T.IntegerType())])
-        ).parquet(self._manifest_dir())
-        top = rows.agg(F.max("seq").alias("s")).collect()[0]["s"]
-        if top is None:
-            return Manifest(seq=0)
+        rows = self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self._manifest_dir()}/seq={top}")
         parts: dict[str, dict[str, str]] = {}
         counts: dict[str, int] = {}
         # The manifest lists part directories (tables x months / buckets):
         # bounded by the number of parts, not by data volume.
-        for r in rows.where(F.col("seq") == top).collect():
+        for r in rows.collect():
             parts.setdefault(r["table_name"], {})[r["part"]] = r["path"]
             if r["rows"] is not None:
                 counts[r["path"]] = int(r["rows"])
-        return Manifest(seq=int(top), parts=parts, rows=counts)
+        return Manifest(seq=top, parts=parts, rows=counts)
 
     def read(self, table: str, manifest: Manifest | None = None, parts: set[str] | None = None) -> DataFrame:
         m = manifest or self.manifest()
@@ -205,10 +222,11 @@ class Warehouse:
         counts.update(self.rows_written)
         rows = [(t, k, v, run_id, counts.get(v) if t != CONFIG_TABLE else None)
                 for t, ps in parts.items() for k, v in ps.items()]
-        seq = base.seq + 1
-        # errorifexists: a concurrent writer committing the same sequence
-        # number fails instead of overwriting (one writer per warehouse).
-        (self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1)
-         .write.mode("errorifexists").parquet(f"{self._manifest_dir()}/seq={seq}"))
+        current, highest = self._sequence()
+        if current != base.seq:
+            raise ConcurrentLoadError(f"the warehouse moved from manifest {base.seq} to {current} during the run")
+        seq, scratch = highest + 1, f"{self.root}/_manifest_tmp/{uuid.uuid4().hex}"
+        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.parquet(scratch)
+        rename(self.spark, scratch, f"{self._manifest_dir()}/seq={seq}")
         live = {v for t, ps in parts.items() if t != CONFIG_TABLE for v in ps.values()}
         return Manifest(seq=seq, parts=parts, rows={p: n for p, n in counts.items() if p in live})

@@ -2,8 +2,8 @@
 from the given tables (see ``plans/scenario.py``).
 
 Output typing is chosen so that results compare the same way whichever client
-reads them: money is DOUBLE (cast last, from the exact decimal), dates are
-text, and validity bounds are text ('yyyy-MM-dd HH:mm:ss'), since the open end
+reads them: money is its exact decimal's unscaled value as BIGINT (price 1.5 at
+scale 4 is 15000), dates are text, and validity bounds are text ('yyyy-MM-dd HH:mm:ss'), since the open end
 9999-12-31 23:59:59 is outside what nanosecond timestamps can hold.
 """
 
@@ -21,6 +21,9 @@ from tidemark.functions.expressions import null_safe_difference
 from tidemark.operators import checks, control, facts, reports, scd
 from tidemark.operators.extract import extract, high_water_frame
 from tidemark.plans import scenario
+from tidemark.plans.publish import Warehouse
+from tidemark.plans.run import read_state, run
+from tidemark.session import scratch_path, stage
 from tidemark.sources import fixtures
 
 _TEXT_TS = ("valid_from", "valid_to")
@@ -31,7 +34,7 @@ def present(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DecimalType):
-            c = c.cast("double")
+            c = (c * 10 ** f.dataType.scale).cast("bigint")
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         elif f.name in _TEXT_TS:
@@ -117,6 +120,21 @@ def q_run_log(spark, sf_dir):
     return log.drop("run_id", "started_at")
 
 
+def q_run_log_failed(spark, sf_dir):
+    """The log of a load that the NOT NULL rules stop: some order lines have no quantity."""
+    sc = _sc(spark, sf_dir)
+    if "failed" not in sc.extra:
+        broken = F.when(F.col("order_id").endswith("00"), F.lit(None)).otherwise(F.col("quantity")).cast("int")
+        source = fixtures.SourceSnapshot(sc.v1.customer, sc.v1.product, sc.v1.order_line.withColumn("quantity", broken))
+        wh = Warehouse(spark, scratch_path(spark, "failed"))
+        try:
+            run(spark, wh, source, run_ts=scenario.RUN1_TS, date_start=sc.date_start, date_end=sc.date_end, run_id="broken")
+        except facts.FactNullError:
+            sc.extra["failed"] = read_state(wh)
+    st = sc.extra["failed"]
+    return reports.run_log_report(st.etl_run_log).select("stream", "low_water", "high_water", "rows_read", "status")
+
+
 def q_load_report(spark, sf_dir):
     sc = _sc(spark, sf_dir)
     return sc.report1.to_frame(spark).withColumn("load_no", F.lit(1)).unionByName(
@@ -200,6 +218,16 @@ def q_scd2_load(spark, sf_dir):
     return present(_sc(spark, sf_dir).state2.dim_customer)
 
 
+def q_scd2_wide_target(spark, sf_dir):
+    """A Type 2 load into a target with a further column, null on the rows it opens."""
+    sc = _sc(spark, sf_dir)
+    if "wide" not in sc.extra:
+        wide = sc.state1.dim_customer.withColumn("note", F.lit("kept"))
+        sc.extra["wide"] = scd.load_type_2(wide, sc.report2.details["stg_customer"], "customer_id",
+                                           schemas.CUSTOMER_ATTRIBUTES, effective_at=sc.report2.high_water)
+    return present(sc.extra["wide"].dimension)
+
+
 def q_dim_as_at(spark, sf_dir):
     sc = _sc(spark, sf_dir)
     hw = sc.report2.high_water
@@ -240,9 +268,8 @@ def _reload(spark, sf_dir):
     """A third load on the unchanged v2 source (built once, on request)."""
     sc = _sc(spark, sf_dir)
     if "reload" not in sc.extra:
-        from tidemark.plans.run import run
         sc.extra["reload"] = run(spark, sc.warehouse, sc.v2, run_ts=scenario.RUN3_TS,
-                                 date_start=sc.date_start, date_end=sc.date_end, run_id="load3",
+                                 date_start=sc.date_start, date_end=sc.date_end, run_id="reload",
                                  keep_staging=True)
     return sc.extra["reload"]
 
@@ -277,7 +304,6 @@ def q_lookback_catches(spark, sf_dir):
 def _defective(spark, sf_dir):
     sc = _sc(spark, sf_dir)
     if "defective" not in sc.extra:
-        from tidemark.session import stage
         sc.extra["defective"] = stage(fixtures.planted_defects(sc.state2.dim_customer), "defective_dim")
     return sc.extra["defective"]
 
@@ -307,14 +333,30 @@ def q_validate_history_clean(spark, sf_dir):
     return checks.validate_history(_sc(spark, sf_dir).state2.dim_customer, "customer_id")
 
 
+def q_history_after_reload(spark, sf_dir):
+    """A full validation of the dimension after a third load."""
+    sc = _sc(spark, sf_dir)
+    after = _reload(spark, sf_dir).details["manifest"]
+    return checks.validate_history(read_state(sc.warehouse, after).dim_customer, "customer_id")
+
+
 def q_audit_duplicates(spark, sf_dir):
+    """Repeated keys of every published table and of every source."""
+    sc = _sc(spark, sf_dir)
+    tables = {f"{t}.{k}": (getattr(sc.state2, t), k) for t, (k,) in schemas.PRIMARY_KEYS.items()}
+    tables |= {"src_customer.customer_id": (sc.v2.customer, "customer_id"),
+               "src_product.product_id": (sc.v2.product, "product_id"),
+               "src_order_line.order_line_id": (sc.v2.order_line, "order_line_id")}
+    return reduce(DataFrame.unionByName, [checks.audit_duplicates(df, key, name) for name, (df, key) in tables.items()])
+
+
+def q_audit_conditions(spark, sf_dir):
+    """Conditional counts: successful loads, and products renamed in place."""
     st = _sc(spark, sf_dir).state2
     return reduce(DataFrame.unionByName, [
-        checks.audit_duplicates(st.fact_order_line, "order_line_id", "fact_order_line.order_line_id"),
-        checks.audit_duplicates(st.dim_customer, "sk", "dim_customer.sk"),
-        checks.audit_duplicates(st.dim_product, "product_id", "dim_product.product_id"),
-        checks.audit_duplicates(st.dim_date, "date_key", "dim_date.date_key"),
-    ])
+        df.agg(F.count_if(where).alias("n")).select(F.lit(name).alias("check"), "n") for name, df, where in (
+            ("successful_loads", st.etl_run_log, F.col("status") == schemas.STATUS_SUCCESS),
+            ("renamed_products", st.dim_product, F.col("product_name").like("%(v2)")))])
 
 
 def q_audit_not_null(spark, sf_dir):

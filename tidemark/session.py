@@ -143,6 +143,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a directory; fails if ``target`` exists (checked by the file system)."""
+    sc = spark.sparkContext
+    fs = sc._jvm.org.apache.hadoop.fs
+    src, dst = fs.Path(source), fs.Path(target)
+    context = fs.FileContext.getFileContext(src.toUri(), sc._jsc.hadoopConfiguration())
+    context.mkdir(dst.getParent(), fs.permission.FsPermission.getDirDefault(), True)
+    context.rename(src, dst, sc._gateway.new_array(getattr(fs, "Options$Rename"), 0))
+
+
 def known_rows(df: DataFrame) -> int | None:
     """The row count of a staged DataFrame, if it is known without a job."""
     return getattr(df, _ROWS_ATTR, None)
@@ -181,9 +191,3 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
 def broadcast_bound() -> int:
     """The row bound for broadcasts (``BROADCAST_MAX_ROWS``, read at call time)."""
     return BROADCAST_MAX_ROWS
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only behind a checked row bound; else leave it to the
-    planner (sort-merge with AQE skew handling)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
