@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -27,6 +27,7 @@ LINE_PREFIX = "OL-"
 KEY_WIDTH = 9
 NULL_SEGMENT = "BUILDING"          # becomes a NULL segment in the source
 LATE_CUSTOMER_MOD = 97             # customers absent from v1, new in v2
+LATE_PRODUCT_MOD = 89              # products absent from v1, new in v2
 CHANGED_CUSTOMER_MOD = 13          # customers re-rated in v2
 CHANGED_PRODUCT_MOD = 13           # products renamed in v2
 RESTATED_LINE_MOD = 100            # l_orderkey % 100 = 7: quantity + 1
@@ -36,7 +37,6 @@ BACKDATED_LINE_REM = 3
 RENAME_SUFFIX = " (v2)"
 BASE_TS = "1995-01-01 00:00:00"
 V1_CUTOFF = "2000-12-31 00:00:00"
-V2_CUTOFF = "2001-01-15 00:00:00"
 V2_CUSTOMER_TS = "2001-01-15 06:00:00"
 V2_PRODUCT_TS = "2001-01-15 00:00:00"
 V2_RESTATED_TS = "2001-01-15 00:00:00"
@@ -50,8 +50,14 @@ def _ts(text: str) -> Column:
     return F.lit(text).cast(schemas.TS)
 
 
+def _digits(col: str) -> Column:
+    """The key as text, padded to KEY_WIDTH digits; longer keys stay whole."""
+    text = F.col(col).cast("string")
+    return F.when(F.length(text) < KEY_WIDTH, F.lpad(text, KEY_WIDTH, "0")).otherwise(text)
+
+
 def _key(prefix: str, col: str) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(F.col(col).cast("string"), KEY_WIDTH, "0"))
+    return F.concat(F.lit(prefix), _digits(col))
 
 
 def _credit_rating() -> Column:
@@ -101,10 +107,13 @@ def src_customer(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
 def src_product(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
     name, stamp = F.col("p_name"), _ts(BASE_TS)
-    if version == 2:
+    late = F.col("p_partkey") % LATE_PRODUCT_MOD == 0
+    if version == 1:
+        p = p.where(~late)
+    else:
         renamed = F.col("p_partkey") % CHANGED_PRODUCT_MOD == 0
         name = F.when(renamed, F.concat(F.col("p_name"), F.lit(RENAME_SUFFIX))).otherwise(name)
-        stamp = F.when(renamed, _ts(V2_PRODUCT_TS)).otherwise(stamp)
+        stamp = F.when(renamed | late, _ts(V2_PRODUCT_TS)).otherwise(stamp)
     return p.select(
         _key(PRODUCT_PREFIX, "p_partkey").alias("product_id"),
         name.alias("product_name"),
@@ -119,24 +128,18 @@ _LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_dis
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (l_orderkey, l_linenumber), with its order's customer and date.
+    """Every row of ``lineitem`` with its order's customer and date.
 
-    The given lineitem repeats some (order, line number) pairs; the kept row is
-    the latest ship date, then the smallest of the remaining columns. Chosen
-    with ``min_by`` in an aggregation (map-side partial), not a window, so a
-    heavily repeated pair cannot pin one task.
+    The given lineitem repeats some (order, line number) pairs; ``repeat`` numbers
+    them from 1, latest ship date first, then by the remaining columns, so every row
+    has a line id of its own.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", *_LINE_ORDER)
-    later_first = F.expr(
-        "timestampdiff(MICROSECOND, l_shipdate, TIMESTAMP_NTZ '9999-12-31 00:00:00')")
-    ordering = F.struct(later_first.alias("o0"), *[F.col(c) for c in _LINE_ORDER])
-    payload = F.struct(F.col("l_shipdate"), *[F.col(c) for c in _LINE_ORDER])
-    dedup = (li.groupBy("l_orderkey", "l_linenumber")
-             .agg(F.min_by(payload, ordering).alias("r"))
-             .select("l_orderkey", "l_linenumber", "r.*"))
+    pair = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(F.col("l_shipdate").desc(), *_LINE_ORDER)
+    li = li.withColumn("repeat", F.row_number().over(pair))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return skew_safe_join(dedup, orders, ["l_orderkey"], ["o_orderkey"], "inner").drop("o_orderkey")
+    return skew_safe_join(li, orders, ["l_orderkey"], ["o_orderkey"], "inner").drop("o_orderkey")
 
 
 def src_order_line(spark: SparkSession, sf_dir: str, version: int, base: DataFrame | None = None) -> DataFrame:
@@ -147,7 +150,6 @@ def src_order_line(spark: SparkSession, sf_dir: str, version: int, base: DataFra
     if version == 1:
         ln = ln.where(ship <= _ts(V1_CUTOFF))
     else:
-        ln = ln.where(ship <= _ts(V2_CUTOFF))
         backdated = F.col("l_orderkey") % BACKDATED_LINE_MOD == BACKDATED_LINE_REM
         restated = F.col("l_orderkey") % RESTATED_LINE_MOD == RESTATED_LINE_REM
         qty = qty + F.when(backdated, 5).when(restated, 1).otherwise(0)
@@ -155,9 +157,10 @@ def src_order_line(spark: SparkSession, sf_dir: str, version: int, base: DataFra
         stamp = (F.when(in_v1 & backdated, _ts(BACKDATED_TS))
                  .when(in_v1 & restated, _ts(V2_RESTATED_TS))
                  .otherwise(ship))
-    order_key = F.lpad(F.col("l_orderkey").cast("string"), KEY_WIDTH, "0")
+    order_key = _digits("l_orderkey")
+    again = F.when(F.col("repeat") > 1, F.concat(F.lit("-"), F.col("repeat").cast("string"))).otherwise("")
     return ln.select(
-        F.concat(F.lit(LINE_PREFIX), order_key, F.lit("-"), F.col("l_linenumber").cast("string")).alias("order_line_id"),
+        F.concat(F.lit(LINE_PREFIX), order_key, F.lit("-"), F.col("l_linenumber").cast("string"), again).alias("order_line_id"),
         F.concat(F.lit(ORDER_PREFIX), order_key).alias("order_id"),
         F.col("o_orderdate").alias("order_ts"),
         _key(CUSTOMER_PREFIX, "o_custkey").alias("customer_id"),
@@ -191,12 +194,11 @@ def snapshot(spark: SparkSession, sf_dir: str, version: int, base_lines: DataFra
 # --- Planted history defects (so that validation is not trivially empty) ---
 # Every 50th customer gets a second current row, every 51st
 # loses its current flag, every 53rd gets an overlapping closed row, every 59th
-# an inverted row. Planted rows get SKs offset by 10, 20 and 30 million.
+# an inverted row. Planted rows get SKs beyond the largest real one.
 DEFECT_SECOND_CURRENT_MOD = 50
 DEFECT_NO_CURRENT_MOD = 51
 DEFECT_OVERLAP_MOD = 53
 DEFECT_INVERTED_MOD = 59
-DEFECT_SK_OFFSETS = (10_000_000, 20_000_000, 30_000_000)
 DEFECT_OVERLAP_WINDOW = ("1950-01-01 00:00:00", "2000-01-01 00:00:00")
 DEFECT_INVERTED_WINDOW = ("2001-06-01 00:00:00", "2001-01-01 00:00:00")
 
@@ -205,6 +207,7 @@ def planted_defects(dim: DataFrame) -> DataFrame:
     """The dimension with the four kinds of defect planted on real customers."""
     num = F.substring(F.col("customer_id"), len(CUSTOMER_PREFIX) + 1, 64).cast("long")
     real = dim.where(F.col("customer_id") != schemas.UNKNOWN_BK)
+    step = dim.agg(F.coalesce(F.max("sk"), F.lit(0)).alias("m")).collect()[0]["m"] + 1
     cols = dim.columns
     base = dim.select(*[
         F.when((F.col("customer_id") != schemas.UNKNOWN_BK) & (num % DEFECT_NO_CURRENT_MOD == 0), F.lit(False))
@@ -226,7 +229,7 @@ def planted_defects(dim: DataFrame) -> DataFrame:
                 out.append(F.col(c))
         return rows.select(*out)
 
-    second = planted(num % DEFECT_SECOND_CURRENT_MOD == 0, DEFECT_SK_OFFSETS[0], None, True)
-    overlap = planted(num % DEFECT_OVERLAP_MOD == 0, DEFECT_SK_OFFSETS[1], DEFECT_OVERLAP_WINDOW, False)
-    inverted = planted(num % DEFECT_INVERTED_MOD == 0, DEFECT_SK_OFFSETS[2], DEFECT_INVERTED_WINDOW, False)
+    second = planted(num % DEFECT_SECOND_CURRENT_MOD == 0, 1 * step, None, True)
+    overlap = planted(num % DEFECT_OVERLAP_MOD == 0, 2 * step, DEFECT_OVERLAP_WINDOW, False)
+    inverted = planted(num % DEFECT_INVERTED_MOD == 0, 3 * step, DEFECT_INVERTED_WINDOW, False)
     return base.unionByName(second).unionByName(overlap).unionByName(inverted)
