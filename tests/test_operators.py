@@ -258,3 +258,16 @@ def test_latest_per_key_keeps_the_newest_row_of_each_key(spark):
     out = {r["customer_id"]: r["customer_name"] for r in scd.latest_per_key(df, "customer_id").collect()}
     assert out == {"C1": "new", "C2": "only"}
     assert scd.latest_per_key(df, "customer_id").columns == df.columns
+
+
+def test_wide_attributes_are_not_broadcast(spark, monkeypatch):
+    from tidemark import session
+    from tidemark.operators import scd
+    target = spark.createDataFrame([(f"P{i}", "x" * 400, datetime(2020, 1, 1)) for i in range(60)],
+                                   "id string, name string, updated_at timestamp_ntz")
+    staging = spark.createDataFrame([(f"P{i}", "y" * 400) for i in range(0, 90, 2)], "id string, name string")
+    plain = _join_rows(scd.load_type_1(target, staging, "id", ["name"], loaded_at=datetime(2020, 2, 1)).dimension)
+    monkeypatch.setattr(session, "BROADCAST_MAX_BYTES", 10)
+    wide = scd.load_type_1(target, staging, "id", ["name"], loaded_at=datetime(2020, 2, 1))
+    assert not session.fits_broadcast(wide.classified)
+    assert _join_rows(wide.dimension) == plain

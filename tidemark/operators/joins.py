@@ -2,8 +2,7 @@
 
 A hash or sort-merge join sends every row of a key to one task. When a key can
 hold a third of all rows (a hot customer, the Unknown member), that task does a
-third of the job. ``skew_safe_join`` finds such keys from a sample, joins them
-separately against a broadcast (or salted) copy of their few partner rows, and
+third of the job. ``skew_safe_join`` counts such keys, joins them separately against a broadcast (or salted) copy of their few partner rows, and
 joins the rest normally. Hot-key detection only steers the plan; every row is
 joined exactly once, so results are whole.
 """
@@ -17,35 +16,24 @@ from pyspark.sql import functions as F
 
 from tidemark.session import broadcast_bound, fits_broadcast, known_rows, row_count, stage
 
-# A key is hot when it holds at least this share of the rows (and at least
-# HOT_MIN_ROWS rows). At most ~2 / HOT_SHARE keys can qualify, which bounds the
-# broadcast of the hot-key list.
-HOT_SHARE = 1e-3
-HOT_MIN_ROWS = 100_000
-SAMPLE_ROWS = 1_000_000
+# A key is hot when it holds at least this many rows: a fixed budget for one task,
+# whatever the size of the table.
+HOT_MIN_ROWS = 1_000_000
 SALT_BUCKETS = 64
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float | None = None,
-             min_rows: int | None = None, sample_rows: int | None = None) -> DataFrame | None:
-    """Keys of ``df`` holding at least ``max(min_rows, share * n)`` rows, or None.
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame | None:
+    """Keys of ``df`` with at least ``min_rows`` rows, the largest first, or None.
 
-    Found on a sample of about ``sample_rows`` rows; the result has at most
-    about ``2 / share`` rows (a proven bound, so it may be broadcast).
+    Counted over all rows (map-side partial sums). At most ``broadcast_bound()``
+    keys are returned, so the result may be broadcast; the list only steers the
+    plan.
     """
-    share = HOT_SHARE if share is None else share
     min_rows = HOT_MIN_ROWS if min_rows is None else min_rows
-    sample_rows = SAMPLE_ROWS if sample_rows is None else sample_rows
-    n = row_count(df)
-    threshold = max(float(min_rows), share * n)
-    if n < threshold:
+    if row_count(df) < min_rows:
         return None
-    fraction = min(1.0, sample_rows / max(n, 1))
-    cut = max(1.0, 0.5 * threshold * fraction)
-    sample = df.select(*keys) if fraction >= 1.0 else df.select(*keys).sample(False, fraction, seed=17)
-    found = (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") >= F.lit(cut)).select(*keys))
-    found = stage(found)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_rows)
+    found = stage(counts.orderBy(F.desc("_n")).limit(broadcast_bound()).select(*keys))
     return found if row_count(found) > 0 else None
 
 

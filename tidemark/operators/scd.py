@@ -183,7 +183,7 @@ def load_type_2(dim: DataFrame, staging: DataFrame, business_key: str, attribute
 
     changed_keys = classified.where(F.col("action") == CHANGED).select(F.col(bk), F.lit(True).alias("_chg"))
     # The changed-key count is known, so the broadcast check costs no job.
-    small = counts[CHANGED] <= broadcast_bound()
+    small = counts[CHANGED] <= broadcast_bound()  # keys only, so rows bound the bytes
     marked = dim.join(F.broadcast(changed_keys) if small else changed_keys, bk, "left")
     closing = F.col("is_current") & F.coalesce(F.col("_chg"), F.lit(False))
     dim_cols = dim.columns
@@ -215,7 +215,7 @@ def load_type_1(target: DataFrame, staging: DataFrame, business_key: str, attrib
     stamp = ts_literal(loaded_at)
     changes = classified.where(F.col("action") == CHANGED).select(
         F.col(bk), *[F.col(a).alias(f"_s_{a}") for a in attributes], F.lit(True).alias("_chg"))
-    marked = target.join(F.broadcast(changes) if counts[CHANGED] <= broadcast_bound() else changes, bk, "left")
+    marked = target.join(F.broadcast(changes) if fits_broadcast(classified) else changes, bk, "left")
     hit = F.coalesce(F.col("_chg"), F.lit(False))
     cols = []
     for c in target.columns:

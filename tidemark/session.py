@@ -10,9 +10,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest side (in rows) that is ever broadcast. Dimension and key rows are
-# narrow (< 200 bytes), so this keeps a broadcast under ~400 MB.
+# Largest side that is ever broadcast: in rows, and in bytes as written to the
+# shared folder where the side was staged (wide attributes).
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -73,6 +74,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _ROWS_ATTR = "_tidemark_rows"
+_BYTES_ATTR = "_tidemark_bytes"
 
 
 def stage(df: DataFrame, name: str = "stage", metrics: list | None = None) -> DataFrame:
@@ -99,6 +101,9 @@ def stage(df: DataFrame, name: str = "stage", metrics: list | None = None) -> Da
     values = dict(obs.get)
     setattr(staged, _ROWS_ATTR, int(values.pop("_n")))
     setattr(staged, _METRICS_ATTR, values)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    setattr(staged, _BYTES_ATTR, int(fs.getContentSummary(folder).getLength()))
     return staged
 
 
@@ -179,13 +184,14 @@ def row_count(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+    """True when ``df`` has at most ``max_rows`` rows and, if it was staged, at
+    most ``BROADCAST_MAX_BYTES`` bytes.
 
     A distributed count (partial counts per task, one row per task to the
     driver); a ``limit`` would funnel rows through a single partition.
     """
     bound = broadcast_bound() if max_rows is None else max_rows
-    return row_count(df) <= bound
+    return getattr(df, _BYTES_ATTR, 0) <= BROADCAST_MAX_BYTES and row_count(df) <= bound
 
 
 def broadcast_bound() -> int:
