@@ -286,11 +286,16 @@ def test_incremental_validation_matches_a_full_validation(spark, sc):
     assert third.history_problems == full == ["1 row(s) with valid_to on or before valid_from"]
 
 
-def test_a_run_removes_its_staging_unless_asked_to_keep_it(spark, sc):
-    from tidemark.session import path_exists, staged_since, staging_mark
+def test_a_run_removes_its_staging_unless_asked_to_keep_it(spark, sc, monkeypatch):
+    from tidemark.plans import run as module
+    from tidemark.session import path_exists, stage, staging
+    created = []
+    plain = module.delete_paths
+    monkeypatch.setattr(module, "delete_paths", lambda s, paths: (created.extend(paths), plain(s, paths)))
     wh = Warehouse(spark, scratch_path(spark, "tidy"))
-    mark = staging_mark()
-    run(spark, wh, sc.v1, run_ts=datetime(2026, 1, 1), date_start=sc.date_start, date_end=sc.date_end)
-    created = staged_since(mark)
+    with staging() as outer:
+        other = stage(spark.range(3), "someone_elses")
+        run(spark, wh, sc.v1, run_ts=datetime(2026, 1, 1), date_start=sc.date_start, date_end=sc.date_end)
+        assert len(outer) == 1 and other.count() == 3
     assert created and not any(path_exists(spark, p) for p in created)
     assert read_state(wh).fact_order_line.count() == sc.report1.facts_read

@@ -9,7 +9,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import window_predicate
+from tidemark.functions.expressions import ts_literal, window_predicate
 
 
 def extract(source: DataFrame, low: datetime, high: datetime, columns: Sequence[str] | None = None,
@@ -32,7 +32,17 @@ def high_water_frame(sources: Sequence[DataFrame], change_column: str = "updated
     return reduce(DataFrame.unionByName, maxima).agg(F.max("high_water").alias("high_water"))
 
 
-def high_water(sources: Sequence[DataFrame], run_ts: datetime, change_column: str = "updated_at") -> datetime:
-    """The run's high-water mark, captured once; ``run_ts`` if every source is empty."""
+def high_water(sources: Sequence[DataFrame], run_ts: datetime, change_column: str = "updated_at",
+               after: datetime | None = None) -> datetime:
+    """The run's high-water mark, captured once; ``run_ts`` if every source is empty.
+
+    With ``after`` (the stored mark), rows changed since are looked at first, through
+    a pushed filter; only if there are none are the sources read whole.
+    """
+    if after is not None:
+        newer = [s.where(F.col(change_column) > ts_literal(after)) for s in sources]
+        value = high_water_frame(newer, change_column).collect()[0]["high_water"]
+        if value is not None:
+            return value
     value = high_water_frame(sources, change_column).collect()[0]["high_water"]
     return value if value is not None else run_ts

@@ -6,6 +6,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,7 +94,8 @@ def stage(df: DataFrame, name: str = "stage", metrics: list | None = None) -> Da
 
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    _STAGED.append(path)
+    if (mine := _STAGED.get()) is not None:
+        mine.append(path)
     obs = Observation(f"tidemark_{uuid.uuid4().hex[:8]}")
     # The observation sits on top of the plan, in the writing (result) stage,
     # whose task updates Spark applies once per partition even under retries.
@@ -108,17 +111,19 @@ def stage(df: DataFrame, name: str = "stage", metrics: list | None = None) -> Da
 
 
 _METRICS_ATTR = "_tidemark_metrics"
-# Directories written by ``stage`` in this process, oldest first.
-_STAGED: list[str] = []
-
-
-def staged_since(mark: int) -> list[str]:
-    """Staging directories written since ``len(_STAGED) == mark``."""
-    return list(_STAGED[mark:])
-
-
-def staging_mark() -> int:
-    return len(_STAGED)
+# Directories written by ``stage`` within the innermost ``staging`` block. Each
+# thread has its own, so runs side by side don't touch each other's.
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staging():
+    """Collects the directories that ``stage`` writes inside the block."""
+    token = _STAGED.set([])
+    try:
+        yield _STAGED.get()
+    finally:
+        _STAGED.reset(token)
 
 
 def delete_paths(spark: SparkSession, paths: list[str]) -> None:
