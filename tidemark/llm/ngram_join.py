@@ -43,11 +43,13 @@ FREQUENT = 8
 #: N-grams put last at most (the most frequent ones); bounds what is broadcast to 8 MB.
 MAX_FREQUENT = 1_000_000
 #: N-grams that are counted together before their repeats are passed on.
-BLOCK = 3_000_000
+BLOCK = 1_000_000
 #: Longer lists link through hubs; shorter ones give all their pairs.
 LONG_LIST = 48
-#: Hubs of each long list.
-HUBS = 3
+#: Hubs of each long list, and how often new ones are tried.
+HUBS, HUB_ROUNDS = 3, 4
+#: Document ids that are broadcast at most (16 MB).
+BROADCAST_IDS = 2_000_000
 
 _U = np.uint64
 _GATE = 22  # leading hash bits of the quick test for frequent n-grams
@@ -220,27 +222,36 @@ def _near(a: str, b: str):
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def _counted_pairs(pairs: DataFrame) -> DataFrame:
+def _prefix_rest(n):
+    """How many n-grams of a set of n stand behind its prefix."""
+    return F.ceil(PERCENT * n / F.lit(100)) - 1
+
+
+def _room(overlap, a, b):
+    """Whether an overlap of at most this many lets sets of these sizes link."""
+    return overlap * (100 + PERCENT) >= PERCENT * (a + b)
+
+
+def _counted_pairs(pairs: DataFrame, long_counts: DataFrame) -> DataFrame:
     """(a, b) of short lists whose shared prefix n-grams leave room for a link.
 
-    Sets link only with an overlap of at least PERCENT / (100 + PERCENT) of the sum of
-    their sizes. What they can share is what their prefixes do share, their frequent
-    prefix n-grams (not counted here) and the longer of the two rests.
+    Sets can share what is counted here, n-grams of their prefixes that aren't (frequent
+    ones, and ``k`` in long lists), and what stands behind the longer of the prefixes.
     """
     found = pairs.groupBy("a", "b", "ma", "mb").agg(F.count(F.lit(1)).alias("shared"))
+    for k in "ab":
+        found = found.join(long_counts.select(F.col("cid").alias(k), F.col("k").alias(f"k{k}")), k, "left")
     size = {k: F.floor(F.col(f"m{k}") / _PART) for k in "ab"}
-    heavy = {k: F.col(f"m{k}") % _PART for k in "ab"}
-    rest = {k: F.ceil(PERCENT * size[k] / F.lit(100)) - 1 for k in "ab"}
-    room = F.col("shared") + F.least(heavy["a"], heavy["b"]) + F.greatest(rest["a"], rest["b"])
-    return found.where(room * (100 + PERCENT) >= PERCENT * (size["a"] + size["b"])).select("a", "b")
+    more = {k: F.col(f"m{k}") % _PART + F.coalesce(f"k{k}", F.lit(0)) for k in "ab"}
+    most = F.col("shared") + F.least(more["a"], more["b"]) + F.greatest(_prefix_rest(size["a"]), _prefix_rest(size["b"]))
+    return found.where(_room(most, size["a"], size["b"])).select("a", "b")
 
 
-def linked(docs: DataFrame, pairs: DataFrame, only: DataFrame | None = None) -> DataFrame:
-    """The pairs (a, b) of documents that link, by summed overlaps of vertical fragments.
+def fragments(docs: DataFrame, ids: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """(id, fragment, n, grams): the sets of the documents in ``ids``, cut vertically.
 
     ``only`` (doc_id, n, h1, h2) names the set to take where rows share a doc_id.
     """
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.arange(1, FRAGMENTS, dtype=np.uint64) * _U((1 << 64) // FRAGMENTS)
@@ -259,11 +270,17 @@ def linked(docs: DataFrame, pairs: DataFrame, only: DataFrame | None = None) ->
                 names=["id", "fragment", "n", "h1", "grams"],
             )
 
-    rows = docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
+    ids = written(ids.select(F.col("id").alias("doc_id")).distinct(), "join-ids")
+    few = ids.count() <= BROADCAST_IDS  # else both sides are shuffled
+    rows = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("doc_id", "text")
     parts = rows.mapInArrow(run, "id long, fragment long, n long, h1 long, grams array<long>")
     if only is not None:
         parts = parts.join(only.withColumnRenamed("doc_id", "id"), ["id", "n", "h1"], "left_semi").dropDuplicates(["id", "fragment"])
-    parts = written(parts, "fragments")
+    return written(parts, "fragments")
+
+
+def linked(parts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of documents that link: partial overlaps by fragment, summed per pair."""
     left = parts.select(F.col("id").alias("a"), "fragment", F.col("n").alias("na"), F.col("grams").alias("ga"))
     right = parts.select(F.col("id").alias("b"), "fragment", F.col("n").alias("nb"), F.col("grams").alias("gb"))
     partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("overlap"))
@@ -271,22 +288,53 @@ def linked(docs: DataFrame, pairs: DataFrame, only: DataFrame | None = None) ->
     return total.where(100 * F.col("o") >= PERCENT * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
 
 
+def _able(n, hidden, m, other):
+    """Whether sets of n and m can link without an n-gram that a short list has shown.
+
+    ``hidden`` counts a set's n-grams but for those of its prefix in short lists; sets
+    that share one of these are among the pairs of short lists.
+    """
+    return _near(n, m) & _room(F.least(hidden, other), F.col(n), F.col(m))
+
+
+def _hub(seed: int, *more: str):
+    """Of a random quarter of a list's members, the one with the fewest n-grams of its own.
+
+    Near copies that were changed least are the likeliest to link with the others.
+    """
+    quarter = F.pmod(F.xxhash64("cid", F.lit(seed)), F.lit(4)).alias("q")
+    return F.struct(quarter, (F.col("n") - F.col("hidden")).alias("own"), F.xxhash64("cid").alias("h"), "cid", "n", "hidden", *more)
+
+
 def _hub_pairs(rows: DataFrame) -> DataFrame:
-    """Each member of a long list with the list's hubs: its least members by a few hashes."""
-    hubs = rows.groupBy("gram").agg(*(F.min(F.struct(F.xxhash64("cid", F.lit(k)).alias("h"), "cid", "n")).alias(f"hub{k}") for k in range(HUBS)))
-    hubs = hubs.select("gram", F.explode(F.array_distinct(F.array(*(F.struct(F.col(f"hub{k}.cid").alias("cid"), F.col(f"hub{k}.n").alias("n")) for k in range(HUBS))))).alias("hub"))
-    met = rows.join(hubs, "gram").where(F.col("cid") != F.col("hub.cid")).where(_near("n", "hub.n"))
+    """Each member of a long list with the list's hubs."""
+    hubs = rows.groupBy("gram").agg(*(F.min(_hub(k)).alias(f"hub{k}") for k in range(HUBS)))
+    hubs = hubs.select("gram", F.explode(F.array_distinct(F.array(*(F.struct(F.col(f"hub{k}.cid").alias("cid"), F.col(f"hub{k}.n").alias("n"), F.col(f"hub{k}.hidden").alias("hidden")) for k in range(HUBS))))).alias("hub"))
+    met = rows.join(hubs, "gram").where(F.col("cid") != F.col("hub.cid")).where(_able("n", "hidden", "hub.n", "hub.hidden"))
     return met.select(F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")).distinct()
 
 
-def _rest_pairs(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Of long lists, the members outside the largest component with all of other components."""
+def _apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of long lists whose members are in several components, with the largest (top)."""
     rows = rows.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     sizes = rows.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("k"))
     largest = sizes.groupBy("gram").agg(F.max(F.struct("k", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("gram", F.col("top.root").alias("top"))
-    rows = written(rows.join(largest, "gram"), "list-rest")
-    minor = rows.where("root <> top").select("gram", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    met = minor.join(rows.select("gram", "cid", "n", "root"), "gram").where((F.col("rx") != F.col("root")) & _near("n", "nx"))
+    return written(rows.join(largest, "gram"), "lists-apart")
+
+
+def _more_hub_pairs(apart: DataFrame, seed: int) -> DataFrame:
+    """Members outside a list's largest component with new hubs, inside and outside of it."""
+    pick = [(f"hub{k}", k, F.col("root") == F.col("top")) for k in range(HUBS)] + [("hub", HUBS, F.col("root") != F.col("top"))]
+    hubs = apart.groupBy("gram").agg(*(F.min(F.when(of, _hub(seed * 10 + k, "root"))).alias(name) for name, k, of in pick))
+    hubs = hubs.select("gram", F.explode(F.array(*(name for name, _, _ in pick))).alias("hub"))
+    met = apart.where("root <> top").join(hubs, "gram").where((F.col("root") != F.col("hub.root")) & _able("n", "hidden", "hub.n", "hub.hidden"))
+    return met.select(F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")).distinct()
+
+
+def _rest_pairs(apart: DataFrame) -> DataFrame:
+    """The members outside a list's largest component with all of other components."""
+    minor = apart.where("root <> top").select("gram", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("hidden").alias("hx"), F.col("root").alias("rx"))
+    met = minor.join(apart.select("gram", "cid", "n", "hidden", "root"), "gram").where((F.col("rx") != F.col("root")) & _able("n", "hidden", "nx", "hx"))
     return met.select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b")).distinct()
 
 
@@ -308,16 +356,31 @@ def join_components(docs: DataFrame) -> DataFrame:
     light = nodes.select(F.explode("light").alias("gram"), "cid", packed)
     sorted_lists = light.repartition("gram").sortWithinPartitions("gram")
     met = written(sorted_lists.mapInArrow(_list_pairs, "gram long, a long, b long, ma long, mb long"), "list-pairs")
-    heavy = nodes.select(F.explode("heavy").alias("gram"), "cid", "n")
-    long_rows = heavy.unionAll(met.where("b IS NULL").select("gram", F.col("a").alias("cid"), F.floor(F.col("ma") / _PART).alias("n")))
-
-    pairs = written(_counted_pairs(met.where("b IS NOT NULL")).unionAll(_hub_pairs(long_rows)).distinct(), "candidates")
-    links = written(linked(docs, pairs, only), "links")
-    roots = written(components(links), "roots")
-    rest = written(_rest_pairs(long_rows, roots), "rest")
-    if not rest.isEmpty():
-        links = links.unionAll(linked(docs, rest, only))
-        roots = components(links)
+    heavy = nodes.select(F.explode("heavy").alias("gram"), "cid", packed)
+    long_rows = heavy.unionAll(met.where("b IS NULL").select("gram", F.col("a").alias("cid"), F.col("ma").alias("m")))
+    long_counts = met.where("b IS NULL").groupBy(F.col("a").alias("cid")).agg(F.count(F.lit(1)).alias("k"))
+    long_rows = long_rows.join(long_counts, "cid", "left").withColumn("n", F.floor(F.col("m") / _PART))
+    long_rows = long_rows.select("gram", "cid", "n", (_prefix_rest(F.col("n")) + F.col("m") % _PART + F.coalesce("k", F.lit(0))).alias("hidden"))
+    # A set that can't reach the least overlap with any other by these n-grams has no part in this.
+    long_rows = written(long_rows.where(F.col("hidden") * 100 >= PERCENT * F.col("n")), "long-lists")
+
+    pairs = written(_counted_pairs(met.where("b IS NOT NULL"), long_counts).unionAll(_hub_pairs(long_rows)).distinct(), "candidates")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).union(long_rows.select(F.col("cid").alias("id")))
+    parts = fragments(docs, ids, only)
+    roots = written(components(written(linked(parts, pairs), "links")), "roots")
+    for seed in range(1, HUB_ROUNDS + 1):
+        apart, done = _apart(long_rows, roots), seed == HUB_ROUNDS
+        if apart.isEmpty():
+            break
+        if not done:
+            new = written(_more_hub_pairs(apart, seed).join(pairs, ["a", "b"], "left_anti"), "candidates")
+            links = written(linked(parts, new), "links")
+            pairs, done = pairs.unionAll(new), links.isEmpty()
+        if done:  # who is still apart is compared with all
+            links = written(linked(parts, _rest_pairs(apart).join(pairs, ["a", "b"], "left_anti")), "links")
+        roots = written(components(links.unionAll(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))), "roots")
+        if done:
+            break
 
     owner = classes.select(*key, "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
     owner = owner.select(*key, F.coalesce("root", "cid").alias("component_id"))

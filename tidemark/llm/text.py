@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer single text is its own slice.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 SPACES = b" \t\n\v\f\r"
 NOT_SPACE = np.array([b not in SPACES for b in range(256)])
