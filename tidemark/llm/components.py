@@ -24,10 +24,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now, before = written(now, "edges"), None
     while True:
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _stars(both).where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
-        down = _stars(large)
-        small = down.select(F.col("v").alias("u"), F.col("least").alias("v")).unionAll(down.select("u", F.col("least").alias("v")))
-        now = written(small.where("u <> v").distinct(), "edges")
+        large = written(_stars(both).where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")), "edges")
+        each = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("least").alias("v")), F.struct("u", F.col("least").alias("v"))))
+        now = written(_stars(large).select(each.alias("e")).select("e.*").where("u <> v").distinct(), "edges")
         state = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).collect()[0]
         if before == (state["n"], state["h"]):
             break
