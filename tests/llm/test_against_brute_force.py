@@ -157,7 +157,7 @@ def components_of(sets):
     return {i: find(i) for i in sets}
 
 
-@pytest.mark.parametrize("long_list, frequent", [(48, 8), (5, 2)])
+@pytest.mark.parametrize("long_list, frequent", [(20, 6), (5, 2)])
 def test_join_components(spark, texts, monkeypatch, long_list, frequent):
     monkeypatch.setattr(ngram_join, "LONG_LIST", long_list)
     monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
@@ -306,3 +306,11 @@ def test_marginals_by_enumeration():
         total += p
         each += p * np.array(state)
     assert np.allclose(model.marginals(nodes), each / total)
+
+
+def test_signatures_hold_their_keyword_and_a_cue():
+    signatures = license_scan.signatures()
+    assert 300 < len(signatures) < 600 and len({(s[0], s[3]) for s in signatures}) == len(signatures)
+    for label, keyword, _, pattern in signatures:
+        assert keyword in re.sub(r"[^a-z0-9 ]", " ", pattern).split(), (label, pattern)
+        assert any(cue in pattern for cue in license_scan.CUES), pattern
