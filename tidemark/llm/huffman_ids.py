@@ -21,6 +21,7 @@ their ids' bytes; an empty table gives an empty dataset; other columns aren't re
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
@@ -42,19 +43,24 @@ MAX_BITS = 18
 BLOCK = 256
 SEGMENT = 1 << 19
 #: Distinct words remembered per worker.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 #: Punctuation that is tokenized apart from the word that it ends.
 ENDINGS = ".,;:!?#*$%&"
 
 # ---------------------------------------------------------------- tokenizing
 
 
+_ENDING = np.array([b in ENDINGS.encode() for b in range(256)])
+_ALNUM = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 for b in range(256)])
+
+
 class WordIds:
     """Ids of texts by a tokenizer that drops white space and never joins across it.
 
-    Each distinct word (run of other characters) goes through the tokenizer once, and
-    punctuation that ends a word apart from it, as the tokenizer's pattern cuts there.
-    New words are joined by a special token, by which their ids are told apart.
+    Each distinct word (run of other characters) goes through the tokenizer once; words
+    are cut between ASCII letters or digits and ``ENDINGS`` if the tokenizer cuts there
+    as well, and A-Z are lower-cased before if it does that. New words are joined by a
+    special token, by which their ids are told apart.
     """
 
     def __init__(self, path: str):
@@ -67,46 +73,59 @@ class WordIds:
         self.special = tuple(special)
         same = lambda *texts: len({tuple(sum((self.tokenizer.encode(t, add_special_tokens=False).ids for t in x), [])) for x in texts}) == 1
         self.folds = same(("Ab",), ("ab",))
-        self.cuts = all(same((f"a1{p}", ), ("a1", p)) for p in [*ENDINGS, ENDINGS])
+        self.cuts = all(same((f"a1{p}b",), ("a1", p, "b")) for p in [*ENDINGS, ENDINGS])
+        # Lower-case Latin words need no folding, pattern or byte table, only the merges.
+        own = json.loads(self.tokenizer.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
+        self.merges = Tokenizer.from_str(json.dumps(own))
+        probes = ["!", "a", "z", "the", "and", "qxz", "tokenization", "thntblere"]
+        alike = [self.merges.encode(p).ids == self.tokenizer.encode(p, add_special_tokens=False).ids for p in probes]
+        self.plain = all(alike) and len(self.merges.encode("!").ids) == 1
         self.forget()
 
     def forget(self) -> None:
         self.words: dict[str, int] = {}
-        self.parts: dict[str, tuple[int, ...]] = {"": ()}
         self.pool, self.begin = array("i"), array("q", [0])
 
-    def _add_parts(self, parts: list[str]) -> None:
-        alone = [p for p in parts if self.mark is None or any(s in p for s in self.special)]
-        for p, e in zip(alone, self.tokenizer.encode_batch(alone, add_special_tokens=False)):
-            self.parts[p] = tuple(e.ids)
-        joined = [p for p in parts if p not in self.parts]
-        groups = [joined[i : i + 256] for i in range(0, len(joined), 256)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast([f" {self.mark} ".join(g) for g in groups], add_special_tokens=False)):
-            at = 0
-            ids = e.ids
-            for p in group:
-                to = ids.index(self.mark_id, at) if p is not group[-1] else len(ids)
-                self.parts[p] = tuple(ids[at:to])
-                at = to + 1
-
     def _add(self, words: list[str]) -> None:
-        cut = []
-        for w in words:
-            low = w.lower() if self.folds and w.isascii() and "<" not in w else w  # special tokens are matched before folding
-            core = low.rstrip(ENDINGS) if self.cuts else low
-            cut.append((core, low[len(core) :]) if core and core[-1].isalnum() else (low, ""))
-        self._add_parts(list(dict.fromkeys(p for pair in cut for p in pair if p and p not in self.parts)))
-        for w, (core, end) in zip(words, cut):
+        plain = [w for w in words if w.isascii() and w.isalpha() and w.islower()] if self.plain else []
+        self._add_joined(self.merges, plain, "!", self.merges.encode("!").ids[0] if plain else None)
+        rest = [w for w in words if w not in self.words] if plain else words
+        alone = [w for w in rest if self.mark is None or ("<" in w and any(s in w for s in self.special))]
+        for w, e in zip(alone, self.tokenizer.encode_batch(alone, add_special_tokens=False)):
             self.words[w] = len(self.begin) - 1
-            self.pool.extend(self.parts[core])
-            if end:
-                self.pool.extend(self.parts[end])
+            self.pool.extend(e.ids)
             self.begin.append(len(self.pool))
+        self._add_joined(self.tokenizer, [w for w in rest if w not in self.words] if alone else rest, self.mark, self.mark_id)
+
+    def _add_joined(self, tokenizer, words: list[str], mark: str, mark_id: int) -> None:
+        """Encode words with a mark between them, whose id none of them has."""
+        groups = [words[i : i + 256] for i in range(0, len(words), 256)]
+        for group, e in zip(groups, tokenizer.encode_batch_fast([f" {mark} ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype=np.int32)
+            marks = np.flatnonzero(ids == mark_id)
+            ends = np.append(marks, len(ids)) - np.arange(len(group))
+            first, before = len(self.begin) - 1, len(self.pool)
+            self.words.update(zip(group, range(first, first + len(group))))
+            self.pool.frombytes(np.delete(ids, marks).tobytes())
+            self.begin.frombytes((ends + before).astype(np.int64).tobytes())
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one after another, each row ended by ``end_id``; ids per row)."""
-        lists = pc.ascii_split_whitespace(pc.fill_null(column.cast(pa.large_string()), ""))
-        words = pc.dictionary_encode(lists.flatten())
+        raw, offsets = T.buffer_of(column)
+        if self.folds:
+            # Special tokens are matched before folding: bytes of words with "<" stay.
+            raw = T.LOWER[raw] if 60 not in raw else np.where(_near_sign(raw), raw, T.LOWER[raw])
+        starts, ends, counts = T.word_spans(raw, offsets)
+        if self.cuts and len(starts):
+            end, alnum = _ENDING[raw], _ALNUM[raw]
+            cut = np.flatnonzero((end[1:] & alnum[:-1]) | (end[:-1] & alnum[1:])) + 1
+            cut = cut[~np.isin(cut, offsets, assume_unique=False)]
+            counts = counts + np.diff(np.searchsorted(cut, offsets))
+            starts, ends = np.sort(np.concatenate((starts, cut))), np.sort(np.concatenate((ends, cut)))
+        size = ends - starts
+        data = raw[T.NOT_SPACE[raw]]
+        at = np.concatenate(([0], np.cumsum(size)))
+        words = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(at), pa.py_buffer(data)).dictionary_encode()
         texts = words.dictionary.to_pylist()
         if len(self.words) > REMEMBERED:
             self.forget()
@@ -114,46 +133,59 @@ class WordIds:
             self._add(new)
         flat = np.append(np.frombuffer(self.pool, dtype=np.int32), np.int32(end_id)) if self.pool else np.array([end_id], np.int32)
         begin = np.frombuffer(self.begin, dtype=np.int64)
-        own = np.array([self.words[w] for w in texts], dtype=np.int64)
+        own = np.fromiter(map(self.words.__getitem__, texts), dtype=np.int64, count=len(texts))
         start = np.append(begin[own], len(flat) - 1)
-        size = np.append(begin[own + 1] - begin[own], 1)
+        length = np.append(begin[own + 1] - begin[own], 1)
         # Words of all rows with an end mark after each row.
-        at = np.asarray(lists.offsets, dtype=np.int64)
-        at = at - at[0]
-        marks = np.insert(words.indices.to_numpy(zero_copy_only=False).astype(np.int64), at[1:], len(texts))
-        n = size[marks]
+        row_ends = np.cumsum(counts)
+        marks = np.insert(words.indices.to_numpy(zero_copy_only=False).astype(np.int64), row_ends, len(texts))
+        n = length[marks]
         last = np.cumsum(n)
         ids = flat[np.repeat(start[marks] - (last - n), n) + np.arange(last[-1] if len(last) else 0)]
-        ends = at[1:] + np.arange(1, len(at))
-        return ids, np.diff(np.concatenate(([0], last[ends - 1])))
+        return ids, np.diff(np.concatenate(([0], last[row_ends + np.arange(len(row_ends))])))
+
+
+def _near_sign(raw: np.ndarray) -> np.ndarray:
+    """Bytes of words that hold a ``<``."""
+    word = np.cumsum(~T.NOT_SPACE[raw])
+    return np.isin(word, word[raw == 60]) & T.NOT_SPACE[raw]
 
 
 _WORD_IDS: dict[str, WordIds] = {}
 
 
+def numbers(ids: int) -> np.dtype:
+    """How ids below ``ids`` are kept between the passes."""
+    return np.dtype("<u2" if ids <= 1 << 16 else "<u4")
+
+
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, n, ids): the ids of each text and the end id, as little-endian 32-bit numbers."""
+    """(doc_id, n, ids): the ids of each text and the end id, as little-endian numbers.
+
+    Numbers have 16 bits where the vocabulary allows it, else 32 (see ``numbers``).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _WORD_IDS.get(tokenizer) or _WORD_IDS.setdefault(tokenizer, WordIds(tokenizer))
-        for batch in T.slices(batches, "text", 3 * T.SLICE_BYTES):
+        for batch in T.slices(batches, "text", 4 * T.SLICE_BYTES):
             ids, n = own.encode(batch.column("text"), end_id)
-            raw = ids.astype("<i4").tobytes()
-            at = list(accumulate((4 * int(k) for k in n), initial=0))
+            kind = numbers(own.tokenizer.get_vocab_size())
+            raw = ids.astype(kind).tobytes()
+            at = list(accumulate((kind.itemsize * int(k) for k in n), initial=0))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array([raw[a:b] for a, b in zip(at, at[1:])], pa.binary())], names=["doc_id", "n", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, ids binary")
 
 
-def id_counts(rows: DataFrame) -> DataFrame:
+def id_counts(rows: DataFrame, kind: np.dtype) -> DataFrame:
     """(id, n) over all documents, summed within tasks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for raw in batch.column("ids"):
-                own = np.bincount(np.frombuffer(raw.as_buffer(), dtype="<i4"))
+                own = np.bincount(np.frombuffer(raw.as_buffer(), dtype=kind))
                 if len(own) > len(total):
                     own[: len(total)] += total
                     total = own
@@ -252,7 +284,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
     """Encode all texts of ``docs`` into a dataset at ``path``."""
     spark = docs.sparkSession
     rows = written(tokenized(docs, tokenizer, end_id), "ids")
-    counts = id_counts(rows).orderBy("id").toPandas()  # at most one row per id of the vocabulary
+    from tokenizers import Tokenizer
+
+    stored = numbers(Tokenizer.from_file(tokenizer).get_vocab_size())
+    counts = id_counts(rows, stored).orderBy("id").toPandas()  # at most one row per id of the vocabulary
     ids, bits = counts["id"].to_numpy(dtype=np.int64), code_lengths(counts["n"].to_numpy(dtype=np.int64))
     spark.createDataFrame([(int(i), int(b)) for i, b in zip(ids, bits)], "id int, bits int").coalesce(1).write.parquet(f"{path}/book")
 
@@ -283,7 +318,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
             kind = batch.column("doc_id").type
             for name, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
                 names.append(name)
-                parts.append(np.frombuffer(raw.as_py(), dtype="<i4"))
+                parts.append(np.frombuffer(raw.as_py(), dtype=stored))
                 size += len(parts[-1])
                 if size >= SEGMENT:
                     yield full()
