@@ -37,17 +37,17 @@ WIDTH = 5
 #: Link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Vertical fragments of the global order; a power of two.
-FRAGMENTS = 8
+FRAGMENTS = 4
 #: An n-gram goes last in the order when it repeats within blocks of documents this often.
-FREQUENT = 8
+FREQUENT = 6
 #: N-grams put last at most (the most frequent ones); bounds what is broadcast to 8 MB.
 MAX_FREQUENT = 1_000_000
 #: N-grams that are counted together before their repeats are passed on.
-BLOCK = 1_000_000
+BLOCK = 2_000_000
 #: Longer lists link through hubs; shorter ones give all their pairs.
-LONG_LIST = 48
-#: Hubs of each long list, and how often new ones are tried.
-HUBS, HUB_ROUNDS = 3, 4
+LONG_LIST = 20
+#: Hubs of each long list, and the round in which who is still apart is compared with all.
+HUBS, HUB_ROUNDS = 3, 2
 #: Document ids that are broadcast at most (16 MB).
 BROADCAST_IDS = 2_000_000
 
