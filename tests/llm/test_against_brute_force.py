@@ -181,6 +181,19 @@ def test_join_components(spark, texts, monkeypatch, long_list, frequent):
     assert got == {i: (len(sets[i]), roots[i]) for i in sets}
 
 
+@pytest.mark.parametrize("copies", [18, 22, 32])
+def test_links_of_unequal_sizes_in_long_lists(spark, monkeypatch, copies):
+    monkeypatch.setattr(ngram_join, "FREQUENT", 10**6)
+    rows = []
+    for g in range(12):  # texts that link with the shortest of their group only
+        base = [f"g{g}w{i}" for i in range(104)]
+        rows.append((100 * g, " ".join(base)))
+        rows += [(100 * g + k, " ".join(base + [f"g{g}own{k}x{i}" for i in range((25, 25, 24, 20)[k % 4])])) for k in range(1, copies + 1)]
+    got = {r.doc_id: r.component_id for r in ngram_join.join_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    words = {i: t.split() for i, t in rows}
+    assert got == components_of({i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in words.items()})
+
+
 def test_wand_finds_all_above_the_threshold(spark):
     index = next(decontamination.indexes(spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")))
     rng = np.random.default_rng(0)

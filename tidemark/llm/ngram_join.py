@@ -288,29 +288,32 @@ def linked(parts: DataFrame, pairs: DataFrame) -> DataFrame:
     return total.where(100 * F.col("o") >= PERCENT * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
 
 
-def _able(n, hidden, m, other):
-    """Whether sets of n and m can link without an n-gram that a short list has shown.
+def _able(n, more, m, other):
+    """Whether sets of n and m can link without being a pair of a short list.
 
-    ``hidden`` counts a set's n-grams but for those of its prefix in short lists; sets
-    that share one of these are among the pairs of short lists.
+    Such sets share, of n-grams that stand in both prefixes, only ones of long lists, which
+    ``more`` counts in a set's prefix. All others they share stand behind the prefix that
+    ends first in the global order, which can be the one of either set.
     """
-    return _near(n, m) & _room(F.least(hidden, other), F.col(n), F.col(m))
+    rest = F.greatest(_prefix_rest(F.col(n)), _prefix_rest(F.col(m)))
+    return _near(n, m) & _room(F.least(more, other) + rest, F.col(n), F.col(m))
 
 
-def _hub(seed: int, *more: str):
+def _hub(seed: int, *also: str):
     """Of a random quarter of a list's members, the one with the fewest n-grams of its own.
 
     Near copies that were changed least are the likeliest to link with the others.
     """
     quarter = F.pmod(F.xxhash64("cid", F.lit(seed)), F.lit(4)).alias("q")
-    return F.struct(quarter, (F.col("n") - F.col("hidden")).alias("own"), F.xxhash64("cid").alias("h"), "cid", "n", "hidden", *more)
+    own = F.col("n") - _prefix_rest(F.col("n")) - F.col("more")
+    return F.struct(quarter, own.alias("own"), F.xxhash64("cid").alias("h"), "cid", "n", "more", *also)
 
 
 def _hub_pairs(rows: DataFrame) -> DataFrame:
     """Each member of a long list with the list's hubs."""
     hubs = rows.groupBy("gram").agg(*(F.min(_hub(k)).alias(f"hub{k}") for k in range(HUBS)))
-    hubs = hubs.select("gram", F.explode(F.array_distinct(F.array(*(F.struct(F.col(f"hub{k}.cid").alias("cid"), F.col(f"hub{k}.n").alias("n"), F.col(f"hub{k}.hidden").alias("hidden")) for k in range(HUBS))))).alias("hub"))
-    met = rows.join(hubs, "gram").where(F.col("cid") != F.col("hub.cid")).where(_able("n", "hidden", "hub.n", "hub.hidden"))
+    hubs = hubs.select("gram", F.explode(F.array_distinct(F.array(*(F.struct(F.col(f"hub{k}.cid").alias("cid"), F.col(f"hub{k}.n").alias("n"), F.col(f"hub{k}.more").alias("more")) for k in range(HUBS))))).alias("hub"))
+    met = rows.join(hubs, "gram").where(F.col("cid") != F.col("hub.cid")).where(_able("n", "more", "hub.n", "hub.more"))
     return met.select(F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")).distinct()
 
 
@@ -327,14 +330,14 @@ def _more_hub_pairs(apart: DataFrame, seed: int) -> DataFrame:
     pick = [(f"hub{k}", k, F.col("root") == F.col("top")) for k in range(HUBS)] + [("hub", HUBS, F.col("root") != F.col("top"))]
     hubs = apart.groupBy("gram").agg(*(F.min(F.when(of, _hub(seed * 10 + k, "root"))).alias(name) for name, k, of in pick))
     hubs = hubs.select("gram", F.explode(F.array(*(name for name, _, _ in pick))).alias("hub"))
-    met = apart.where("root <> top").join(hubs, "gram").where((F.col("root") != F.col("hub.root")) & _able("n", "hidden", "hub.n", "hub.hidden"))
+    met = apart.where("root <> top").join(hubs, "gram").where((F.col("root") != F.col("hub.root")) & _able("n", "more", "hub.n", "hub.more"))
     return met.select(F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")).distinct()
 
 
 def _rest_pairs(apart: DataFrame) -> DataFrame:
     """The members outside a list's largest component with all of other components."""
-    minor = apart.where("root <> top").select("gram", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("hidden").alias("hx"), F.col("root").alias("rx"))
-    met = minor.join(apart.select("gram", "cid", "n", "hidden", "root"), "gram").where((F.col("rx") != F.col("root")) & _able("n", "hidden", "nx", "hx"))
+    minor = apart.where("root <> top").select("gram", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("more").alias("mx"), F.col("root").alias("rx"))
+    met = minor.join(apart.select("gram", "cid", "n", "more", "root"), "gram").where((F.col("rx") != F.col("root")) & _able("n", "more", "nx", "mx"))
     return met.select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b")).distinct()
 
 
@@ -360,9 +363,7 @@ def join_components(docs: DataFrame) -> DataFrame:
     long_rows = heavy.unionAll(met.where("b IS NULL").select("gram", F.col("a").alias("cid"), F.col("ma").alias("m")))
     long_counts = met.where("b IS NULL").groupBy(F.col("a").alias("cid")).agg(F.count(F.lit(1)).alias("k"))
     long_rows = long_rows.join(long_counts, "cid", "left").withColumn("n", F.floor(F.col("m") / _PART))
-    long_rows = long_rows.select("gram", "cid", "n", (_prefix_rest(F.col("n")) + F.col("m") % _PART + F.coalesce("k", F.lit(0))).alias("hidden"))
-    # A set that can't reach the least overlap with any other by these n-grams has no part in this.
-    long_rows = written(long_rows.where(F.col("hidden") * 100 >= PERCENT * F.col("n")), "long-lists")
+    long_rows = written(long_rows.select("gram", "cid", "n", (F.col("m") % _PART + F.coalesce("k", F.lit(0))).alias("more")), "long-lists")
 
     pairs = written(_counted_pairs(met.where("b IS NOT NULL"), long_counts).unionAll(_hub_pairs(long_rows)).distinct(), "candidates")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).union(long_rows.select(F.col("cid").alias("id")))
