@@ -218,6 +218,23 @@ def test_all_planted_items_are_found(spark):
     assert want and {(r.doc_id, r.item_id) for r in queries.op4_bm25_decontamination(spark, sf).collect()} == want
 
 
+def test_long_items_are_found(spark):
+    rng = np.random.default_rng(5)
+    share = 1 / np.arange(1, 3001)
+    words = lambda n: " ".join(f"w{i}" for i in rng.choice(3000, n, p=share / share.sum()))
+    sizes = [20, 48, 49, 59, 97, 160, 200, 300, 300, 1000] * 3
+    items = [(i, words(n)) for i, n in enumerate(sizes)]
+    # The rare words of the last one stand together, away from the middle of any passage.
+    items.append((len(items), " ".join(["the"] * 70 + [f"rare{k}" for k in range(20)])))
+    rows = [(i, f"{words(int(rng.integers(0, 700)))} {t} {words(int(rng.integers(0, 300)))}") for i, t in items] + [(100 + i, words(800)) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.matches(docs, tests).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(i, i) for i, _ in items]
+    assert all(r.question_overlap == 1 and r.answer_overlap == 1 for r in got)
+    assert sorted(r.doc_id for r in decontamination.clean_documents(docs, tests).collect()) == list(range(100, 120))
+
+
 def test_index_in_several_parts(spark, monkeypatch):
     sf = "/root/testdata/sf0.01"
     whole = sorted(map(tuple, queries.op4_bm25_decontamination(spark, sf).select("doc_id", "item_id").collect()))

@@ -2,8 +2,11 @@
 
 Every passage of every training text is a query against an index of the test items:
 windows of ``PASSAGE`` words, half overlapping, so that an item of up to half that size
-lies whole in one of them. An item's score is its BM25 score for the passage's distinct
-words as a share of its score for its own words, so one threshold serves all items.
+lies whole in one of them. A longer item is in the index as a whole and also in chunks of
+at most that size, each with a score of its own, so that a text that holds the item has
+passages that hold whole chunks; any of them retrieves the item. A score is the BM25
+score for the passage's distinct words as a share of the score for the item's (or the
+chunk's) own words, so one threshold serves all.
 All items at or above it are retrieved with block-max WAND: postings carry the largest
 score per list and per block, and items whose sum of these can't reach the threshold
 are skipped. Retrieved items are verified by the word trigrams of their question and of
@@ -66,7 +69,10 @@ def _trigrams(words: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Postings of a part of the items, by word; impacts are shares of an item's own score."""
+    """Postings of a part of the items, by word; impacts are shares of an item's own score.
+
+    Chunks of long items are numbered as items, right after the whole item that owns them.
+    """
 
     items: list  # item ids
     question: list[np.ndarray]  # trigrams
@@ -76,6 +82,7 @@ class Index:
     starts: np.ndarray  # first posting of each word, and the end
     docs: np.ndarray  # item number of each posting, ascending within a word
     impacts: np.ndarray
+    owner: np.ndarray  # number of the whole item, for each item and chunk
 
     def __post_init__(self):
         n = len(self.starts) - 1
@@ -165,14 +172,22 @@ class _Postings:
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per item and distinct word: how often it occurs, and the item's size."""
+    """Per item, chunk and distinct word: how often it occurs, and the item's size.
+
+    Chunk 0 is the whole item; items of more than ``STRIDE`` words have others besides.
+    """
     for batch in T.slices(batches, "text"):
         hashes, counts = _words(batch.column("text"))
         row = np.repeat(np.arange(len(counts)), counts)
-        pairs, n = np.unique(np.stack([row.astype(np.uint64), hashes]), axis=1, return_counts=True)
-        at = pairs[0].astype(np.int64)
+        place = np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)
+        chunk = 1 + place * -(-counts // STRIDE)[row] // np.maximum(counts, 1)[row]
+        cut = counts[row] > STRIDE
+        row, chunk, words = (np.concatenate(x).astype(np.uint64) for x in ((row, row[cut]), (np.zeros_like(chunk), chunk[cut]), (hashes, hashes[cut])))
+        keys, n = np.unique(np.stack([row, chunk, words]), axis=1, return_counts=True)
+        at = keys[0].astype(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(batch.column("item").to_numpy()[at]), pa.array(pairs[1].view(np.int64)), pa.array(n), pa.array(counts[at])], names=["item", "word", "tf", "size"]
+            [pa.array(batch.column("item").to_numpy()[at]), pa.array(keys[1].view(np.int64)), pa.array(keys[2].view(np.int64)), pa.array(n), pa.array(counts[at])],
+            names=["item", "chunk", "word", "tf", "size"],
         )
 
 
@@ -190,23 +205,25 @@ def _parts_of(text: str) -> tuple[np.ndarray, np.ndarray]:
 def indexes(items: DataFrame, item_id: str = "item_id") -> Iterator[Index]:
     """The index of all items, in parts of bounded size."""
     numbered = written(items.select(F.col(item_id).alias("id"), "text").withColumn("item", F.monotonically_increasing_id()), "items")
-    terms = written(numbered.select("item", "text").mapInArrow(_postings, "item long, word long, tf long, size long"), "item-words")
+    terms = written(numbered.select("item", "text").mapInArrow(_postings, "item long, chunk long, word long, tf long, size long"), "item-words")
     sums = terms.agg(F.count(F.lit(1)).alias("postings")).collect()[0]
-    every = terms.select("item", "size").distinct().agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("size")).collect()[0]
+    whole = terms.where("chunk = 0")
+    every = whole.select("item", "size").distinct().agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("size")).collect()[0]
     if not sums["postings"]:
         return
-    df = terms.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    df = whole.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log1p((every["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / every["size"]))
-    weighted = terms.join(df, "word").select("item", "word", "size", (idf * tf).alias("w"))
-    own = weighted.groupBy("item").agg(F.sum("w").alias("own"))
-    impacts = written(weighted.join(own, "item").select("item", "word", "size", (F.col("w") / F.col("own")).alias("impact")), "item-impacts")
+    weighted = terms.join(df, "word").select("item", "chunk", "word", "size", (idf * tf).alias("w"))
+    own = weighted.groupBy("item", "chunk").agg(F.sum("w").alias("own"))
+    impacts = written(weighted.join(own, ["item", "chunk"]).select("item", "chunk", "word", "size", (F.col("w") / F.col("own")).alias("impact")), "item-impacts")
     parts = -(-sums["postings"] // PART_POSTINGS)
     for k in range(parts):
         of = F.pmod(F.xxhash64("item"), F.lit(parts)) == k
         rows = impacts.where(of).toPandas()
         names = numbered.where(of).toPandas().set_index("item")
-        ids, number = np.unique(rows["item"].to_numpy(), return_inverse=True)
+        number = rows.groupby(["item", "chunk"]).ngroup().to_numpy()
+        ids = rows[["item", "chunk"]].drop_duplicates().sort_values(["item", "chunk"])["item"].to_numpy()
         if not len(ids):
             continue
         word = rows["word"].to_numpy().view(np.uint64)
@@ -214,10 +231,10 @@ def indexes(items: DataFrame, item_id: str = "item_id") -> Iterator[Index]:
         words, starts = np.unique(word[order], return_index=True)
         size = np.zeros(len(ids), dtype=np.int64)
         size[number] = rows["size"].to_numpy()
-        halves = [_parts_of(names.at[i, "text"]) for i in ids]
+        halves = {i: _parts_of(names.at[i, "text"]) for i in np.unique(ids)}
         yield Index(
-            [names.at[i, "id"] for i in ids], [q for q, _ in halves], [a for _, a in halves], size, words,
-            np.append(starts, len(word)), number[order].astype(np.int64), rows["impact"].to_numpy()[order],
+            [names.at[i, "id"] for i in ids], [halves[i][0] for i in ids], [halves[i][1] for i in ids], size, words,
+            np.append(starts, len(word)), number[order].astype(np.int64), rows["impact"].to_numpy()[order], np.searchsorted(ids, ids),
         )
 
 
@@ -226,7 +243,10 @@ def _share(wanted: np.ndarray, have: np.ndarray) -> float:
 
 
 def matches_in(index: Index, texts: pa.Array) -> list[tuple[int, int, int, float, float, float]]:
-    """(row, item number, first word, score, question share, answer share), the best passage of each."""
+    """(row, item number, first word, score, question share, answer share), the best passage of each.
+
+    Passages that reach the threshold for the whole item go before those that do for a chunk.
+    """
     hashes, counts = _words(texts)
     first = np.concatenate(([0], np.cumsum(counts)))
     at, word = index.find(hashes)
@@ -256,9 +276,11 @@ def matches_in(index: Index, texts: pa.Array) -> list[tuple[int, int, int, float
             b = min(first[r + 1], first[r] + start + PASSAGE + int(index.sizes[item]))
             around = _trigrams(hashes[a:b])
             q, s = _share(index.question[item], around), _share(index.answer[item], around)
-            if q >= QUESTION and s >= ANSWER and score > best.get((r, item), (0, 0.0))[1]:
-                best[r, item] = (start, score, q, s)
-    return [(r, item, *v) for (r, item), v in sorted(best.items())]
+            own_item = int(index.owner[item])
+            rank = (own_item == item, score)
+            if q >= QUESTION and s >= ANSWER and rank > best.get((r, own_item), ((False, 0.0),))[0]:
+                best[r, own_item] = (rank, start, score, q, s)
+    return [(r, item, *v[1:]) for (r, item), v in sorted(best.items())]
 
 
 def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
