@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, huffman_ids, license_scan, ngram_join, quality_rules, queries, sentencepiece_bpe, toxicity, url_rules
+from tidemark.llm import decontamination, html_model, huffman_ids, license_scan, ngram_join, quality_rules, queries, sentencepiece_bpe, toxicity, url_rules
 from tidemark.llm import text as T
 
 SF = "/root/testdata/sf0.001"
@@ -310,6 +310,28 @@ def test_main_texts_are_the_articles(spark):
         assert r.text == article(pages[r.page_id]) and r.n_chars == len(r.text)
 
 
+@pytest.mark.parametrize(
+    "inside, want",
+    [
+        ("<p>One.</p><svg width='1'/><p>Two.</p><svg/><p>Three.</p>", "One.\nTwo.\nThree."),
+        ("<p>One <svg viewBox='0 0 1 1'><text>drawn</text></svg>and two.</p>", "One\nand two."),
+        ("<p>One <math/>and two.</p>", "One and two."),
+        ("<p>Let <math><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow></math> be.</p><p>Two.</p>", "Let x=2 be.\nTwo."),
+        ("<p>The <math><mtable><mtr><mtd><mn>1</mn></mtd><mtd><mn>2</mn></mtd></mtr></mtable></math> row.</p>", "The 1 2 row."),
+        ("<p>One <object data='x'><param name='a' value='b'>a fallback</object> two.</p><p>Three.</p>", "One a fallback two.\nThree."),
+        ("<object data='x'><p>A fallback.</p></object><p>Two.</p>", "A fallback.\nTwo."),
+        ("<p>One <object data='x'>two.</p><p>Three.</p>", "One two.\nThree."),
+        ("<p>One.</p><template><p>Two.</p><noscript><p>Three.</p><template><iframe src='x'><svg><p>Four.</p>", "One.\nTwo.\nThree.\nFour."),
+        ("<p>One.</p><noscript><img>hidden</noscript><script>let a = '<p>';</script><p>Two.</p>", "One.\nTwo."),
+        ("<p>One.</p><script>no end <p>Two.</p>", "One."),
+    ],
+)
+def test_raw_tags_hold_no_more_than_their_own(inside, want):
+    model = html_model.train([html_model.labelled_nodes(x) for x in html_model.EXAMPLES])
+    page = f"<html><body><nav><a href='/'>Home</a></nav><main><article>{inside}</article></main><footer>Imprint</footer></body></html>"
+    assert model.extract(page) == want
+
+
 def test_model_on_pages_without_landmarks():
     from tidemark.llm import html_model
 

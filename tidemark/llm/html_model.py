@@ -15,11 +15,14 @@ reaches the driver. Every page is extracted whole.
 
 Text nodes that are content are joined within a block; character references are decoded,
 white space (a ``br`` too) becomes one space, blocks are trimmed and joined by newlines in
-page order; empty ones vanish.
+page order; empty ones vanish. What stands in a script, style, noscript, template,
+textarea, title, svg or iframe is no text of the page; formulas and the fallback content
+of objects are.
 
 Defined results: null and empty pages have an empty text; text outside any tag is a block
 of the page's root; broken markup is read as browsers do in simple cases (unclosed
-paragraphs, items and inline tags end with their block); repeated rows give equal texts;
+paragraphs, items and inline tags end with their block; a noscript, template, svg or iframe
+without an end tag holds nothing); repeated rows give equal texts;
 null ids and urls are kept; an empty table gives an empty result; other columns are
 dropped. Without any labelled page the built-in pages train the model.
 """
@@ -45,9 +48,13 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z]+")
 
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "math", "object"}
-VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe"}
+#: Of these, the ones that go on to the end of the page without an end tag.
+TO_THE_END = {"script", "style", "textarea", "title"}
+VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr", "param"}
 INLINE = set("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+#: Formulas and objects stand in the line.
+INLINE |= set("object param math semantics annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split())
 #: Tags that an opening block ends when they are open in the same block.
 _ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPES = {"ul", "ol", "table", "dl", "select", "div", "section", "article", "body", "nav", "main", "aside", "header", "footer", "form"}
@@ -78,6 +85,7 @@ def parse(page: str) -> list[Node]:
     nodes = [Node("#root", -1)]
     open_tags = [0]
     run = at = 0
+    unended: set[str] = set()  # tags of RAW without an end tag in the rest of the page
 
     def add(node: Node) -> int:
         node.block = len(nodes) if node.tag not in INLINE and node.text is None else nodes[node.parent].block
@@ -104,6 +112,8 @@ def parse(page: str) -> list[Node]:
         if tag == "br":
             put(" ")
             continue
+        if tag == "mtd":
+            put(" ")
         if tag not in INLINE:
             run += 1
         if m[1]:
@@ -132,8 +142,14 @@ def parse(page: str) -> list[Node]:
         names = tuple(p for a in _NAMES.finditer(m[3]) for p in _PART.findall((a[2] or a[3] or a[4] or "").lower())) if m[3] else ()
         i = add(Node(tag, open_tags[-1], names))
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            if tag == "svg" and m[3].endswith("/") or tag in unended:
+                continue
+            if end := re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at):
+                at = end.end()
+            elif tag in TO_THE_END:
+                at = len(page)
+            else:
+                unended.add(tag)
         elif tag not in VOID and not m[3].endswith("/"):
             open_tags.append(i)
     for i in range(len(nodes) - 1, 0, -1):
