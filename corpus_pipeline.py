@@ -32,7 +32,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids, number of ids and digests of each document's text."""
     model = queries.tokenizer_file("piece_bpe_32k.model")
-    return sentencepiece_bpe.digests(docs, model).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip")
+    return sentencepiece_bpe.digests(docs.select("doc_id", "text"), model).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip")
 
 
 STAGES = [

@@ -105,6 +105,22 @@ def test_stages_keep_columns(spark, docs, nothing, labels, items, tmp_path):
     assert quality_rules.kept_documents(docs).columns == docs.columns
 
 
+def test_stages_on_clashing_columns(spark, docs, nothing, labels, items, tmp_path):
+    sf = str(tmp_path)
+    labels.write.parquet(f"{sf}/labels.parquet")
+    items.write.parquet(f"{sf}/benchmark.parquet")
+    for given in (docs, nothing):
+        given = given.withColumns({c: F.lit("clash") for c in ("n_tokens", "ids_sha256", "decoded_sha256", "round_trip")})
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, given, sf)
+            out.collect()
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert out.dtypes == given.dtypes
+            else:
+                assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"]
+                assert out.count() == given.count() and out.where(F.col("n_tokens").cast("string") == "clash").count() == 0
+
+
 def test_decode_gives_the_text_back(spark, docs):
     model = queries.tokenizer_file("piece_bpe_32k.model")
     there = sentencepiece_bpe.encode(docs.select("doc_id", "text"), model)
