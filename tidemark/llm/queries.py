@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_model, huffman_ids, lattice_dedup, license_scan, ngram_join, quality_rules, sentencepiece_bpe, sharding, toxicity, url_rules, whitening
+from . import collocations, decontamination, html_model, huffman_ids, lattice_dedup, license_scan, ngram_join, quality_rules, sentencepiece_bpe, sharding, toxicity, url_rules, whitening
 
 
 def tokenizer_file(name: str) -> str:
@@ -61,6 +61,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = Non
     return sentencepiece_bpe.digests(docs, model or tokenizer_file("piece_bpe_32k.model")).drop("text")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -82,6 +86,7 @@ QUERIES = {
         op8_toxicity,
         op9_ngram_jaccard_join,
         op10_sentencepiece,
+        op11_phrase_collocations,
         op12_embedding_whitening,
         op13_lattice_dedup,
     )
