@@ -5,8 +5,8 @@ Only one kind of window is counted: each word of a piece with the up to four wor
 all windows that begin with it, so ``ROLLUP`` over the lead columns gives the counts of every
 shorter length; nothing is exploded per length.
 
-Windows are coded by a book of the most frequent words (three bytes each; words beyond the book
-are spelled out, so any vocabulary works), summed within a slice of text, written, and sorted over
+Windows are coded by a book of the most frequent words (two or three bytes each; words beyond the
+book are spelled out, so any vocabulary works), summed within a slice of text, written, and sorted over
 the whole corpus by range partitions. In a sorted run the windows that share a beginning stand
 together: a run that ends inside the batch and falls short of ``least`` can't reach it
 anywhere, so its windows are shortened to the longest beginning that can, and summed. Runs at the
@@ -52,7 +52,10 @@ SALTS = 32
 PIECE_END = np.array([b in b".,;:!?\n\x0b\x0c\r" for b in range(256)])
 IN_WORD = np.array([b not in b".,;:!?\n\x0b\x0c\r \t" for b in range(256)])
 
-SPELLED = b"\xff"  # before a word that is spelled out; the book's codes begin lower
+#: Codes below this take two bytes and begin below LONG; others take three and begin below SPELLED.
+TWO_BYTES = 0x7F00
+LONG = 0x80
+SPELLED = b"\xff"  # before a word that is spelled out
 END = b" "  # no word holds a space
 
 
@@ -125,8 +128,27 @@ def _spelled(word: str) -> bytes:
     return SPELLED + word.encode() + END
 
 
+def _code(number: int) -> bytes:
+    return number.to_bytes(2, "big") if number < TWO_BYTES else (LONG << 16 | number).to_bytes(3, "big")
+
+
+def _side_by_side(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """As many of the columns as fit side by side in one number, in fewer numbers that sort alike."""
+    out: list[np.ndarray] = []
+    left = 0
+    for c in columns:
+        bits = max(1, int(c.max(initial=0)).bit_length())
+        if bits <= left:
+            out[-1] = out[-1] << bits | c
+            left -= bits
+        else:
+            out.append(c)
+            left = 63 - bits
+    return out
+
+
 def windows(docs: DataFrame, broadcast, width: int = WIDTH) -> DataFrame:
-    """(lang, key, n): windows of two to ``width`` words and how often each occurs within a slice of text.
+    """(key, n): windows of two to ``width`` words and how often each occurs within a slice of text.
 
     ``key`` is the language's key and the words' codes one after the other, so it sorts windows with
     the same beginning next to each other.
@@ -159,39 +181,39 @@ def windows(docs: DataFrame, broadcast, width: int = WIDTH) -> DataFrame:
             # Lead columns: a number for each word, 0 for padding; words that are spelled out come after the book.
             plain = np.where(code == -2, len(book.words) + 1 + np.arange(len(code)), code + 1)[at]
             lead = [np.where(length[first] > k, plain[np.minimum(first + k, len(plain) - 1)], 0) for k in range(width)]
-            order = np.lexsort((*reversed(lead), lang[first]))
-            lead = [x[order] for x in lead]
-            speaks = lang[first][order]
+            keys = _side_by_side([lang[first], *lead])
+            order = np.lexsort(keys[::-1])
             new = np.ones(len(order), dtype=bool)
-            new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in (*lead, speaks)])
-            begin = np.flatnonzero(new)
-            n = np.diff(np.append(begin, len(order)))
-            lead, speaks = np.stack([x[begin] for x in lead], axis=1), speaks[begin]
+            new[1:] = np.logical_or.reduce([x[order[1:]] != x[order[:-1]] for x in keys])
+            n = np.diff(np.append(np.flatnonzero(new), len(order)))
+            once = order[new]
+            lead, speaks = np.stack([x[once] for x in lead], axis=1), lang[first][once]
             outside = lead > len(book.words)
             for l in np.unique(speaks):
                 own = np.flatnonzero(speaks == l)
                 head = np.frombuffer(_lang_key(names[l]), dtype=np.uint8)
                 easy = own[~outside[own].any(axis=1)]
                 if len(easy):
-                    yield _packed(names[l], head, lead[easy], n[easy], width)
+                    yield _packed(head, lead[easy], n[easy])
                 hard = own[outside[own].any(axis=1)]
                 for part in np.array_split(hard, max(1, -(-len(hard) // 100_000))) if len(hard) else []:
-                    keys = [head.tobytes() + b"".join(_spelled(spelled[x - len(book.words) - 1]) if x > len(book.words) else int(x).to_bytes(3, "big") for x in row if x) for row in lead[part].tolist()]
-                    yield pa.RecordBatch.from_arrays([pa.array([names[l]] * len(part)), pa.array(keys, pa.binary()), pa.array(n[part].astype(np.int64))], ["lang", "key", "n"])
+                    keys = [head.tobytes() + b"".join(_spelled(spelled[x - len(book.words) - 1]) if x > len(book.words) else _code(x) for x in row if x) for row in lead[part].tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(n[part].astype(np.int64))], ["key", "n"])
 
-    return _texts(docs).mapInArrow(run, "lang string, key binary, n long")
+    return _texts(docs).mapInArrow(run, "key binary, n long")
 
 
-def _packed(lang: str, head: np.ndarray, lead: np.ndarray, n: np.ndarray, width: int) -> pa.RecordBatch:
+def _packed(head: np.ndarray, lead: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     """Keys of windows whose words are all in the book."""
-    size = (lead > 0).sum(axis=1)
-    body = np.stack([(lead >> 16) & 255, (lead >> 8) & 255, lead & 255], axis=2).astype(np.uint8).reshape(len(lead), 3 * width)
-    full = np.concatenate((np.broadcast_to(head, (len(lead), len(head))), body), axis=1)
-    used = np.arange(full.shape[1]) < (len(head) + 3 * size)[:, None]
-    at = np.concatenate(([0], np.cumsum(len(head) + 3 * size))).astype(np.int32)
-    keys = pa.BinaryArray.from_buffers(pa.binary(), len(lead), [None, pa.py_buffer(at), pa.py_buffer(full[used])])
-    langs = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(lead), np.int32)), pa.array([lang])).cast(pa.string())
-    return pa.RecordBatch.from_arrays([langs, keys, pa.array(n.astype(np.int64))], ["lang", "key", "n"])
+    rows, width = lead.shape
+    three = lead >= TWO_BYTES
+    body = np.stack([np.where(three, lead >> 16 | LONG, lead >> 8), np.where(three, lead >> 8, lead), lead], axis=2).astype(np.uint8)
+    used = np.stack([lead > 0, lead > 0, three], axis=2).reshape(rows, 3 * width)
+    full = np.concatenate((np.broadcast_to(head, (rows, len(head))), body.reshape(rows, 3 * width)), axis=1)
+    used = np.concatenate((np.ones((rows, len(head)), dtype=bool), used), axis=1)
+    at = np.concatenate(([0], np.cumsum(used.sum(axis=1)))).astype(np.int32)
+    keys = pa.BinaryArray.from_buffers(pa.binary(), rows, [None, pa.py_buffer(at), pa.py_buffer(full[used])])
+    return pa.RecordBatch.from_arrays([keys, pa.array(n.astype(np.int64))], ["key", "n"])
 
 
 def _cuts(keys: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -209,7 +231,7 @@ def _cuts(keys: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
         inside = place < at[1:]
         first = raw[np.minimum(place, len(raw) - 1)]
         spelled = inside & (first == SPELLED[0])
-        step = place + 3
+        step = place + np.where(first < LONG, 2, 3)
         if spelled.any():
             step[spelled] = spaces[np.searchsorted(spaces, place[spelled])] + 1
         place = np.where(inside, step, place)
@@ -217,7 +239,7 @@ def _cuts(keys: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return raw, at, ends
 
 
-def collapse(keys: pa.Array, langs: pa.Array, n: np.ndarray, least: int, width: int, book: Book) -> pa.RecordBatch | None:
+def collapse(keys: pa.Array, n: np.ndarray, least: int, width: int, book: Book) -> pa.RecordBatch | None:
     """Sorted windows shortened to the longest beginning that can reach ``least``, as words with their summed counts."""
     raw, at, ends = _cuts(keys, width)
     rows = len(n)
@@ -248,7 +270,9 @@ def collapse(keys: pa.Array, langs: pa.Array, n: np.ndarray, least: int, width:
         start = ends[begin, k - 1]
         first = raw[np.minimum(start, len(raw) - 1)]
         plain = there & (first != SPELLED[0])
-        codes[plain] = (raw[start[plain]].astype(np.int64) << 16) + (raw[start[plain] + 1].astype(np.int64) << 8) + raw[start[plain] + 2] - 1
+        long = plain & (first >= LONG)
+        codes[plain] = (raw[start[plain]].astype(np.int64) << 8) + raw[start[plain] + 1] - 1
+        codes[long] = (raw[start[long]].astype(np.int64) - LONG << 16) + (raw[start[long] + 1].astype(np.int64) << 8) + raw[start[long] + 2] - 1
         words = book.words.take(pa.array(codes, mask=codes < 0))
         if (odd := np.flatnonzero(there & ~plain)).size:
             got = words.to_pylist()
@@ -256,7 +280,8 @@ def collapse(keys: pa.Array, langs: pa.Array, n: np.ndarray, least: int, width:
                 got[i] = raw[start[i] + 1 : ends[begin[i], k] - 1].tobytes().decode()
             words = pa.array(got, pa.string())
         columns.append(words)
-    return pa.RecordBatch.from_arrays([langs.take(pa.array(begin)), *columns, pa.array(summed)], ["lang", *(f"w{k}" for k in range(1, width + 1)), "n"])
+    heads = [raw[lo : hi - 2].tobytes().replace(END + b"\x01", END).decode() for lo, hi in zip(at[begin].tolist(), ends[begin, 0].tolist())]
+    return pa.RecordBatch.from_arrays([pa.array(heads, pa.string()), *columns, pa.array(summed)], ["lang", *(f"w{k}" for k in range(1, width + 1)), "n"])
 
 
 def _least_between(same: np.ndarray, kept: np.ndarray) -> np.ndarray:
@@ -303,7 +328,7 @@ def collapsed(sorted_windows: DataFrame, broadcast, least: int, width: int) -> D
 
         def done() -> Iterator[pa.RecordBatch]:
             t = pa.Table.from_batches(have).combine_chunks()
-            got = collapse(t.column("key").combine_chunks(), t.column("lang").combine_chunks(), t.column("n").to_numpy(), least, width, broadcast.value)
+            got = collapse(t.column("key").combine_chunks(), t.column("n").to_numpy(), least, width, broadcast.value)
             if got is not None:
                 yield got
 
@@ -317,7 +342,7 @@ def collapsed(sorted_windows: DataFrame, broadcast, least: int, width: int) -> D
         if rows:
             yield from done()
 
-    return sorted_windows.select("lang", "key", "n").mapInArrow(run, f"lang string, {columns}, n long")
+    return sorted_windows.select("key", "n").mapInArrow(run, f"lang string, {columns}, n long")
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, width: int = WIDTH, book: int = BOOK) -> tuple[DataFrame, DataFrame]:
