@@ -198,15 +198,15 @@ def test_a_validation_error_stops_the_load_and_nothing_stale_is_carried_on(spark
     assert checks.history_problems(read_state(wh).dim_customer, "customer_id") == []
 
 
-def test_a_folder_of_a_dead_commit_blocks_nothing(spark, sc):
-    wh = Warehouse(spark, scratch_path(spark, "dead-commit"))
+def test_folders_of_a_dead_load_are_never_read_and_a_stale_base_is_refused(spark, sc):
+    wh = Warehouse(spark, scratch_path(spark, "dead-load"))
     first = initialise(wh)
-    spark.range(1).write.parquet(f"{wh.root}/_manifest/seq={first.seq + 1}/_temporary/0")  # no _SUCCESS beside it
-    assert wh.manifest().seq == first.seq
-    done = wh.commit(first, {}, "next")
-    assert done.seq == first.seq + 2 and wh.manifest().seq == done.seq
+    wh.append(first, "dim_customer", sc.state1.dim_customer, "dead")  # written, never committed
+    assert wh.manifest() == first and read_state(wh).dim_customer.count() == 1
+    done = wh.commit(first, "next")
+    assert done.seq == first.seq + 1 and wh.manifest().seq == done.seq
     with pytest.raises(ConcurrentLoadError):
-        wh.commit(first, {}, "late")
+        wh.commit(first, "late")
 
 
 def test_keys_longer_than_the_padding_stay_whole(spark, tmp_path):
@@ -222,29 +222,50 @@ def test_keys_longer_than_the_padding_stay_whole(spark, tmp_path):
             assert ids and len(set(ids)) == len(ids) and {len(i) for i in ids} == {5 + 13}
 
 
-def test_second_load_rewrites_only_touched_buckets_and_months(sc):
-    m1, m2 = sc.manifest1.parts, sc.manifest2.parts
-    for table, key, staged in (("dim_customer", "customer_id", sc.report2.details["stg_customer"]),
-                               ("dim_product", "product_id", sc.report2.details["stg_product"])):
-        rewritten = {b for b, p in m2[table].items() if m1[table].get(b) != p}
-        from tidemark.plans.publish import bucket_of
-        buckets = sc.warehouse.dim_buckets(sc.manifest2)
-        staged_buckets = {str(r[0]) for r in staged.select(bucket_of(F.col(key), buckets)).distinct().collect()}
-        unknown = {str(r[0]) for r in sc.spark.range(1).select(bucket_of(F.lit("UNKNOWN"), buckets)).collect()}
-        assert rewritten <= staged_buckets | unknown
-    fact_rewritten = {k for k, p in m2["fact_order_line"].items() if m1["fact_order_line"].get(k) != p}
-    months = {str(r[0]) for r in sc.report2.details["stg_fact"].select(
-        (F.col("order_date_key") / 100).cast("int")).distinct().collect()}
-    old = sc.state1.fact_order_line.join(sc.report2.details["stg_fact"].select("order_line_id"), "order_line_id")
-    months |= {str(r[0]) for r in old.select((F.col("order_date_key") / 100).cast("int")).distinct().collect()}
-    assert fact_rewritten <= months
+def test_second_load_writes_only_what_changes(sc):
+    r, m1, m2 = sc.report2, sc.manifest1, sc.manifest2
+    c, p = r.dim_customer, r.dim_product
+    assert r.appended == {"dim_customer": c.inserted + 2 * c.versioned, "dim_product": p.inserted + p.updated,
+                          "fact_order_line": r.facts_read}
+    gone = {t: m2.written(f"{t}-gone") - m1.written(f"{t}-gone") for t in r.appended}
+    assert gone == {"dim_customer": c.versioned, "dim_product": p.updated, "fact_order_line": r.facts_updated}
+    assert all(set(m1.runs[t]) < set(m2.runs[t]) for t in r.appended)  # runs are added, none rewritten
+    for t in ("dim_customer", "dim_product", "fact_order_line", "dim_date"):
+        assert m2.live(t) == sc.warehouse.read(t, m2).count()
+
+
+def test_compaction_keeps_the_rows(spark, sc):
+    for table in ("dim_customer", "dim_product", "fact_order_line"):
+        before = sc.warehouse.read(table, sc.manifest2)
+        packed = sc.warehouse.compact(sc.manifest2, table, "compact")
+        after = sc.warehouse.read(table, packed)
+        assert len(packed.runs[table]) == 1 and packed.written(f"{table}-gone") == 0 and packed.live(table) == before.count()
+        assert before.exceptAll(after).count() == after.exceptAll(before).count() == 0
+
+
+def test_a_load_compacts_when_superseded_rows_abound(spark, sc, monkeypatch):
+    from tidemark.plans import run as module
+    monkeypatch.setattr(module, "COMPACT_SHARE", 0.0)
+    wh = Warehouse(spark, scratch_path(spark, "compacting"))
+    for src, ts in ((sc.v1, datetime(2026, 1, 1)), (sc.v2, datetime(2026, 1, 2))):
+        last = run(spark, wh, src, run_ts=ts, date_start=sc.date_start, date_end=sc.date_end).details["manifest"]
+    assert {len(last.runs[t]) for t in ("dim_customer", "dim_product", "fact_order_line")} == {1}
+    cols = [c for c in sc.state2.fact_order_line.columns if c != "loaded_at"]
+    assert read_state(wh).fact_order_line.select(cols).exceptAll(sc.state2.fact_order_line.select(cols)).count() == 0
+    assert read_state(wh).dim_customer.exceptAll(sc.state2.dim_customer).count() == 0
+
+
+def test_tables_not_loaded_yet_are_empty_frames_of_their_schema(spark):
+    state = read_state(Warehouse(spark, scratch_path(spark, "nothing")))
+    assert state.fact_order_line.dtypes == schemas.empty(spark, schemas.FACT_ORDER_LINE).dtypes
+    assert all(df.isEmpty() for df in vars(state).values())
 
 
 def test_initialise_is_idempotent_and_seeds_the_unknown_member(spark):
     wh = Warehouse(spark, scratch_path(spark, "init"))
     first = initialise(wh)
     second = initialise(wh)
-    assert second.seq == first.seq
+    assert second == first
     dim = read_state(wh).dim_customer.collect()
     assert [(r["sk"], r["customer_id"]) for r in dim] == [(-1, "UNKNOWN")]
     assert read_state(wh).fact_order_line.count() == 0

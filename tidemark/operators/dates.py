@@ -27,9 +27,14 @@ def calendar(spark: SparkSession, start: str | date = schemas.DEFAULT_DATE_START
     return spark.range(0, days, 1, n).select(*calendar_columns(d))
 
 
+def missing_days(existing: DataFrame, start: str | date = schemas.DEFAULT_DATE_START,
+                 end: str | date = schemas.DEFAULT_DATE_END) -> DataFrame:
+    """The days of ``[start, end]`` that the date dimension hasn't got."""
+    days = calendar(existing.sparkSession, start, end)
+    return days.join(existing.select("date_key"), "date_key", "left_anti").select(*existing.columns)
+
+
 def build_dim_date(existing: DataFrame, start: str | date = schemas.DEFAULT_DATE_START,
                    end: str | date = schemas.DEFAULT_DATE_END) -> DataFrame:
     """The date dimension with the missing days of ``[start, end]`` added."""
-    days = calendar(existing.sparkSession, start, end)
-    missing = days.join(existing.select("date_key"), "date_key", "left_anti")
-    return existing.unionByName(missing.select(*existing.columns))
+    return existing.unionByName(missing_days(existing, start, end))

@@ -93,6 +93,12 @@ def duplicate_keys(df: DataFrame, key: str = "order_line_id") -> int:
     return int(df.groupBy(key).count().where(F.col("count") > 1).count())
 
 
+def rows_of_keys(fact: DataFrame, staged_facts: DataFrame, key: str = "order_line_id") -> DataFrame:
+    """The fact's rows whose key is staged, which a merge supersedes."""
+    keys = staged_facts.select(key)
+    return fact.join(F.broadcast(keys) if fits_broadcast(staged_facts) else keys, key, "left_semi")
+
+
 def merge_facts(fact: DataFrame, staged_facts: DataFrame, loaded_at: datetime,
                 key: str = "order_line_id") -> DataFrame:
     """Delete-then-insert on the natural key: the result holds every fact not

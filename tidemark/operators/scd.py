@@ -46,6 +46,8 @@ class Type2Result:
 class Type1Result:
     dimension: DataFrame
     classified: DataFrame
+    overwritten: DataFrame
+    inserted: DataFrame
     stats: LoadStats = field(default_factory=LoadStats)
 
 
@@ -225,11 +227,14 @@ def load_type_1(target: DataFrame, staging: DataFrame, business_key: str, attrib
             cols.append(F.when(hit, stamp).otherwise(F.col(c)).alias(c))
         else:
             cols.append(F.col(c))
-    updated = marked.select(*cols)
+    updated = marked.select(*cols, hit.alias("_hit"))
+    overwritten, updated = updated.where(F.col("_hit")).drop("_hit"), updated.drop("_hit")
     inserted = classified.where(F.col("action") == NEW).select(
         F.col(bk), *[F.col(a) for a in attributes], stamp.alias(stamp_column))
-    return Type1Result(dimension=updated.unionByName(inserted, allowMissingColumns=True),
-                       classified=classified, stats=stats)
+    # Further columns of the target are null on the rows inserted here.
+    inserted = updated.limit(0).unionByName(inserted, allowMissingColumns=True)
+    return Type1Result(dimension=updated.unionByName(inserted), classified=classified,
+                       overwritten=overwritten, inserted=inserted, stats=stats)
 
 
 def latest_per_key(df: DataFrame, business_key: str, order_by: str = "updated_at") -> DataFrame:

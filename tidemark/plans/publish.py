@@ -1,47 +1,27 @@
-"""Publishing table versions without row-level DML.
-
-Plain Parquet has no MERGE/UPDATE/DELETE, and overwriting a path that is being
-read destroys it. So every load writes *new* part directories and then commits
-a manifest naming, for every table, the part directories that make up its
-current version:
-
-* a dimension is hash-bucketed on its business key (``pmod(xxhash64(key), B)``,
-  B fixed per warehouse and recorded in the manifest); a load reads and
-  rewrites only the buckets its staged keys fall in, since every version of a
-  key lives in the key's bucket;
-* the fact is partitioned by order month; a load rewrites only the months it
-  touches (months of the staged rows and months where their keys sat before),
-  and a month left empty simply drops out of the manifest;
-* the date dimension and the control tables are one part (a full snapshot).
-
-A manifest is written with Spark to a scratch name and then renamed to
-``<root>/_manifest/seq=<n>``, which fails if that name exists; ``n`` is beyond
-every name there, so a folder left by a dead write blocks nothing. The highest
-``seq`` with a ``_SUCCESS`` mark is current. A load whose base is no longer
-current is refused. Until the manifest is committed no reader sees the load, so
-a crash leaves the previous version intact and the retried run (idempotent)
-produces the same result.
+"""Publishing loads with Spark's writers: appended rows, superseded keys, a one-row commit.
+
+Plain Parquet has no MERGE/UPDATE/DELETE. A load therefore only appends: the rows it
+inserts or changes go to a folder of its own (``<table>/_run=<run>``), and the keys of
+rows that it replaces, with the run that wrote those, to ``<table>-gone/<run>``. A table's
+current rows are the rows of its runs without the superseded ones (an anti join on key and
+run), so a load writes as much as it changes, whatever the size of the table.
+
+A commit is one row appended to ``_commits``: the runs that make up each table, their row
+counts, and notes. Readers see a load only from then on; folders of a load that died are
+never named by a commit. ``compact`` writes a table's current rows as one run again.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.session import path_exists, rename, with_known_rows
-
-MANIFEST_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType(), False),
-    T.StructField("part", T.StringType(), False),
-    T.StructField("path", T.StringType(), False),
-    T.StructField("run_id", T.StringType(), False),
-    T.StructField("rows", T.LongType(), True),
-])
+from tidemark.session import BROADCAST_MAX_ROWS, path_exists, with_known_rows
 
 TABLE_SCHEMAS = {
     "dim_customer": schemas.DIM_CUSTOMER,
@@ -51,182 +31,93 @@ TABLE_SCHEMAS = {
     "etl_watermark": schemas.WATERMARK,
     "etl_run_log": schemas.RUN_LOG,
 }
-
-MONTH_COL = "_order_month"
-BUCKET_COL = "_bucket"
-DEFAULT_DIM_BUCKETS = 16
-# Business key of each bucketed dimension.
-BUCKETED = {"dim_customer": "customer_id", "dim_product": "product_id"}
-CONFIG_TABLE = "_config"
-
-
-def order_month(df: DataFrame) -> DataFrame:
-    return df.withColumn(MONTH_COL, (F.col("order_date_key") / 100).cast("int"))
-
-
-def bucket_of(key: Column, buckets: int) -> Column:
-    """The dimension bucket of a business key (stable across runs)."""
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+#: The key of the rows that a load may supersede.
+KEYS = {"dim_customer": "sk", "dim_product": "product_id", "fact_order_line": "order_line_id"}
+RUN_COL, MONTH_COL = "_run", "_order_month"
+COMMIT_SCHEMA = "seq long, run_id string, runs map<string,array<string>>, rows map<string,long>, notes map<string,string>"
 
 
 class ConcurrentLoadError(RuntimeError):
     """Another load was committed since this one began."""
 
 
-@dataclass
+@dataclass(frozen=True)
 class Manifest:
-    seq: int
-    parts: dict[str, dict[str, str]] = field(default_factory=dict)  # table -> part -> path
-    rows: dict[str, int] = field(default_factory=dict)  # path -> row count
+    seq: int = 0
+    runs: dict[str, list[str]] = field(default_factory=dict)  # table or "<table>-gone" -> runs
+    rows: dict[str, int] = field(default_factory=dict)  # "<table>/<run>" or "<table>-gone/<run>" -> rows
+    notes: dict[str, str] = field(default_factory=dict)
 
-    def row_count(self, table: str, parts: set[str] | None = None) -> int | None:
-        """Rows of a table (or of some parts) from the manifest, if recorded."""
-        counts = [self.rows.get(p) for k, p in self.parts.get(table, {}).items() if parts is None or k in parts]
-        return None if any(c is None for c in counts) else sum(counts)
+    def written(self, table: str) -> int:
+        """Rows stored for a table (or superseded in it, for ``<table>-gone``)."""
+        return sum(self.rows[f"{table}/{r}"] for r in self.runs.get(table, []))
 
-    def config(self, name: str) -> str | None:
-        return self.parts.get(CONFIG_TABLE, {}).get(name)
+    def live(self, table: str) -> int:
+        return self.written(table) - self.written(f"{table}-gone")
 
 
 class Warehouse:
     """A warehouse rooted at a shared directory (HDFS, object store, or local in tests)."""
 
-    def __init__(self, spark: SparkSession, root: str, dim_buckets: int = DEFAULT_DIM_BUCKETS):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.rows_written: dict[str, int] = {}
-        self._requested_buckets = dim_buckets
-
-    def dim_buckets(self, manifest: Manifest) -> int:
-        """Buckets per dimension: as recorded by the first commit, else the
-        number this Warehouse was opened with."""
-        recorded = manifest.parts.get(CONFIG_TABLE, {}).get("dim_buckets")
-        return int(recorded) if recorded else self._requested_buckets
-
-    # -- manifest ------------------------------------------------------------
-    def _manifest_dir(self) -> str:
-        return f"{self.root}/_manifest"
-
-    def _sequence(self) -> tuple[int, int]:
-        """(the current committed number, the highest number of any folder)."""
-        jvm, path = self.spark.sparkContext._jvm, self._manifest_dir()
-        if not path_exists(self.spark, path):
-            return 0, 0
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        found = [s.getPath().getName() for s in fs.listStatus(folder)]
-        numbers = sorted((int(n[4:]) for n in found if n.startswith("seq=") and n[4:].isdigit()), reverse=True)
-        done = (n for n in numbers if path_exists(self.spark, f"{path}/seq={n}/_SUCCESS"))
-        return next(done, 0), numbers[0] if numbers else 0
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
 
     def manifest(self) -> Manifest:
-        """The current manifest; only its own folder is read."""
-        top, _ = self._sequence()
-        if not top:
-            return Manifest(seq=0)  # an empty warehouse
-        rows = self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self._manifest_dir()}/seq={top}")
-        parts: dict[str, dict[str, str]] = {}
-        counts: dict[str, int] = {}
-        # The manifest lists part directories (tables x months / buckets):
-        # bounded by the number of parts, not by data volume.
-        for r in rows.collect():
-            parts.setdefault(r["table_name"], {})[r["part"]] = r["path"]
-            if r["rows"] is not None:
-                counts[r["path"]] = int(r["rows"])
-        return Manifest(seq=top, parts=parts, rows=counts)
-
-    def read(self, table: str, manifest: Manifest | None = None, parts: set[str] | None = None) -> DataFrame:
-        m = manifest or self.manifest()
-        schema = TABLE_SCHEMAS[table]
-        paths = [p for k, p in sorted(m.parts.get(table, {}).items()) if parts is None or k in parts]
-        if not paths:
-            return with_known_rows(schemas.empty(self.spark, schema), 0)
-        df = self.spark.read.schema(schema).parquet(*paths)
-        n = m.row_count(table, parts)
-        return with_known_rows(df, n) if n is not None else df
-
-    # -- writes --------------------------------------------------------------
-    def write_snapshot(self, table: str, df: DataFrame, run_id: str) -> dict[str, str]:
-        path = f"{self.root}/{table}/{run_id}"
-        obs = Observation(f"rows_{table}_{run_id}".replace("-", "_"))
-        (df.select(*TABLE_SCHEMAS[table].fieldNames()).observe(obs, F.count(F.lit(1)).alias("n"))
-         .write.mode("errorifexists").parquet(path))
-        self.rows_written[path] = int(obs.get["n"])
-        return {"": path}
-
-    def read_path(self, table: str, path: str) -> DataFrame:
-        """Read back a part just written; its row count is known without a job."""
-        df = self.spark.read.schema(TABLE_SCHEMAS[table]).parquet(path)
-        n = self.rows_written.get(path)
-        return with_known_rows(df, n) if n is not None else df
-
-    def write_parts(self, table: str, df: DataFrame, part: Column, part_col: str, key: str,
-                    run_id: str, expected: list[int]) -> dict[str, str]:
-        """Write ``df`` split into part directories by ``part``, whose values
-        must lie in ``expected`` (a bounded list: months or buckets); returns
-        the parts written (a part with no rows is absent). Rows per part are
-        counted after the write and kept for the manifest. Range
-        partitioning on (part, key) spreads a part holding a large share of
-        rows over tasks."""
-        path = f"{self.root}/{table}/{run_id}"
-        cols = TABLE_SCHEMAS[table].fieldNames()
-        (df.select(*cols, part.alias(part_col))
-         .repartitionByRange(F.col(part_col), F.col(key))
-         .write.mode("errorifexists").partitionBy(part_col).parquet(path))
-        # Rows per part of what was just written: a grouped count on the
-        # partition column alone, which Parquet answers from file footers.
-        # One row per part, bounded by the number of parts.
-        schema = T.StructType(TABLE_SCHEMAS[table].fields + [T.StructField(part_col, T.IntegerType())])
-        counts = {int(r[0]): int(r[1]) for r in
-                  self.spark.read.schema(schema).parquet(path).groupBy(part_col).count().collect()}
-        if not set(counts) <= set(expected):
-            raise RuntimeError(f"{table}: rows outside the expected parts {expected}")
-        written = {}
-        for v, n in counts.items():
-            written[str(v)] = f"{path}/{part_col}={v}"
-            self.rows_written[written[str(v)]] = n
-        return written
-
-    def write_fact_months(self, df: DataFrame, months: list[int], run_id: str) -> dict[str, str]:
-        """Write the given months' fact rows, one part per order month."""
-        if not months:
-            return {}
-        return self.write_parts("fact_order_line", df, (F.col("order_date_key") / 100).cast("int"),
-                                MONTH_COL, "order_line_id", run_id, sorted(int(m) for m in months))
-
-    def write_dim_buckets(self, table: str, df: DataFrame, buckets: int, run_id: str,
-                          touched: set[str] | None = None) -> dict[str, str]:
-        """Write a bucketed dimension's rows (of the ``touched`` buckets, or
-        any bucket), one part per bucket."""
-        key = BUCKETED[table]
-        expected = sorted(int(b) for b in touched) if touched is not None else list(range(buckets))
-        if not expected:
-            return {}
-        return self.write_parts(table, df, bucket_of(F.col(key), buckets), BUCKET_COL, key, run_id, expected)
-
-    def commit(self, base: Manifest, changes: dict[str, dict[str, str] | tuple[dict[str, str], set[str]]],
-               run_id: str) -> Manifest:
-        """Commit a new manifest: ``changes[table]`` is either a full set of
-        parts, or ``(new_parts, replaced_parts)`` for a partial rewrite."""
-        parts = {t: dict(p) for t, p in base.parts.items()}
-        parts.setdefault(CONFIG_TABLE, {"dim_buckets": str(self.dim_buckets(base))})
-        for table, change in changes.items():
-            if isinstance(change, tuple):
-                new_parts, replaced = change
-                current = {k: v for k, v in parts.get(table, {}).items() if k not in replaced}
-                current.update(new_parts)
-                parts[table] = current
-            else:
-                parts[table] = dict(change)
-        counts = dict(base.rows)
-        counts.update(self.rows_written)
-        rows = [(t, k, v, run_id, counts.get(v) if t != CONFIG_TABLE else None)
-                for t, ps in parts.items() for k, v in ps.items()]
-        current, highest = self._sequence()
-        if current != base.seq:
-            raise ConcurrentLoadError(f"the warehouse moved from manifest {base.seq} to {current} during the run")
-        seq, scratch = highest + 1, f"{self.root}/_manifest_tmp/{uuid.uuid4().hex}"
-        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.parquet(scratch)
-        rename(self.spark, scratch, f"{self._manifest_dir()}/seq={seq}")
-        live = {v for t, ps in parts.items() if t != CONFIG_TABLE for v in ps.values()}
-        return Manifest(seq=seq, parts=parts, rows={p: n for p, n in counts.items() if p in live})
+        """The last commit; an empty warehouse has none."""
+        if not path_exists(self.spark, f"{self.root}/_commits"):
+            return Manifest()
+        last = self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/_commits").orderBy(F.desc("seq")).limit(1).collect()[0]
+        return Manifest(last["seq"], {t: list(r) for t, r in last["runs"].items()}, dict(last["rows"]), dict(last["notes"]))
+
+    def read(self, table: str, manifest: Manifest | None = None, with_run: bool = False) -> DataFrame:
+        """A table's current rows; ``with_run`` adds the run that wrote each."""
+        m = self.manifest() if manifest is None else manifest
+        stored = T.StructType([*TABLE_SCHEMAS[table].fields, T.StructField(RUN_COL, T.StringType())])
+        columns = stored.fieldNames() if with_run else TABLE_SCHEMAS[table].fieldNames()
+        if not m.written(table):
+            return with_known_rows(schemas.empty(self.spark, stored).select(*columns), 0)
+        paths = [f"{self.root}/{table}/{RUN_COL}={r}" for r in m.runs[table] if m.rows[f"{table}/{r}"]]
+        df = self.spark.read.schema(stored).option("basePath", f"{self.root}/{table}").parquet(*paths)
+        if n := m.written(f"{table}-gone"):
+            key = TABLE_SCHEMAS[table][KEYS[table]]
+            paths = [f"{self.root}/{table}-gone/{r}" for r in m.runs[f"{table}-gone"] if m.rows[f"{table}-gone/{r}"]]
+            gone = self.spark.read.schema(T.StructType([key, T.StructField(RUN_COL, T.StringType())])).parquet(*paths)
+            df = df.join(F.broadcast(gone) if n <= BROADCAST_MAX_ROWS // 4 else gone, [key.name, RUN_COL], "left_anti")
+        return with_known_rows(df.select(*columns), m.live(table))
+
+    def _write(self, df: DataFrame, path: str, by: str | None = None) -> int:
+        seen = Observation(f"written_{uuid.uuid4().hex[:8]}")
+        writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
+        (writer.partitionBy(by) if by else writer).parquet(path)
+        return int(seen.get["n"])
+
+    def append(self, base: Manifest, table: str, rows: DataFrame, run_id: str, gone: DataFrame | None = None) -> Manifest:
+        """Write ``rows`` as a run of ``table`` and the (key, run) of the rows they supersede;
+        the manifest that holds them, for ``read`` and in the end ``commit``."""
+        run = f"{run_id}-{uuid.uuid4().hex[:8]}"
+        rows, by = rows.select(*TABLE_SCHEMAS[table].fieldNames()), None
+        if table == "fact_order_line":  # by order month; a hot month is spread over tasks
+            by, month = MONTH_COL, (F.col("order_date_key") / 100).cast("int")
+            rows = rows.withColumn(MONTH_COL, month).repartitionByRange(F.col(MONTH_COL), F.col(KEYS[table]))
+        counts = {table: self._write(rows, f"{self.root}/{table}/{RUN_COL}={run}", by)}
+        if gone is not None:
+            counts[f"{table}-gone"] = self._write(gone.select(KEYS[table], RUN_COL), f"{self.root}/{table}-gone/{run}")
+        return replace(base, runs=base.runs | {t: [*base.runs.get(t, []), run] for t in counts}, rows=base.rows | {f"{t}/{run}": n for t, n in counts.items()})
+
+    def rewrite(self, base: Manifest, table: str, rows: DataFrame, run_id: str) -> Manifest:
+        """``rows`` as the whole of ``table``: one run, nothing superseded."""
+        return self.append(replace(base, runs=base.runs | {table: [], f"{table}-gone": []}), table, rows, run_id)
+
+    def compact(self, base: Manifest, table: str, run_id: str) -> Manifest:
+        """The table's current rows written as one run."""
+        return self.rewrite(base, table, self.read(table, base), run_id)
+
+    def commit(self, base: Manifest, run_id: str, notes: dict[str, str] | None = None) -> Manifest:
+        """Append the one row that makes what ``base`` names current."""
+        if (now := self.manifest().seq) != base.seq:
+            raise ConcurrentLoadError(f"the warehouse moved from commit {base.seq} to {now} during the run")
+        named = {f"{t}/{r}" for t, runs in base.runs.items() for r in runs}
+        done = replace(base, seq=base.seq + 1, rows={k: n for k, n in base.rows.items() if k in named}, notes=base.notes | (notes or {}))
+        row = [(done.seq, run_id, done.runs, done.rows, done.notes)]
+        self.spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
+        return done

@@ -2,24 +2,15 @@
 
 from __future__ import annotations
 
+from tidemark import schemas
 from tidemark.operators import scd
 from tidemark.plans.publish import Manifest, Warehouse
-from tidemark.plans.run import read_state
 
 
 def initialise(wh: Warehouse, run_id: str = "init") -> Manifest:
-    """Create the warehouse's tables if absent and seed the Unknown member."""
+    """Seed the Unknown member of an empty warehouse; a table without rows reads as an
+    empty frame of its declared schema."""
     base = wh.manifest()
-    if base.parts.get("dim_customer"):
+    if base.written("dim_customer"):
         return base
-    state = read_state(wh, base)
-    buckets = wh.dim_buckets(base)
-    changes = {
-        "dim_customer": wh.write_dim_buckets(
-            "dim_customer", scd.seed_unknown_member(state.dim_customer), buckets, run_id),
-        "_config": {"dim_buckets": str(buckets), "max_sk": "-1"},
-    }
-    for table in ("dim_product", "dim_date", "fact_order_line", "etl_watermark", "etl_run_log"):
-        if not base.parts.get(table):
-            changes[table] = {}
-    return wh.commit(base, changes, run_id)
+    return wh.commit(wh.append(base, "dim_customer", scd.unknown_member(wh.spark), run_id), run_id, {"max_sk": str(schemas.UNKNOWN_SK)})
