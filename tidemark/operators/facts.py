@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.expressions import date_key, gross_amount, net_amount, ts_literal
 from tidemark.operators.joins import skew_safe_join
-from tidemark.session import fits_broadcast, known_rows, with_known_rows
+from tidemark.operators.sweep import as_at_sweep, overlapping_keys
+from tidemark.session import fits_broadcast, known_rows, row_count, stage, with_known_rows
+
+# Keys with more versions than this are resolved by a sweep instead of a join.
+SWEEP_VERSIONS = 16
 
 
 class FactKeyError(ValueError):
@@ -39,9 +43,12 @@ def as_at_join(facts: DataFrame, dim: DataFrame, fact_key: str = "customer_id",
     """Attach the surrogate key of the version live at ``event_ts``.
 
     Left outer on the business key with the half-open validity range as a
-    residual; facts with no live version get ``unknown_sk``. The dimension is
-    broadcast when its size is checked and bounded; otherwise hot business keys
-    are split off and joined against a broadcast of their few versions.
+    residual; facts with no live version get ``unknown_sk``. Keys with more than
+    ``SWEEP_VERSIONS`` versions are resolved by a sorted sweep, so no fact meets
+    more versions than that. (If such a key's windows overlap, which the checks
+    report, its facts fan out in the join like any other's.) For the others, the
+    dimension is broadcast when its size is checked and bounded; otherwise hot
+    business keys are split off and joined against a broadcast of their versions.
     """
     versions = dim.select(F.col(dim_key).alias("_d_key"), F.col(surrogate_key).alias("_d_sk"),
                           F.col("valid_from").alias("_d_from"), F.col("valid_to").alias("_d_to"))
@@ -51,9 +58,32 @@ def as_at_join(facts: DataFrame, dim: DataFrame, fact_key: str = "customer_id",
     def in_window():
         return (F.col(event_ts) >= F.col("_d_from")) & (F.col(event_ts) < F.col("_d_to"))
 
-    joined = skew_safe_join(facts, versions, [fact_key], ["_d_key"], "left", residual=in_window)
-    return (joined.withColumn(out_col, F.coalesce(F.col("_d_sk"), F.lit(unknown_sk)).cast("long"))
-            .drop("_d_key", "_d_sk", "_d_from", "_d_to"))
+    def joined(rows, partners):
+        found = skew_safe_join(rows, partners, [fact_key], ["_d_key"], "left", residual=in_window)
+        return found.select(*facts.columns, F.coalesce(F.col("_d_sk"), F.lit(unknown_sk)).cast("long").alias(out_col))
+
+    deep = stage(dim.groupBy(F.col(dim_key).alias("_deep")).agg(F.count(F.lit(1)).alias("_n"))
+                 .where(F.col("_n") > SWEEP_VERSIONS).select("_deep"), "deep_keys")
+    if not row_count(deep):
+        return joined(facts, versions)
+    if known_rows(facts) is None:
+        facts = stage(facts, "as_at_facts")  # split twice below
+    own = versions.join(_hinted(deep), F.col("_d_key") == F.col("_deep"), "left_semi")
+    own = stage(own.select(F.col("_d_key").alias(dim_key), F.col("_d_sk").alias(surrogate_key),
+                           F.col("_d_from").alias("valid_from"), F.col("_d_to").alias("valid_to")), "deep_versions")
+    overlapping = stage(overlapping_keys(own, dim_key, surrogate_key).select(F.col(dim_key).alias("_over")), "overlapping_keys")
+    if row_count(overlapping):
+        deep = stage(deep.join(_hinted(overlapping), F.col("_deep") == F.col("_over"), "left_anti"), "deep_keys")
+        own = stage(own.join(_hinted(overlapping), F.col(dim_key) == F.col("_over"), "left_anti"), "deep_versions")
+    in_sweep = F.col(fact_key) == F.col("_deep")
+    swept = as_at_sweep(stage(facts.join(_hinted(deep), in_sweep, "left_semi"), "deep_facts"), own, fact_key, dim_key,
+                        event_ts, surrogate_key, out_col, unknown_sk)
+    rest = versions.join(_hinted(deep), F.col("_d_key") == F.col("_deep"), "left_anti")
+    return joined(facts.join(_hinted(deep), in_sweep, "left_anti"), rest).unionByName(swept)
+
+
+def _hinted(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if fits_broadcast(keys) else keys
 
 
 def inferred_members(staged: DataFrame, dim: DataFrame, fact_key: str = "customer_id",

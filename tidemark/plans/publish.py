@@ -1,14 +1,12 @@
 """Publishing loads with Spark's writers: appended rows, superseded keys, a one-row commit.
 
-Plain Parquet has no MERGE/UPDATE/DELETE. A load therefore only appends: the rows it
-inserts or changes go to a folder of its own (``<table>/_run=<run>``), and the keys of
-rows that it replaces, with the run that wrote those, to ``<table>-gone/<run>``. A table's
-current rows are the rows of its runs without the superseded ones (an anti join on key and
-run), so a load writes as much as it changes, whatever the size of the table.
-
-A commit is one row appended to ``_commits``: the runs that make up each table, their row
-counts, and notes. Readers see a load only from then on; folders of a load that died are
-never named by a commit. ``compact`` writes a table's current rows as one run again.
+A load only appends: the rows it inserts or changes to a folder of its own
+(``<table>/_run=<run>``), and the keys of rows that it replaces, with the run that wrote
+those, to ``<table>-gone/<run>``. A table's current rows are those of its runs without the
+superseded ones (an anti join), so a load writes as much as it changes, not whole tables.
+
+A commit is one row appended to ``_commits``: each table's runs, their row counts, and notes.
+Readers see a load only from then on; folders of a load that died are never named.
 """
 
 from __future__ import annotations
