@@ -13,8 +13,11 @@ key the overlap count is ``X - W + Z - V`` where
   ``to``, sorted by (key, time, end before start), ``X - W`` equals the sum
   of the end events' positions minus the sum of the start events' positions;
 * ``Z = #{(a, b): b.to <= a.from and a.to <= b.from}``, non-zero only when a
-  row has ``to <= from`` (an inverted or empty window), and counted by joining
-  just those rows to their key's versions;
+  row has ``to <= from`` (an inverted or empty window, which spans ``[to, from]``).
+  Two such rows count when their spans touch: the positions of the spans' ends
+  minus those of their starts in a sort with starts first. One such row and a
+  valid one count (twice) when the valid window lies inside the span: a join of
+  the invalid rows with the valid ones of their key;
 * ``V`` removes the pairs (a, a) of valid rows.
 
 Positions come from one range-partitioned sort (a hot key spans several
@@ -25,10 +28,10 @@ from __future__ import annotations
 
 from typing import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import skew_safe_join
+from tidemark.operators.joins import rows_with_keys, skew_safe_join
 from tidemark.operators.keys import partition_offsets
 from tidemark.session import range_partitions, row_count, stage
 
@@ -60,7 +63,8 @@ def history_inverted(dim: DataFrame) -> DataFrame:
     return dim.where(F.col("valid_to") <= F.col("valid_from"))
 
 
-def _ranged_events(dim: DataFrame, business_key: str, num_partitions: int | None) -> DataFrame:
+def _ranged_events(dim: DataFrame, business_key: str, num_partitions: int | None,
+                   start: str = "valid_from", end: str = "valid_to", end_first: bool = True) -> DataFrame:
     """Start and end events sorted by (key, time, end before start), range
     partitioned so a hot key spans several partitions; ``_mid`` carries the
     partition id (high bits) and the position within it (low 33 bits)."""
@@ -68,16 +72,16 @@ def _ranged_events(dim: DataFrame, business_key: str, num_partitions: int | None
     # Two events per row; the range partition count follows the row count.
     n = num_partitions or range_partitions(2 * row_count(dim), spark)
     events = dim.select(F.col(business_key).alias("_k"), F.explode(F.array(
-        F.struct(F.col("valid_from").alias("t"), F.lit(1).alias("kind"), F.lit(-1).alias("sign")),
-        F.struct(F.col("valid_to").alias("t"), F.lit(0).alias("kind"), F.lit(1).alias("sign")),
+        F.struct(F.col(start).alias("t"), F.lit(int(end_first)).alias("kind"), F.lit(-1).alias("sign")),
+        F.struct(F.col(end).alias("t"), F.lit(int(not end_first)).alias("kind"), F.lit(1).alias("sign")),
     )).alias("e")).select("_k", "e.t", "e.kind", "e.sign")
     order = [F.col("_k").asc_nulls_last(), F.col("t").asc_nulls_last(), F.col("kind")]
     return (events.repartitionByRange(n, *order).sortWithinPartitions(*order)
             .withColumn("_mid", F.monotonically_increasing_id()))
 
 
-def _rank_sum_total(dim: DataFrame, business_key: str, num_partitions: int | None) -> int:
-    """X - W over all keys, from one aggregate with one row per partition.
+def _rank_sum_total(dim: DataFrame, business_key: str, num_partitions: int | None) -> DataFrame:
+    """X - W over all keys, one row ``xw``, from one aggregate with a row per partition.
 
     With g = offset(p) + pos for an event at position pos of partition p,
     sum(sign * g) = sum_p offset(p) * S_p + I_p, where S_p is the sum of signs
@@ -86,18 +90,16 @@ def _rank_sum_total(dim: DataFrame, business_key: str, num_partitions: int | Non
     """
     per = _ranged_events(dim, business_key, num_partitions).groupBy(
         F.shiftright("_mid", 33).alias("_pid")).agg(
-        F.count(F.lit(1)).alias("c"), F.sum("sign").alias("s"),
+        F.count(F.lit(1)).alias("c"), F.sum("sign").cast(_BIG).alias("s"),
         F.sum(F.col("sign") * F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))).cast(_BIG).alias("i"))
-    total, offset = 0, 0
-    for r in sorted(per.collect(), key=lambda r: r["_pid"]):  # one row per partition
-        total += offset * int(r["s"]) + int(r["i"])
-        offset += int(r["c"])
-    return total
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offset = F.coalesce(F.sum("c").over(earlier), F.lit(0)).cast("decimal(19,0)")
+    return per.withColumn("o", offset).agg(F.coalesce(F.sum(F.col("o") * F.col("s").cast("decimal(19,0)") + F.col("i")), F.lit(0)).cast(_BIG).alias("xw"))
 
 
-def _event_rank_sums(dim: DataFrame, business_key: str, num_partitions: int | None) -> DataFrame:
+def _event_rank_sums(dim: DataFrame, business_key: str, num_partitions: int | None, **events) -> DataFrame:
     """Per key: sum of end positions minus sum of start positions (X - W)."""
-    ranged = _ranged_events(dim, business_key, num_partitions)
+    ranged = _ranged_events(dim, business_key, num_partitions, **events)
     # Ties (same key, time and kind) share a sign, so their relative order does
     # not change any sum below.
     per_part = stage(ranged.groupBy(F.shiftright("_mid", 33).alias("_pid"), "_k").agg(
@@ -110,34 +112,22 @@ def _event_rank_sums(dim: DataFrame, business_key: str, num_partitions: int | No
             .groupBy("_k").agg(F.sum(F.col("_sp") + F.col("_off") * F.col("_ss")).alias("_xw")))
 
 
-def _inverted_pair_counts(dim: DataFrame, business_key: str) -> DataFrame:
+def _inverted_pair_counts(dim: DataFrame, business_key: str, num_partitions: int | None = None) -> DataFrame:
     """Per key: Z, the pairs involving a row with ``valid_to <= valid_from``."""
     bk = business_key
-    rows = dim.select(F.col(bk).alias("_k"), F.col("valid_from").alias("_f"), F.col("valid_to").alias("_t"))
-    bad = stage(rows.where(F.col("_t") <= F.col("_f")).select(
-        F.col("_k").alias("_bk"), F.col("_f").alias("_bf"), F.col("_t").alias("_bt")), "inverted")
+    bad = stage(dim.where(F.col("valid_to") <= F.col("valid_from")).select(bk, "valid_from", "valid_to"), "inverted")
     if row_count(bad) == 0:  # a healthy history: nothing to pair
         return dim.sparkSession.createDataFrame([], f"_k {dim.schema[bk].dataType.simpleString()}, _z decimal(38,0)")
-    # (a in bad, b any): b.to <= a.from and a.to <= b.from
-    first = skew_safe_join(rows, bad, ["_k"], ["_bk"], "inner",
-                           residual=lambda: (F.col("_t") <= F.col("_bf")) & (F.col("_bt") <= F.col("_f")))
-    # (a valid, b in bad): b.to <= a.from and a.to <= b.from
-    valid = rows.where(F.col("_t") > F.col("_f"))
-    second = skew_safe_join(valid, bad, ["_k"], ["_bk"], "inner",
-                            residual=lambda: (F.col("_bt") <= F.col("_f")) & (F.col("_t") <= F.col("_bf")))
-    both = first.select("_k").unionByName(second.select("_k"))
-    return both.groupBy("_k").agg(F.count(F.lit(1)).cast(_BIG).alias("_z"))
-
-
-def history_overlap_total(dim: DataFrame, business_key: str, num_partitions: int | None = None) -> int:
-    """The number of ordered overlapping pairs over the whole dimension."""
-    counts = dim.agg(F.count_if(F.col("valid_to") > F.col("valid_from")).alias("v"),
-                     F.count_if(F.col("valid_to") <= F.col("valid_from")).alias("bad")).collect()[0]
-    total = _rank_sum_total(dim, business_key, num_partitions) - int(counts["v"])
-    if counts["bad"]:
-        z = _inverted_pair_counts(dim, business_key).agg(F.sum("_z").alias("z")).collect()[0]["z"]
-        total += int(z or 0)
-    return total
+    # Both invalid: spans [to, from] that touch, by positions; no pair is built.
+    touching = _event_rank_sums(bad, bk, num_partitions, start="valid_to", end="valid_from", end_first=False)
+    # One of each: valid windows inside a span, once for each order of the two.
+    keys = rows_with_keys(dim.where(F.col("valid_to") > F.col("valid_from")).select(bk, "valid_from", "valid_to"), bk, stage(bad.select(bk).distinct(), "inverted_keys"))
+    valid = stage(keys.select(F.col(bk).alias("_k"), F.col("valid_from").alias("_f"), F.col("valid_to").alias("_t")), "beside_inverted")
+    inside = skew_safe_join(bad, valid, [bk], ["_k"], "inner",
+                            residual=lambda: (F.col("_t") <= F.col("valid_from")) & (F.col("valid_to") <= F.col("_f")))
+    both = touching.select("_k", F.col("_xw").alias("_z")).unionByName(
+        inside.groupBy("_k").agg((2 * F.count(F.lit(1))).cast(_BIG).alias("_z")))
+    return both.groupBy("_k").agg(F.sum("_z").cast(_BIG).alias("_z"))
 
 
 def history_overlaps(dim: DataFrame, business_key: str, num_partitions: int | None = None) -> DataFrame:
@@ -149,7 +139,7 @@ def history_overlaps(dim: DataFrame, business_key: str, num_partitions: int | No
     """
     bk = business_key
     xw = _event_rank_sums(dim, bk, num_partitions)
-    z = _inverted_pair_counts(dim, bk)
+    z = _inverted_pair_counts(dim, bk, num_partitions)
     v = dim.where(F.col("valid_to") > F.col("valid_from")).groupBy(F.col(bk).alias("_k")).agg(
         F.count(F.lit(1)).cast(_BIG).alias("_v"))
     total = (xw.join(z, "_k", "left").join(v, "_k", "left")
@@ -165,19 +155,28 @@ def validate_history(dim: DataFrame, business_key: str, num_partitions: int | No
     multiple_current and no_current count keys, overlapping_pairs counts
     ordered pairs, inverted_windows counts rows.
     """
-    # Current-version checks and inverted rows: one grouped pass (partial
-    # aggregation per key), then one row to the driver.
+    # Current-version checks, inverted rows and V: one grouped pass (partial
+    # aggregation per key). Overlaps are sums of parts: X - W, Z and -V.
     per_key = dim.groupBy(business_key).agg(
         F.count_if(F.col("is_current")).alias("_cur"),
-        F.count_if(F.col("valid_to") <= F.col("valid_from")).alias("_inv"))
-    simple = per_key.agg(
-        F.count_if(F.col("_cur") > 1).cast("long").alias(CHECK_MULTI_CURRENT),
-        F.count_if(F.col("_cur") == 0).cast("long").alias(CHECK_NO_CURRENT),
-        F.coalesce(F.sum("_inv"), F.lit(0)).cast("long").alias(CHECK_INVERTED)).collect()[0]
-    overlaps = history_overlap_total(dim, business_key, num_partitions)
-    rows = [(CHECK_MULTI_CURRENT, simple[CHECK_MULTI_CURRENT]), (CHECK_NO_CURRENT, simple[CHECK_NO_CURRENT]),
-            (CHECK_OVERLAPS, overlaps), (CHECK_INVERTED, simple[CHECK_INVERTED])]
-    return dim.sparkSession.createDataFrame(rows, "check string, n bigint")
+        F.count_if(F.col("valid_to") <= F.col("valid_from")).alias("_inv"),
+        F.count_if(F.col("valid_to") > F.col("valid_from")).alias("_val"))
+    part = lambda check, n: F.struct(F.lit(check).alias("check"), F.coalesce(n, F.lit(0)).cast("long").alias("n"))
+    simple = per_key.agg(F.array(
+        part(CHECK_MULTI_CURRENT, F.count_if(F.col("_cur") > 1)), part(CHECK_NO_CURRENT, F.count_if(F.col("_cur") == 0)),
+        part(CHECK_INVERTED, F.sum("_inv")), part(CHECK_OVERLAPS, -F.sum("_val"))).alias("parts"))
+    parts = simple.select(F.explode("parts").alias("p")).select("p.check", "p.n")
+    overlaps = [_rank_sum_total(dim, business_key, num_partitions).select(part(CHECK_OVERLAPS, F.col("xw")).alias("p")),
+                _inverted_pair_counts(dim, business_key, num_partitions).agg(part(CHECK_OVERLAPS, F.sum("_z")).alias("p"))]
+    for more in overlaps:
+        parts = parts.unionAll(more.select("p.check", "p.n"))
+    return parts.groupBy("check").agg(F.sum("n").alias("n"))
+
+
+def history_overlap_total(dim: DataFrame, business_key: str, num_partitions: int | None = None) -> int:
+    """The number of ordered overlapping pairs over the whole dimension."""
+    total = validate_history(dim, business_key, num_partitions).where(F.col("check") == CHECK_OVERLAPS)
+    return int(total.collect()[0]["n"])
 
 
 def validation_counts_by(dim: DataFrame, business_key: str,
@@ -237,18 +236,23 @@ def validation_counts_by(dim: DataFrame, business_key: str,
     return out
 
 
+_MESSAGES = {
+    CHECK_MULTI_CURRENT: "business key(s) have more than one current version",
+    CHECK_NO_CURRENT: "business key(s) have no current version",
+    CHECK_OVERLAPS: "overlapping validity window pair(s)",
+    CHECK_INVERTED: "row(s) with valid_to on or before valid_from",
+}
+
+
 def problem_messages(counts: dict) -> list[str]:
     """Messages for non-zero invariant counts (``{check: n}``)."""
-    problems = []
-    if counts.get(CHECK_MULTI_CURRENT):
-        problems.append(f"{counts[CHECK_MULTI_CURRENT]} business key(s) have more than one current version")
-    if counts.get(CHECK_NO_CURRENT):
-        problems.append(f"{counts[CHECK_NO_CURRENT]} business key(s) have no current version")
-    if counts.get(CHECK_OVERLAPS):
-        problems.append(f"{counts[CHECK_OVERLAPS]} overlapping validity window pair(s)")
-    if counts.get(CHECK_INVERTED):
-        problems.append(f"{counts[CHECK_INVERTED]} row(s) with valid_to on or before valid_from")
-    return problems
+    return [f"{counts[check]} {text}" for check, text in _MESSAGES.items() if counts.get(check)]
+
+
+def problem_text(count: Callable[[str], Column]) -> Column:
+    """The same messages as one text column, ``clean`` when there are none."""
+    said = F.concat_ws("; ", *[F.when(count(c) > 0, F.concat(count(c).cast("string"), F.lit(f" {text}"))) for c, text in _MESSAGES.items()])
+    return F.when(said == "", F.lit("clean")).otherwise(said)
 
 
 def history_problems(dim: DataFrame, business_key: str) -> list[str]:

@@ -16,7 +16,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -53,6 +53,12 @@ def window_bounds(mark: datetime, high_water: datetime,
     return low, high_water
 
 
+def low_water(mark: Column, lookback: timedelta = schemas.DEFAULT_LOOKBACK) -> Column:
+    """The low bound of ``window_bounds`` as a column of the stored mark."""
+    back = F.lit(lookback // timedelta(microseconds=1)).cast("long")
+    return F.when(mark == ts_literal(schemas.EPOCH), mark).otherwise(F.timestamp_add("MICROSECOND", -back, mark))
+
+
 def begin(store: DataFrame, run_log: DataFrame, stream: str, high_water: datetime,
           lookback: timedelta = schemas.DEFAULT_LOOKBACK, now: datetime | None = None,
           run_id: str | None = None) -> tuple[RunContext, DataFrame]:

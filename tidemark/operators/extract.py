@@ -9,7 +9,25 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.functions.expressions import ts_literal, window_predicate
+from tidemark.session import observed, stage
+
+
+def staged_window(sources: Sequence[DataFrame], low: datetime, mark: datetime, run_ts: datetime,
+                  change_column: str = "updated_at") -> tuple[list[DataFrame], datetime]:
+    """The sources' rows above ``low``, each staged by one scan, and the run's high-water mark.
+
+    The greatest change time is observed while staging, so the window closes at
+    what was read: no row staged lies beyond it, and a row that arrives later is
+    left to the next run. Where nothing lies above ``low``, the window closes at
+    the stored mark, and without one at the sources' maximum (``run_ts`` if empty).
+    """
+    staged = [stage(s.where(F.col(change_column) > ts_literal(low)), f"window_{i}", [F.max(change_column).alias("high")]) for i, s in enumerate(sources)]
+    seen = [h for s in staged if (h := observed(s)["high"]) is not None]
+    if seen:
+        return staged, max(seen)
+    return staged, mark if mark > schemas.EPOCH else high_water(sources, run_ts, change_column)
 
 
 def extract(source: DataFrame, low: datetime, high: datetime, columns: Sequence[str] | None = None,

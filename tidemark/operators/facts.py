@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.expressions import date_key, gross_amount, net_amount, ts_literal
-from tidemark.operators.joins import skew_safe_join
+from tidemark.operators.joins import rows_with_keys, skew_safe_join
 from tidemark.operators.sweep import as_at_sweep, overlapping_keys
 from tidemark.session import fits_broadcast, known_rows, row_count, stage, with_known_rows
 
@@ -94,14 +94,11 @@ def inferred_members(staged: DataFrame, dim: DataFrame, fact_key: str = "custome
     per key however hot a key is.
     """
     per_key = staged.groupBy(F.col(fact_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    keys = dim.select(F.col(dim_key).alias("_k"))
-    if fits_broadcast(staged):
-        # Few staged facts: find which of their keys the dimension has by
-        # scanning it through a broadcast of those keys (no dimension shuffle).
-        keys = keys.join(F.broadcast(per_key.select("_k")), "_k", "left_semi").distinct()
-        missing = per_key.join(F.broadcast(keys), "_k", "left_anti")
-    else:
-        missing = per_key.join(keys, "_k", "left_anti")
+    # Which of the staged keys the dimension has: it is scanned through their
+    # broadcast, or through a bitmap of them, and never shuffled whole.
+    per_key = stage(per_key, "staged_keys")
+    keys = rows_with_keys(dim.select(F.col(dim_key).alias("_k")), "_k", per_key).distinct()
+    missing = per_key.join(_hinted(stage(keys, "found_keys")), "_k", "left_anti")
     return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("inferred"))
 
 
@@ -125,8 +122,7 @@ def duplicate_keys(df: DataFrame, key: str = "order_line_id") -> int:
 
 def rows_of_keys(fact: DataFrame, staged_facts: DataFrame, key: str = "order_line_id") -> DataFrame:
     """The fact's rows whose key is staged, which a merge supersedes."""
-    keys = staged_facts.select(key)
-    return fact.join(F.broadcast(keys) if fits_broadcast(staged_facts) else keys, key, "left_semi")
+    return rows_with_keys(fact, key, staged_facts)
 
 
 def merge_facts(fact: DataFrame, staged_facts: DataFrame, loaded_at: datetime,

@@ -22,6 +22,35 @@ HOT_MIN_ROWS = 1_000_000
 SALT_BUCKETS = 64
 
 
+# Bits of the filter of staged keys; at most FILTER_BITS / 64 rows of 16 bytes are broadcast.
+FILTER_BITS = 1 << 27
+
+
+def key_filter(keys: DataFrame, key: str) -> DataFrame:
+    """(_word, _bits): a bitmap of the keys' hashes, 64 bits a row, whatever their number."""
+    slot = keys.where(F.col(key).isNotNull()).select(F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).alias("_slot"))
+    return slot.groupBy(F.shiftright("_slot", 6).alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_slot & 63 as int))")).alias("_bits"))
+
+
+def rows_with_keys(df: DataFrame, key: str, keys: DataFrame, keys_key: str | None = None) -> DataFrame:
+    """The rows of ``df`` whose key is among ``keys`` (a semi join).
+
+    Keys of a checked, bounded size are broadcast. Beyond that, a bitmap of their
+    hashes (of a fixed size) is, so that of ``df`` only the rows that pass it are
+    shuffled for the exact join.
+    """
+    keys_key = keys_key or key
+    wanted = keys.select(F.col(keys_key).alias(key))
+    if fits_broadcast(keys):
+        return df.join(F.broadcast(wanted), key, "left_semi").select(*df.columns)
+    slot = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    marked = df.withColumn("_slot", slot).withColumn("_word", F.shiftright("_slot", 6))
+    bits = F.broadcast(key_filter(wanted, key).withColumnRenamed("_word", "_w"))
+    passed = marked.join(bits, (F.col("_word") == F.col("_w")) & (F.getbit("_bits", (F.col("_slot").bitwiseAND(F.lit(63))).cast("int")) == 1), "left_semi")
+    return passed.select(*df.columns).join(wanted, key, "left_semi").select(*df.columns)
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame | None:
     """Keys of ``df`` with at least ``min_rows`` rows, the largest first, or None.
 
@@ -74,9 +103,13 @@ def skew_safe_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
         # keep only the right rows whose key the left has, by scanning the
         # right through a broadcast of the left's keys; what remains is
         # usually small enough to broadcast, so the right is never shuffled.
-        key_set = left.select(*[F.col(lk).alias(rk) for lk, rk in zip(left_keys, right_keys)]).distinct()
-        right = stage(right.join(F.broadcast(key_set), list(right_keys), "left_semi").select(*right.columns),
-                      "prefiltered")
+        key_set = stage(left.select(*[F.col(lk).alias(rk) for lk, rk in zip(left_keys, right_keys)]).distinct(), "left_keys")
+        if len(right_keys) == 1:
+            partners = rows_with_keys(right, right_keys[0], key_set)
+        else:  # bounded in rows and, as staged, in bytes
+            hinted = F.broadcast(key_set) if fits_broadcast(key_set, broadcast_rows) else key_set
+            partners = right.join(hinted, list(right_keys), "left_semi").select(*right.columns)
+        right = stage(partners, "prefiltered")
         if fits_broadcast(right, broadcast_rows):
             return left.join(F.broadcast(right), cond(), how)
     if detect_hot and known_rows(left) is None:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.expressions import as_at_condition, null_safe_difference, ts_literal
+from tidemark.operators.joins import rows_with_keys
 from tidemark.operators.keys import assign_dense_keys
 from tidemark.session import broadcast_bound, fits_broadcast, observed, range_partitions, stage
 
@@ -66,11 +67,9 @@ def as_at(dim: DataFrame, moment: datetime) -> DataFrame:
 
 
 def _versions_of_staged(target: DataFrame, staging: DataFrame, business_key: str) -> DataFrame:
-    """Target rows whose key is staged. A staged set of checked, bounded size is
-    broadcast, so the target is only scanned, never shuffled whole."""
-    if fits_broadcast(staging):
-        return target.join(F.broadcast(staging.select(business_key)), business_key, "left_semi")
-    return target
+    """Target rows whose key is staged; the target is scanned through a broadcast
+    of the keys or of a bitmap of them, never shuffled whole."""
+    return rows_with_keys(target, business_key, staging)
 
 
 def _staged_beside_target(target: DataFrame, staging: DataFrame, business_key: str,

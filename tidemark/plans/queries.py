@@ -47,10 +47,46 @@ def _sc(spark: SparkSession, sf_dir: str) -> scenario.Scenario:
     return scenario.get(spark, sf_dir)
 
 
-def _stats_frame(spark: SparkSession, stats: scd.LoadStats) -> DataFrame:
-    rows = [("inserted", stats.inserted), ("updated", stats.updated),
-            ("versioned", stats.versioned), ("unchanged", stats.unchanged)]
-    return spark.createDataFrame(rows, "metric string, n bigint")
+def _rows(df: DataFrame, metrics: dict) -> DataFrame:
+    """One aggregate of ``df`` as rows (metric, n)."""
+    each = [F.struct(F.lit(name).alias("metric"), F.coalesce(n, F.lit(0)).cast("long").alias("n")) for name, n in metrics.items()]
+    return df.agg(F.array(*each).alias("rows")).select(F.explode("rows").alias("r")).select("r.metric", "r.n")
+
+
+def _union(frames) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _actions(classified: DataFrame, **names: str | None) -> DataFrame:
+    """(metric, n): how many staged keys had each action; 0 for a metric without one."""
+    return _rows(classified, {m: F.count_if(F.col("action") == a) if a else F.lit(0) for m, a in names.items()})
+
+
+def _type1_stats(report) -> DataFrame:
+    return _actions(report.details["type1"].classified, inserted=scd.NEW, updated=scd.CHANGED, versioned=None, unchanged=None)
+
+
+def _type2_stats(report) -> DataFrame:
+    return _actions(report.details["type2"].classified, inserted=scd.NEW, updated=None, versioned=scd.CHANGED, unchanged=scd.UNCHANGED)
+
+
+def _fact_stats(report, before, after, inferred: bool = True) -> DataFrame:
+    """(metric, n) of a load's facts: its staged rows beside the fact before, and the members it lacked."""
+    staged, known = report.details["stg_fact"], before.fact_order_line.select("order_line_id", F.lit(True).alias("_known"))
+    rows = _rows(staged.join(known, "order_line_id", "left"), {
+        "read": F.count(F.lit(1)), "inserted": F.count_if(F.col("_known").isNull()), "updated": F.count_if(F.col("_known"))})
+    if not inferred:
+        return rows
+    return rows.unionByName(facts.inferred_members(report.details["stg_lines"], after.dim_customer).select(
+        F.lit("inferred").alias("metric"), F.col("inferred").alias("n")))
+
+
+def _marks(store: DataFrame, names: dict) -> DataFrame:
+    """(label, watermark) of some streams, by one aggregate; the epoch for one that never ran."""
+    epoch = F.lit(schemas.EPOCH.isoformat(" ")).cast(schemas.TS)
+    each = [F.struct(F.lit(label).alias("label"), F.coalesce(F.max(F.when(F.col("stream") == s, F.col("watermark"))), epoch).alias("watermark"))
+            for label, s in names.items()]
+    return store.agg(F.array(*each).alias("rows")).select(F.explode("rows").alias("r")).select("r.label", "r.watermark")
 
 
 # --- extraction and control ---------------------------------------------------
@@ -78,22 +114,21 @@ def q_watermark_window(spark, sf_dir):
     """(case, low_water, high_water): cold start, warm start with the default
     lookback, warm start with zero lookback."""
     sc = _sc(spark, sf_dir)
-    store1 = sc.state1.etl_watermark
-    mark = control.get_watermark(store1, schemas.SALES_STREAM)
-    cold = control.window_bounds(schemas.EPOCH, sc.report1.high_water)
-    warm = control.window_bounds(mark, sc.report2.high_water)
-    zero = control.window_bounds(mark, sc.report2.high_water, timedelta(0))
-    return spark.createDataFrame(
-        [("cold", *cold), ("lookback_2d", *warm), ("lookback_0", *zero)],
-        "window_case string, low_water timestamp_ntz, high_water timestamp_ntz")
+    named = lambda df, name: df.select(F.lit(name).alias("label"), F.col(df.columns[-1]).alias("at"))
+    moments = _union([named(_marks(sc.state1.etl_watermark, {"mark": schemas.SALES_STREAM}), "mark"),
+                      named(high_water_frame(sc.v1.all()), "first"), named(high_water_frame(sc.v2.all()), "second")])
+    at = {k: F.max(F.when(F.col("label") == k, F.col("at"))) for k in ("mark", "first", "second")}
+    epoch = F.lit(schemas.EPOCH.isoformat(" ")).cast(schemas.TS)
+    window = lambda case, low, high: F.struct(F.lit(case).alias("window_case"), low.alias("low_water"), high.alias("high_water"))
+    return moments.agg(F.array(
+        window("cold", control.low_water(epoch, schemas.DEFAULT_LOOKBACK), at["first"]),
+        window("lookback_2d", control.low_water(at["mark"], schemas.DEFAULT_LOOKBACK), at["second"]),
+        window("lookback_0", control.low_water(at["mark"], timedelta(0)), at["second"])).alias("w")).select(F.explode("w").alias("w")).select("w.*")
 
 
 def q_watermark_get(spark, sf_dir):
-    sc = _sc(spark, sf_dir)
-    store = sc.state2.etl_watermark
-    return spark.createDataFrame(
-        [(s, control.get_watermark(store, s)) for s in (schemas.SALES_STREAM, "inventory")],
-        "stream string, watermark timestamp_ntz")
+    store = _sc(spark, sf_dir).state2.etl_watermark
+    return _marks(store, {s: s for s in (schemas.SALES_STREAM, "inventory")}).withColumnRenamed("label", "stream")
 
 
 def q_watermark_commit(spark, sf_dir):
@@ -104,15 +139,9 @@ def q_watermark_commit(spark, sf_dir):
 
 
 def q_watermark_reset(spark, sf_dir):
-    sc = _sc(spark, sf_dir)
-    store = sc.state2.etl_watermark
-    after_one = control.reset(store, schemas.SALES_STREAM)
-    after_all = control.reset(store)
-    return spark.createDataFrame(
-        [("before", control.get_watermark(store, schemas.SALES_STREAM)),
-         ("reset_stream", control.get_watermark(after_one, schemas.SALES_STREAM)),
-         ("reset_all", control.get_watermark(after_all, schemas.SALES_STREAM))],
-        "step string, watermark timestamp_ntz")
+    store = _sc(spark, sf_dir).state2.etl_watermark
+    steps = {"before": store, "reset_stream": control.reset(store, schemas.SALES_STREAM), "reset_all": control.reset(store)}
+    return _union([_marks(df, {step: schemas.SALES_STREAM}) for step, df in steps.items()]).withColumnRenamed("label", "step")
 
 
 def q_run_log(spark, sf_dir):
@@ -135,10 +164,28 @@ def q_run_log_failed(spark, sf_dir):
     return reports.run_log_report(st.etl_run_log).select("stream", "low_water", "high_water", "rows_read", "status")
 
 
+#: (column of the load report, its source, its metric there).
+_REPORT = [(f"{who}_{m}", who, m) for who in ("customer", "product") for m in ("inserted", "versioned", "updated", "unchanged")] + [
+    ("facts_read", "facts", "read"), ("facts_inserted", "facts", "inserted"), ("facts_restated", "facts", "updated"),
+    ("inferred_members", "facts", "inferred")]
+
+
 def q_load_report(spark, sf_dir):
+    """Both loads' reports, from their classified and staged rows and the published history."""
     sc = _sc(spark, sf_dir)
-    return sc.report1.to_frame(spark).withColumn("load_no", F.lit(1)).unionByName(
-        sc.report2.to_frame(spark).withColumn("load_no", F.lit(2)))
+    none = scenario.empty_state(sc)
+    out = []
+    for load_no, report, before, after in ((1, sc.report1, none, sc.state1), (2, sc.report2, sc.state1, sc.state2)):
+        parts = {"customer": _type2_stats(report), "product": _type1_stats(report), "facts": _fact_stats(report, before, after),
+                 "history": checks.validate_history(after.dim_customer, "customer_id").withColumnRenamed("check", "metric")}
+        long = _union([df.select(F.lit(who).alias("who"), "metric", "n", F.lit(None).cast(schemas.TS).alias("at")) for who, df in parts.items()])
+        log = after.etl_run_log.where((F.col("run_id") == report.run_id) & (F.col("status") == schemas.STATUS_SUCCESS))
+        long = long.unionByName(log.select(F.lit("log").alias("who"), F.lit("high_water").alias("metric"), F.lit(0).cast("long").alias("n"), F.col("high_water").alias("at")))
+        pick = lambda who, metric: F.max(F.when((F.col("who") == who) & (F.col("metric") == metric), F.col("n")))
+        problems = checks.problem_text(lambda check: pick("history", check))
+        out.append(long.agg(F.max("at").alias("high_water"), *[pick(who, m).alias(name) for name, who, m in _REPORT],
+                            problems.alias("history")).withColumn("load_no", F.lit(load_no)))
+    return _union(out)
 
 
 # --- dimensions -----------------------------------------------------------------
@@ -174,7 +221,7 @@ def q_scd1_new(spark, sf_dir):
 
 
 def q_scd1_stats(spark, sf_dir):
-    return _stats_frame(spark, _sc(spark, sf_dir).report2.dim_product)
+    return _type1_stats(_sc(spark, sf_dir).report2)
 
 
 def q_scd1_load(spark, sf_dir):
@@ -194,7 +241,7 @@ def q_scd2_new(spark, sf_dir):
 
 
 def q_scd2_stats(spark, sf_dir):
-    return _stats_frame(spark, _sc(spark, sf_dir).report2.dim_customer)
+    return _type2_stats(_sc(spark, sf_dir).report2)
 
 
 def q_surrogate_keys(spark, sf_dir):
@@ -254,10 +301,8 @@ def q_inferred_members(spark, sf_dir):
 
 
 def q_fact_stats(spark, sf_dir):
-    r = _sc(spark, sf_dir).report2
-    rows = [("read", r.facts_read), ("inserted", r.facts_inserted), ("updated", r.facts_updated),
-            ("inferred", r.inferred_members)]
-    return spark.createDataFrame(rows, "metric string, n bigint")
+    sc = _sc(spark, sf_dir)
+    return _fact_stats(sc.report2, sc.state1, sc.state2)
 
 
 def q_fact_load(spark, sf_dir):
@@ -278,11 +323,11 @@ def q_reload_stats(spark, sf_dir):
     """Idempotence: reloading an unchanged source re-reads the lookback window
     but inserts and versions nothing."""
     r = _reload(spark, sf_dir)
-    rows = [("customers_inserted", r.dim_customer.inserted), ("customers_versioned", r.dim_customer.versioned),
-            ("customers_unchanged", r.dim_customer.unchanged), ("products_inserted", r.dim_product.inserted),
-            ("products_updated", r.dim_product.updated), ("facts_read", r.facts_read),
-            ("facts_inserted", r.facts_inserted), ("facts_restated", r.facts_updated)]
-    return spark.createDataFrame(rows, "metric string, n bigint")
+    named = lambda df, names: df.where(F.col("metric").isin(*names)).select(F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[F.col("metric")].alias("metric"), "n")
+    return _union([
+        named(_type2_stats(r), {"inserted": "customers_inserted", "versioned": "customers_versioned", "unchanged": "customers_unchanged"}),
+        named(_type1_stats(r), {"inserted": "products_inserted", "updated": "products_updated"}),
+        named(_fact_stats(r, _sc(spark, sf_dir).state2, None, inferred=False), {"read": "facts_read", "inserted": "facts_inserted", "updated": "facts_restated"})])
 
 
 def q_lookback_catches(spark, sf_dir):

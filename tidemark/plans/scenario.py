@@ -89,5 +89,10 @@ def get(spark: SparkSession, sf_dir: str) -> Scenario:
     return _CACHE[key]
 
 
+def empty_state(sc: Scenario) -> WarehouseState:
+    """The warehouse before any load."""
+    return read_state(sc.warehouse, Manifest())
+
+
 def zero_lookback_window(sc: Scenario) -> tuple[datetime, datetime]:
     return sc.report1.high_water, sc.report2.high_water

@@ -163,6 +163,13 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
     context.rename(src, dst, sc._gateway.new_array(getattr(fs, "Options$Rename"), 0))
 
 
+def narrowed(staged: DataFrame, *columns: str) -> DataFrame:
+    """Some columns of a staged DataFrame, with its known size (an upper bound in bytes)."""
+    out = with_known_rows(staged.select(*columns), row_count(staged))
+    setattr(out, _BYTES_ATTR, getattr(staged, _BYTES_ATTR, 0))
+    return out
+
+
 def known_rows(df: DataFrame) -> int | None:
     """The row count of a staged DataFrame, if it is known without a job."""
     return getattr(df, _ROWS_ATTR, None)
