@@ -1,16 +1,20 @@
 """Self-join of documents on the Jaccard similarity of their word n-grams.
 
-All n-grams have one global order: by hash, with those met often put last. A set's
+All n-grams have one global order: by hash, with those met often put last, the more
+often the later. A set's
 prefix is its first ``n - ceil(0.8 n) + 1`` n-grams; two sets that link share one in
 their prefixes, whatever the order, so putting frequent ones last only makes the lists
 of documents shorter. Pairs from these lists are then counted exactly: the order is
 cut vertically into fragments, each fragment of a pair gives a partial overlap, and
-the partial overlaps are summed per pair.
+the partial overlaps are summed per pair. Only components are asked for, so pairs are
+counted in rounds: first each document's best candidate, then its best one in another
+component, and in the last round all candidates that are still in different components.
 
 Documents with equal sets are one class from the start. N-grams that many sets hold
 even in their prefixes belong to large groups of near copies: there each list links
 its members to a few hubs first, and only members that are then still apart from the
-list's largest component are compared with all of the list. No link between
+list's largest component are compared with all of the list that a bitmap of their
+frequent n-grams can't tell from them. No link between
 different components is lost, and a group is never expanded into all its pairs.
 
 Defined results: null and empty texts, and texts without a word, have an empty set and
@@ -40,7 +44,7 @@ PERCENT = 80
 FRAGMENTS = 4
 #: An n-gram goes last in the order when it repeats within blocks of documents this often.
 FREQUENT = 6
-#: N-grams put last at most (the most frequent ones); bounds what is broadcast to 8 MB.
+#: N-grams put last at most (the most frequent ones); bounds what is broadcast to 12 MB.
 MAX_FREQUENT = 1_000_000
 #: N-grams that are counted together before their repeats are passed on.
 BLOCK = 2_000_000
@@ -48,6 +52,8 @@ BLOCK = 2_000_000
 LONG_LIST = 20
 #: Hubs of each long list, and the round in which who is still apart is compared with all.
 HUBS, HUB_ROUNDS = 3, 4
+#: Numbers of 64 bits in the bitmap of a set's frequent n-grams.
+BITMAP = 16
 #: Document ids that are broadcast at most (16 MB).
 BROADCAST_IDS = 2_000_000
 
@@ -90,18 +96,20 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted()
 
 
-def frequent_grams(docs: DataFrame) -> np.ndarray:
-    """At most ``MAX_FREQUENT`` n-grams to put last in the order, ascending."""
+def frequent_grams(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``MAX_FREQUENT`` n-grams to put last in the order, ascending, and their places there."""
     counts = docs.select("text").mapInArrow(_repeats, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
     top = counts.orderBy(F.desc("n"), "gram").limit(MAX_FREQUENT).select("gram").toPandas()["gram"]
-    return np.sort(top.to_numpy(dtype=np.int64).view(np.uint64))
+    grams = top.to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(grams)
+    return grams[order], (len(grams) - 1 - order).astype(np.int32)  # the most frequent one is the last
 
 
 class _Frequent:
     """Membership in the frequent n-grams, most of the others turned away by a bitmap."""
 
-    def __init__(self, grams: np.ndarray):
-        self.grams = grams
+    def __init__(self, grams: np.ndarray, places: np.ndarray):
+        self.grams, self.places = grams, places
         self.gate = np.zeros(1 << _GATE, dtype=bool)
         self.gate[grams >> _U(64 - _GATE)] = True
 
@@ -113,18 +121,26 @@ class _Frequent:
             found[some] = self.grams[at] == grams[some]
         return found
 
+    def ordered(self, grams: np.ndarray) -> np.ndarray:
+        """Frequent n-grams in their order."""
+        return grams[np.argsort(self.places[np.searchsorted(self.grams, grams)])]
+
 
 def least_overlap(n: int) -> int:
     """The fewest n-grams that a set of n shares with any set it links to."""
     return -(-PERCENT * n // 100)
 
 
-def prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(doc_id, n, h1, h2, light, heavy): size, a 128-bit digest and the prefix of each set."""
+def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(doc_id, n, h1, h2, light, heavy, bits): size, a 128-bit digest and the prefix of each set.
+
+    ``bits`` is a bitmap of all frequent n-grams of a set whose prefix holds some; such a
+    prefix holds all of the others.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = _Frequent(shared.value)
+        last = _Frequent(*shared.value)
         for batch in T.slices(batches, "text"):
             sets = _sets(batch)
             n = np.array([len(s) for s in sets], dtype=np.int64)
@@ -132,7 +148,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             at = np.concatenate(([0], np.cumsum(n)))
             flags = last(every)
             one, two = T.mix(every), T.mix(every ^ _U(0x5DEECE66D1234567))
-            light, heavy, h1, h2 = [], [], [], []
+            light, heavy, h1, h2, bits = [], [], [], [], []
             for i, own in enumerate(sets):
                 a, b = at[i], at[i + 1]
                 h1.append(one[a:b].sum(dtype=np.uint64))
@@ -141,17 +157,26 @@ def prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 mark = flags[a:b]
                 if mark.any():
                     light.append(own[~mark][:size])
-                    heavy.append(own[mark][: size - len(light[-1])])
+                    more = size - len(light[-1])
+                    heavy.append(last.ordered(own[mark])[:more] if more else own[:0])
+                    bits.append(_bitmap(own[mark]) if more else None)
                 else:
+                    bits.append(None)
                     light.append(own[:size])
                     heavy.append(own[:0])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(np.array(h1, np.uint64).view(np.int64)), pa.array(np.array(h2, np.uint64).view(np.int64)), _lists(light), _lists(heavy)],
-                names=["doc_id", "n", "h1", "h2", "light", "heavy"],
+                [batch.column("doc_id"), pa.array(n), pa.array(np.array(h1, np.uint64).view(np.int64)), pa.array(np.array(h2, np.uint64).view(np.int64)), _lists(light), _lists(heavy), pa.array(bits, pa.list_(pa.int64()))],
+                names=["doc_id", "n", "h1", "h2", "light", "heavy", "bits"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, h1 long, h2 long, light array<long>, heavy array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, h1 long, h2 long, light array<long>, heavy array<long>, bits array<long>")
+
+
+def _bitmap(grams: np.ndarray) -> np.ndarray:
+    out = np.zeros(BITMAP, dtype=np.uint64)
+    np.bitwise_or.at(out, ((grams >> _U(8)) % _U(BITMAP)).astype(np.int64), _U(1) << (grams & _U(63)))
+    return out.view(np.int64)
 
 
 def _lists(rows: list[np.ndarray]) -> pa.ListArray:
@@ -244,7 +269,22 @@ def _counted_pairs(pairs: DataFrame, long_counts: DataFrame) -> DataFrame:
     size = {k: F.floor(F.col(f"m{k}") / _PART) for k in "ab"}
     more = {k: F.col(f"m{k}") % _PART + F.coalesce(f"k{k}", F.lit(0)) for k in "ab"}
     most = F.col("shared") + F.least(more["a"], more["b"]) + F.greatest(_prefix_rest(size["a"]), _prefix_rest(size["b"]))
-    return found.where(_room(most, size["a"], size["b"])).select("a", "b")
+    return found.where(_room(most, size["a"], size["b"])).select("a", "b", "shared")
+
+
+def _best_pairs(pairs: DataFrame) -> DataFrame:
+    """Of each document's pairs the one with the most shared prefix n-grams."""
+    ends = [pairs.select(F.col(own).alias("id"), F.struct("shared", F.col(other).alias("other")).alias("p")) for own, other in ("ab", "ba")]
+    best = ends[0].unionAll(ends[1]).groupBy("id").agg(F.max("p").alias("p"))
+    return best.select(F.least("id", "p.other").alias("a"), F.greatest("id", "p.other").alias("b")).distinct()
+
+
+def _crossing(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose documents are in different components."""
+    for k in "ab":
+        pairs = pairs.join(roots.select(F.col("node").alias(k), F.col("root").alias(f"root_{k}")), k, "left")
+    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    return pairs.where(apart).select("a", "b", "shared")
 
 
 def fragments(docs: DataFrame, ids: DataFrame, only: DataFrame | None = None) -> DataFrame:
@@ -299,6 +339,18 @@ def _able(n, more, m, other):
     return _near(n, m) & _room(F.least(more, other) + rest, F.col(n), F.col(m))
 
 
+def _alike(a: str, b: str):
+    """Whether the bitmaps leave room for a link, where both sets have one.
+
+    Such sets share frequent n-grams, and of the others only ones of long lists. A bit
+    that only one of them has stands for a frequent n-gram that only this one has.
+    """
+    extra = lambda x, y: F.zip_with(F.col(f"{x}.bits"), F.col(f"{y}.bits"), lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
+    only = lambda x, y: F.aggregate(extra(x, y), F.lit(0), lambda n, k: n + k)
+    most = F.least(F.col(f"{a}.frequent") - only(a, b), F.col(f"{b}.frequent") - only(b, a)) + F.least(F.col(f"{a}.k"), F.col(f"{b}.k"))
+    return F.coalesce(_room(most, F.col(f"{a}.n"), F.col(f"{b}.n")), F.lit(True))
+
+
 def _hub(seed: int, *also: str):
     """Of a random quarter of a list's members, the one with the fewest n-grams of its own.
 
@@ -336,9 +388,9 @@ def _more_hub_pairs(apart: DataFrame, seed: int) -> DataFrame:
 
 def _rest_pairs(apart: DataFrame) -> DataFrame:
     """The members outside a list's largest component with all of other components."""
-    minor = apart.where("root <> top").select("gram", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("more").alias("mx"), F.col("root").alias("rx"))
-    met = minor.join(apart.select("gram", "cid", "n", "more", "root"), "gram").where((F.col("rx") != F.col("root")) & _able("n", "more", "nx", "mx"))
-    return met.select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b")).distinct()
+    minor = apart.where("root <> top").alias("x")
+    met = minor.join(apart.alias("y"), (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root")) & _able("x.n", "x.more", "y.n", "y.more") & _alike("x", "y"))
+    return met.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
 
 
 def join_components(docs: DataFrame) -> DataFrame:
@@ -352,7 +404,7 @@ def join_components(docs: DataFrame) -> DataFrame:
         only = written(usable.groupBy("doc_id").agg(F.max(F.struct(*key)).alias("k")).select("doc_id", "k.*"), "repeated-ids")
         usable = usable.join(only, ["doc_id", *key], "left_semi")
     # Sets with one digest are equal, and so are their prefixes: any of them will do.
-    classes = usable.groupBy(*key).agg(F.min("doc_id").alias("cid"), F.first("light").alias("light"), F.first("heavy").alias("heavy"))
+    classes = usable.groupBy(*key).agg(F.min("doc_id").alias("cid"), F.first("light").alias("light"), F.first("heavy").alias("heavy"), F.first("bits").alias("bits"))
     nodes = classes = written(classes, "classes")
 
     packed = (F.col("n") * _PART + F.size("heavy")).alias("m")
@@ -362,23 +414,29 @@ def join_components(docs: DataFrame) -> DataFrame:
     heavy = nodes.select(F.explode("heavy").alias("gram"), "cid", packed)
     long_rows = heavy.unionAll(met.where("b IS NULL").select("gram", F.col("a").alias("cid"), F.col("ma").alias("m")))
     long_counts = met.where("b IS NULL").groupBy(F.col("a").alias("cid")).agg(F.count(F.lit(1)).alias("k"))
-    long_rows = long_rows.join(long_counts, "cid", "left").withColumn("n", F.floor(F.col("m") / _PART))
-    long_rows = written(long_rows.select("gram", "cid", "n", (F.col("m") % _PART + F.coalesce("k", F.lit(0))).alias("more")), "long-lists")
-
-    pairs = written(_counted_pairs(met.where("b IS NOT NULL"), long_counts).unionAll(_hub_pairs(long_rows)).distinct(), "candidates")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).union(long_rows.select(F.col("cid").alias("id")))
+    long_rows = long_rows.join(long_counts, "cid", "left").withColumn("n", F.floor(F.col("m") / _PART)).withColumn("k", F.coalesce("k", F.lit(0)))
+    mapped = nodes.where("bits IS NOT NULL").select("cid", "bits", (F.col("n") - F.size("light")).alias("frequent"))
+    long_rows = long_rows.select("gram", "cid", "n", "k", (F.col("m") % _PART + F.col("k")).alias("more")).join(mapped, "cid", "left")
+    long_rows = written(long_rows, "long-lists")
+
+    short = written(_counted_pairs(met.where("b IS NOT NULL"), long_counts), "short-pairs")
+    pairs = written(_best_pairs(short).unionAll(_hub_pairs(long_rows)).distinct(), "candidates")
+    ids = short.select(F.col("a").alias("id")).union(short.select(F.col("b").alias("id"))).union(long_rows.select(F.col("cid").alias("id")))
     parts = fragments(docs, ids, only)
     roots = written(components(written(linked(parts, pairs), "links")), "roots")
     for seed in range(1, HUB_ROUNDS + 1):
+        short = written(_crossing(short, roots).join(pairs, ["a", "b"], "left_anti"), "short-pairs")
         apart, done = _apart(long_rows, roots), seed == HUB_ROUNDS
-        if apart.isEmpty():
+        if apart.isEmpty() and short.isEmpty():
             break
         if not done:
-            new = written(_more_hub_pairs(apart, seed).join(pairs, ["a", "b"], "left_anti"), "candidates")
+            new = _best_pairs(short).unionAll(_more_hub_pairs(apart, seed)).distinct()
+            new = written(new.join(pairs, ["a", "b"], "left_anti"), "candidates")
             links = written(linked(parts, new), "links")
             pairs, done = pairs.unionAll(new), links.isEmpty()
         if done:  # who is still apart is compared with all
-            links = written(linked(parts, _rest_pairs(apart).join(pairs, ["a", "b"], "left_anti")), "links")
+            rest = short.select("a", "b").unionAll(_rest_pairs(apart)).distinct()
+            links = written(linked(parts, rest.join(pairs, ["a", "b"], "left_anti")), "links")
         roots = written(components(links.unionAll(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))), "roots")
         if done:
             break
