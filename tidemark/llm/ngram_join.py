@@ -320,7 +320,13 @@ def fragments(docs: DataFrame, ids: DataFrame, only: DataFrame | None = None) ->
 
 
 def linked(parts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of documents that link: partial overlaps by fragment, summed per pair."""
+    """The pairs (a, b) of documents that link: partial overlaps by fragment, summed per pair.
+
+    Fragments of documents in no pair are left out before the joins, so a round with few
+    pairs moves few of them.
+    """
+    ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "pair-ids")
+    parts = parts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
     left = parts.select(F.col("id").alias("a"), "fragment", F.col("n").alias("na"), F.col("grams").alias("ga"))
     right = parts.select(F.col("id").alias("b"), "fragment", F.col("n").alias("nb"), F.col("grams").alias("gb"))
     partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("overlap"))
@@ -436,7 +442,7 @@ def join_components(docs: DataFrame) -> DataFrame:
             pairs, done = pairs.unionAll(new), links.isEmpty()
         if done:  # who is still apart is compared with all
             rest = short.select("a", "b").unionAll(_rest_pairs(apart)).distinct()
-            links = written(linked(parts, rest.join(pairs, ["a", "b"], "left_anti")), "links")
+            links = written(linked(parts, written(rest.join(pairs, ["a", "b"], "left_anti"), "candidates")), "links")
         roots = written(components(links.unionAll(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))), "roots")
         if done:
             break
