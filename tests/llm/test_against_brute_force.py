@@ -97,8 +97,9 @@ def test_words_tokenized_apart_give_the_same_ids():
     path = queries.tokenizer_file("word_bpe_49k.json")
     own = huffman_ids.WordIds(path)
     rows = ["<|ENDOFTEXT|> <|Endoftext|>", "a<|endoftext|>. b!<|endoftext|>", "x!. ...", "", None, " \t", "İ é ̈ x", "\r\n a\x0bb", "ﬁ", "don't I'll", "😀😀", "a'sb", "\x85 x", "x<|startoftext|>y  z", "123 4", "é ́x"]
+    rows += [f"{a}{c}{b}" for c in ("T\u0308", "H\u0331", "W\u030a", "Y\u030a", "J\u030c", "T\u0308\u0331") for a in ("", "x", "<", "A.") for b in ("", "y", ". Z", "é")]
     random.seed(3)
-    rows += ["".join(random.choice("aB'. !\n\té1<|>̈️—x") for _ in range(random.randint(1, 30))) for _ in range(500)]
+    rows += ["".join(random.choice("aBTHWYJ'. !\n\té1<|>̱̈̌̊️—x") for _ in range(random.randint(1, 30))) for _ in range(500)]
     ids, n = own.encode(pa.array(rows), 1)
     at = np.concatenate(([0], np.cumsum(n)))
     for i, t in enumerate(rows):

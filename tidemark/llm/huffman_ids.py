@@ -112,10 +112,19 @@ class WordIds:
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one after another, each row ended by ``end_id``; ids per row)."""
         raw, offsets = T.buffer_of(column)
-        if self.folds:
-            # Special tokens are matched before folding: bytes of words with "<" stay.
-            raw = T.LOWER[raw] if 60 not in raw else np.where(_near_sign(raw), raw, T.LOWER[raw])
         starts, ends, counts = T.word_spans(raw, offsets)
+        if self.folds:
+            # Special tokens are matched before folding: bytes of words with "<" stay. So do words
+            # that aren't all ASCII: a letter may only compose with the mark after it in one case.
+            stays = _near_sign(raw) if 60 in raw else None
+            far = np.concatenate(([0], np.cumsum(raw >= 128)))
+            if far[-1]:
+                mixed = far[ends] > far[starts]
+                edge = np.zeros(len(raw) + 1, dtype=np.int8)
+                edge[starts[mixed]] += 1
+                edge[ends[mixed]] -= 1
+                stays = np.cumsum(edge[:-1]).astype(bool) if stays is None else stays | np.cumsum(edge[:-1]).astype(bool)
+            raw = T.LOWER[raw] if stays is None else np.where(stays, raw, T.LOWER[raw])
         if self.cuts and len(starts):
             end, alnum = _ENDING[raw], _ALNUM[raw]
             cut = np.flatnonzero((end[1:] & alnum[:-1]) | (end[:-1] & alnum[1:])) + 1
