@@ -20,8 +20,10 @@ repeated rows get equal scores; an empty table gives an empty result.
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -125,7 +127,17 @@ def evidence(folded: str, automaton: ahocorasick.Automaton) -> float:
             spared.append((start, end))
         if weight and not (whole and end + 1 < len(folded) and folded[end + 1].isalnum()) and weight > hits.get(start, (0.0, 0))[0]:
             hits[start] = (weight, end)
-    return sum(w for start, (w, end) in hits.items() if not any(a <= start and end <= b for a, b in spared))
+    if not spared:
+        return sum(w for w, _ in hits.values())
+    # The reach of the exceptions up to each of their starts: only the last before a hit is asked.
+    spared.sort()
+    opens, reach = [a for a, _ in spared], list(accumulate((b for _, b in spared), max))
+    total = 0.0
+    for start, (w, end) in hits.items():
+        k = bisect_right(opens, start)
+        if not k or reach[k - 1] < end:
+            total += w
+    return total
 
 
 def _inputs(weight, words):
