@@ -177,14 +177,14 @@ def _spans(words, pattern):
     return F.zip_with(starts, ends, lambda a, b: F.struct(a.cast("long").alias("first"), b.cast("long").alias("last")))
 
 
-def gated(docs: DataFrame) -> DataFrame:
+def gated(docs: DataFrame, cues) -> DataFrame:
     """(place, doc_id, n_words, words): words only of texts that hold a cue, written once.
 
     ``words`` are lower-cased and stand between single spaces, one at either end too.
     """
     own = docs.select("doc_id", "text", F.lower("text").alias("low"))
     cue = F.lit(False)
-    for c in CUES:
+    for c in cues:
         cue = cue | F.contains(F.col("low"), F.lit(c))
     joined = F.translate(F.array_join(F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0)), " "), _UPPER, _LOWER)
     words = F.when(cue, F.concat(F.lit(" "), joined, F.lit(" ")))
@@ -210,9 +210,11 @@ def detections(rows: DataFrame, rules: DataFrame, keywords: list[str]) -> DataFr
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules=None) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) per row."""
     spark = docs.sparkSession
+    # A caller's signatures are found behind their own keywords, beside which base phrases have their cue.
+    cues = CUES if rules is None else sorted({keyword.lower() for _, keyword, *_ in rules} | {"licen"})
     rules = signature_table(spark, rules)
     keywords = sorted(r["keyword"] for r in rules.select("keyword").distinct().collect())
-    rows = gated(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    rows = gated(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), cues)
     sure = F.create_map(*(F.lit(x) for pair in CONFIDENCE.items() for x in pair))
     own = detections(rows, rules, keywords).groupBy("place").agg(F.collect_set("label").alias("own"), F.max(sure[F.col("priority")]).alias("sure"))
     phrases = rows.where("words IS NOT NULL")
