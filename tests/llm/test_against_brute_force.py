@@ -136,6 +136,16 @@ def test_sentencepiece_is_exact(texts):
         assert own.decode(ids) == library.decode(ids)
 
 
+def test_long_unbroken_text_is_exact():
+    import random
+
+    import sentencepiece
+
+    model = queries.tokenizer_file("piece_bpe_32k.model")
+    chars = random.Random(5).choices("abcdefghijklmnopqrstuvwxyzßéя1.", k=400_000)
+    assert sentencepiece_bpe.codec(model).encode("".join(chars)) == sentencepiece.SentencePieceProcessor(model_file=model).encode("".join(chars))
+
+
 def components_of(sets):
     """Components by comparing each set with all others that share an n-gram."""
     root = {i: i for i in sets}
@@ -263,6 +273,13 @@ def test_larger_detections_hide_smaller_ones(spark):
     assert got[2] == "outer" and got[1] == "gpl,inner"
 
 
+def test_rules_of_a_caller_bring_their_own_cues(spark):
+    rows = [(1, "It is free for Academic use only."), (2, "copyright; free for academic use only"), (3, "an academic use"), (4, "under the MIT license"), (5, None)]
+    rules = [("academic", "academic", license_scan.NAME, "free for academic use only")]
+    got = {r.doc_id: (r.labels, r.n_base) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), rules=rules).collect()}
+    assert got == {1: ("academic", 0), 2: ("academic", 0), 3: ("", 0), 4: ("mit", 1), 5: ("", 0)}
+
+
 def test_nested_url_rules(spark):
     rules = [("a", "/", "block"), ("a", "/x/", "allow"), ("a", "/x/y/", "block"), ("b.a", "/", "allow"), ("b.a", "/x", "block"), ("c.b.a", "/zz", "allow")]
     random.seed(4)
@@ -279,6 +296,18 @@ def test_nested_url_rules(spark):
     assert sorted((tuple(r) for r in got), key=lambda r: r[0]) == [brute(*u) for u in urls]
 
 
+def test_hits_and_exceptions_in_one_long_text():
+    lexicon = toxicity.Lexicon({"idiot": (1.0, True), "trash": (1.0, True)}, ("trash can",))
+    automaton = lexicon.automaton()
+    assert toxicity.evidence(toxicity.fold("trash can idiot " * 200_000), automaton) == 200_000
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        text = " ".join(rng.choice(["trash", "can", "idiot", "trashcan", "a"], 40))
+        spared = [m.span() for m in re.finditer(r"\btrash can", text)]
+        want = sum(not any(a <= m.start() and m.end() <= b for a, b in spared) for m in re.finditer(r"\b(?:idiot|trash)\b", text))
+        assert toxicity.evidence(text, automaton) == want
+
+
 def test_evidence_folds_and_spares():
     made = toxicity.Lexicon({"idiot": (2.0, True), "clown": (1.0, True), "vequ": (3.0, False)})
     automaton = made.automaton()
@@ -342,6 +371,70 @@ def test_model_on_pages_without_landmarks():
         assert ((model.marginals(nodes) >= 0.5) == state)[[n.text is not None for n in nodes]].all()
 
 
+def article_blocks(page):
+    import html
+
+    inner = page[page.index("<article>") + 9 : page.index("</article>")]
+    blocks = re.split(r"</?(?:h1|p)\b[^>]*>", inner)
+    plain = (" ".join(html.unescape(re.sub(r"<[^>]+>", lambda m: " " if m[0].startswith("<br") else "", b)).split()) for b in blocks)
+    return [x for x in plain if x]
+
+
+@pytest.fixture(scope="module")
+def page_model(spark):
+    """A model of some given pages, and pages that it hasn't seen."""
+    from tidemark.llm import html_model
+
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").collect()]
+    return html_model.train(html_model.examples() * 5 + [html_model.labelled_nodes(x) for x in pages[:60]]), pages[60:]
+
+
+@pytest.mark.parametrize("tags, classes", [("article", False), ("article|nav|footer|header|aside|main", False), ("article|nav|footer|header|aside|main", True)])
+def test_unseen_pages_without_names(page_model, tags, classes):
+    from collections import Counter
+
+    model, pages = page_model
+    found = right = wanted = 0
+    for page in pages:
+        plain = re.sub(rf"<(/?)(?:{tags})\b", r"<\1div", page)
+        if classes:
+            plain = re.sub(r' class="[^"]*"', "", plain)
+        want, got = Counter(article_blocks(page)), Counter(model.extract(plain).split("\n"))
+        found, right, wanted = found + sum(got.values()), right + sum((want & got).values()), wanted + sum(want.values())
+    assert right >= 0.95 * found and right >= 0.95 * wanted
+
+
+@pytest.mark.parametrize(
+    "inside, want",
+    [
+        ('<article class="post share"><h1>T</h1><p>One.</p></article>', "T\nOne."),
+        ('<article><p class="social-history">One.</p><p>Two.</p></article>', "One.\nTwo."),
+        ('<article><div class="form-group"><p>One.</p></div><div class="story-ad-hoc">Two.</div></article>', "One.\nTwo."),
+        ('<article><p>One.</p><div class="ad-box">Buy.</div><div class="cookie-notice"><p>We use them.</p></div><p>Two.</p></article>', "One.\nTwo."),
+        ('<article><p>One.</p><section class="comments"><p>Mine.</p></section><form><p>Ask.</p></form><aside><p>More.</p></aside></article>', "One."),
+        ("<div><p>One short paragraph.</p></div>", "One short paragraph."),
+        (
+            "<article>"
+            + "<p>Yes.</p><img><div class='ad'>no</div><aside><p>no</p></aside><script>x</script><iframe></iframe><form><p>no</p></form><section class='related'><p>no</p></section><div class='promo'><p>no</p></div>" * 30
+            + "</article>",
+            "\n".join(["Yes."] * 30),
+        ),
+    ],
+)
+def test_class_words_are_evidence_among_other(page_model, inside, want):
+    page = f"<html><body><nav><a href='/'>Home</a></nav>{inside}<footer>Imprint</footer></body></html>"
+    assert page_model[0].extract(page) == want
+
+
+def test_deep_pages_take_linear_time(page_model):
+    import time
+
+    start = time.time()
+    for deep in ("<div>" * 60_000, "<i>" * 60_000 + "<hr>" * 60_000, "<div></b></p>" * 60_000):
+        assert page_model[0].extract(f"<article>{deep}<p>One.</p>") == "One."
+    assert time.time() - start < 60  # a copy of the open tags at every block took minutes
+
+
 def test_marginals_by_enumeration():
     from itertools import product
 
@@ -349,13 +442,12 @@ def test_marginals_by_enumeration():
 
     model = html_model.train([html_model.labelled_nodes(x) for x in html_model.EXAMPLES])
     nodes = html_model.parse("<main><p>a<div class=ad>b</div><ul><li>c</ul></main>")
-    own = np.clip(html_model.features(nodes) @ model.weights, -8, 8)
+    own = html_model.features(nodes) @ model.weights
     total, each = 0.0, np.zeros(len(nodes))
     for state in product((0, 1), repeat=len(nodes)):
         p = np.exp(sum(o * s for o, s in zip(own, state)))
         for i, n in enumerate(nodes[1:], 1):
-            if not html_model.speaks(n):
-                p *= np.exp(model.pairs[html_model._TAG[html_model.kind(n)], state[n.parent], state[i]])
+            p *= np.exp(model.bonds[html_model.bond_kind(n)] * (state[n.parent] == state[i]))
         total += p
         each += p * np.array(state)
     assert np.allclose(model.marginals(nodes), each / total)

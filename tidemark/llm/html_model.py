@@ -1,15 +1,20 @@
 """Main text of web pages by a graphical model on the DOM tree.
 
-Each node is content or not. A node's own evidence is a logistic function of features
+Each node is content or not. A node's own evidence is a linear function of features
 (tag, words of its class and id, share of link text, amount of text, place); parent and
 child share a potential that depends on the child's kind of tag. One pass up the tree
-and one down (sum-product) give each node's marginal given the whole page.
+and one down (sum-product) give each node's marginal given the whole page. Weights and
+potentials are learned together by maximum likelihood: the gradient is what the labels
+show less what the same messages expect.
 
 The model is trained on labelled pages: given as (html, content) pairs through
-``labelled_nodes``, or, as here, pages that say themselves where their article is. Nodes
+``labelled_by_text``, or, as here, pages that say themselves where their article is. Nodes
 under ``article`` or ``main`` are content, apart from landmarks, adverts, forms, comments
-and the like inside them, and all others are not; landmark names are then hidden from a quarter
-of the training pages, so that evidence from text, links and classes counts too. At most
+and the like inside them, and all others are not. Each page is learned from four times:
+as it is, without the names of its article, without all landmark tags, and without these
+and all class names, so that evidence from text, links and place counts too. A class word is one feature among others:
+it takes a block away only if the words say so together (``ad-box``, not ``story-ad-hoc``),
+and never the article itself. At most
 ``MAX_PAGES`` pages are learned from, those with the least hashes; that bounds what
 reaches the driver. Every page is extracted whole.
 
@@ -31,8 +36,9 @@ from __future__ import annotations
 
 import html as entities
 import re
+from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +48,7 @@ from pyspark.sql import functions as F
 from . import text as T
 
 #: Labelled pages that the model learns from, at most.
-MAX_PAGES = 600
+MAX_PAGES = 300
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -63,13 +69,17 @@ OUTSIDE = {"nav", "header", "footer", "aside", "form", "head", "dialog", "menu",
 #: Parts of class, id and role names of what is no content (fixed values).
 BOILERPLATE = set("ad ads advert adverts advertisement sponsor sponsored promo nav navbar navigation menu footer header masthead sidebar aside widget banner cookie cookies consent notice notices alert popup modal newsletter subscribe signup login form search share social related comment comments reply replies disqus breadcrumb breadcrumbs pagination copyright legal disclaimer toolbar".split())
 GOOD = set("article content main post entry story body text paragraph prose".split())
+#: Last parts of names that say nothing: an ``ad-box`` is an ad.
+HOLDERS = set("area bar block box buttons container holder inner item items link links list outer panel section slot unit wrap wrapper zone".split())
 
 
 @dataclass
 class Node:
     tag: str
     parent: int
-    names: tuple[str, ...] = ()
+    names: tuple[str, ...] = ()  # parts of class, id and role names
+    apart: bool = False  # a whole name says that this is no content
+    good: bool = False  # a whole name says that it is
     text: str | None = None  # of text nodes
     block: int = 0  # the nearest node that isn't inline
     run: int = 0  # text nodes of one run stand in one block without another block between them
@@ -80,10 +90,25 @@ class Node:
     children: list[int] = field(default_factory=list)
 
 
+def _name(node: Node, attributes: str) -> None:
+    """What the names of a tag say of it."""
+    parts: list[str] = []
+    for a in _NAMES.finditer(attributes):
+        for name in (a[2] or a[3] or a[4] or "").split():
+            own = _PART.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower())
+            parts += own
+            head = next((w for w in reversed(own) if w not in HOLDERS), "")
+            node.apart = node.apart or head in BOILERPLATE
+            node.good = node.good or bool(own) and own[-1] in GOOD
+    node.names = tuple(parts)
+
+
 def parse(page: str) -> list[Node]:
     """The tree as nodes in page order; node 0 is the root, parents come before children."""
     nodes = [Node("#root", -1)]
     open_tags = [0]
+    blocks = [0]  # per open tag: where the nearest one that isn't inline stands
+    still_open: dict[str, int] = {}
     run = at = 0
     unended: set[str] = set()  # tags of RAW without an end tag in the rest of the page
 
@@ -93,6 +118,11 @@ def parse(page: str) -> list[Node]:
         nodes.append(node)
         return len(nodes) - 1
 
+    def close(k: int) -> None:
+        for i in open_tags[k:]:
+            still_open[nodes[i].tag] -= 1
+        del open_tags[k:], blocks[k:]
+
     def put(piece: str) -> None:
         if piece and not piece.isspace():
             add(Node("#text", open_tags[-1], text=entities.unescape(piece), run=run))
@@ -117,30 +147,25 @@ def parse(page: str) -> list[Node]:
         if tag not in INLINE:
             run += 1
         if m[1]:
-            for k in range(len(open_tags) - 1, 0, -1):
+            for k in range(len(open_tags) - 1, 0, -1) if still_open.get(tag) else ():
                 if nodes[open_tags[k]].tag == tag:
-                    del open_tags[k:]
+                    close(k)
                     break
                 if tag in INLINE and nodes[open_tags[k]].tag not in INLINE:
                     break
             continue
-        if tag not in INLINE:  # a paragraph, with what is open in it, ends before a block
-            inner = open_tags[::-1]
-            for k, i in enumerate(inner[:-1]):
-                if nodes[i].tag == "p":
-                    del open_tags[len(open_tags) - 1 - k :]
-                    break
-                if nodes[i].tag not in INLINE:
-                    break
+        if tag not in INLINE and nodes[open_tags[blocks[-1]]].tag == "p":
+            close(blocks[-1])  # a paragraph, with what is open in it, ends before a block
         if ends := _ENDED_BY.get(tag):
-            for k in range(len(open_tags) - 1, 0, -1):
+            for k in range(len(open_tags) - 1, 0, -1) if any(map(still_open.get, ends)) else ():
                 if nodes[open_tags[k]].tag in ends:
-                    del open_tags[k:]
+                    close(k)
                     break
                 if nodes[open_tags[k]].tag in _SCOPES:
                     break
-        names = tuple(p for a in _NAMES.finditer(m[3]) for p in _PART.findall((a[2] or a[3] or a[4] or "").lower())) if m[3] else ()
-        i = add(Node(tag, open_tags[-1], names))
+        i = add(Node(tag, open_tags[-1]))
+        if m[3]:
+            _name(nodes[i], m[3])
         if tag in RAW:
             if tag == "svg" and m[3].endswith("/") or tag in unended:
                 continue
@@ -151,7 +176,9 @@ def parse(page: str) -> list[Node]:
             else:
                 unended.add(tag)
         elif tag not in VOID and not m[3].endswith("/"):
+            blocks.append(blocks[-1] if tag in INLINE else len(open_tags))
             open_tags.append(i)
+            still_open[tag] = still_open.get(tag, 0) + 1
     for i in range(len(nodes) - 1, 0, -1):
         own, up = nodes[i], nodes[nodes[i].parent]
         if own.text is not None:
@@ -165,11 +192,13 @@ def parse(page: str) -> list[Node]:
     return nodes
 
 
-TAGS = sorted(LANDMARK | OUTSIDE | {"p", "div", "section", "h", "li", "ul", "table", "a", "b", "#text", "#root", "html", "body", "pre", "blockquote", "figure", "raw", "other"})
+TAGS = sorted(LANDMARK | OUTSIDE | {"p", "div", "section", "h", "li", "ul", "table", "a", "b", "#text", "#root", "html", "body", "pre", "blockquote", "figure", "raw", "other", "apart"})
 _TAG = {t: i for i, t in enumerate(TAGS)}
-#: Tags that speak for themselves on pages that name their article.
+_WORD = {w: i for i, w in enumerate(sorted(BOILERPLATE | GOOD))}
+#: Tags that count on pages that name their article.
 SPEAKING = LANDMARK | OUTSIDE | {"raw", "html", "body", "#root"}
-N_FEATURES = 2 * len(TAGS) + 12
+N_TEXT = 16
+N_FEATURES = 2 * len(TAGS) + 2 + len(_WORD) + N_TEXT
 
 
 def kind(node: Node) -> str:
@@ -184,85 +213,129 @@ def kind(node: Node) -> str:
 
 
 def is_boilerplate(node: Node) -> bool:
-    return not BOILERPLATE.isdisjoint(node.names)
+    """Whether the names of a node, taken together, say that it is no content."""
+    return node.apart and not node.good and node.tag not in LANDMARK
 
 
-def speaks(node: Node) -> bool:
-    """Whether a node's own evidence decides, whatever its parent is."""
-    return node.tag in OUTSIDE or node.tag in LANDMARK or node.tag in RAW or is_boilerplate(node)
+def bond_kind(node: Node) -> int:
+    """Of which kind the bond to the parent is: blocks named apart have one of their own."""
+    return _TAG["apart" if is_boilerplate(node) and node.tag not in OUTSIDE else kind(node)]
 
 
-def features(nodes: list[Node], hide: bool = False) -> np.ndarray:
-    """One row of features per node; ``hide`` takes landmark tags for plain containers.
+def features(nodes: list[Node]) -> np.ndarray:
+    """One row of features per node.
 
     Pages that name their article are told from others: there only names and the tags that
-    name parts of a page speak, and the rest follows by its parents; text, links and other
-    tags, which are weaker evidence, count on pages that don't.
+    name parts of a page count, and the rest follows by its parents; text, links, place and
+    other tags, which are weaker evidence, count on pages that don't.
     """
     out = np.zeros((len(nodes), N_FEATURES))
     total = max(1, nodes[0].chars)
-    plain = hide or not any(n.tag in LANDMARK for n in nodes)
-    base = len(TAGS) * 2
+    plain = not any(n.tag in LANDMARK for n in nodes)
+    names = 2 * len(TAGS)
+    base = names + 2 + len(_WORD)
+    paragraphs, titles, last = [0] * len(nodes), [0] * len(nodes), [-1] * len(nodes)
+    if plain:
+        for i in range(len(nodes) - 1, 0, -1):
+            n = nodes[i]
+            paragraphs[n.parent] += paragraphs[i] + (n.tag == "p" and n.chars > 0)
+            titles[n.parent] += titles[i] + (n.tag == "h1")
+            if last[n.parent] < 0 and n.chars and n.tag not in INLINE and n.text is None:
+                last[n.parent] = i
     for i, n in enumerate(nodes):
         row = out[i]
-        row[base] = is_boilerplate(n)
+        if n.names and n.tag not in LANDMARK:
+            row[names] = is_boilerplate(n)
+            row[names + 1] = plain and n.good and not n.apart
+            if is_boilerplate(n):
+                for w in n.names:
+                    if w in BOILERPLATE:
+                        row[names + 2 + _WORD[w]] = 1
+        if not n.chars and i and n.text is None:
+            row[:] = 0
+            continue
         if n.text is not None or n.tag in INLINE:  # these follow the block that they stand in
             continue
         tag = kind(n)
         if plain or tag in SPEAKING:
-            row[_TAG["div" if hide and tag in LANDMARK else tag] + len(TAGS) * plain] = 1
-        row[base + 1] = not GOOD.isdisjoint(n.names)
-        if plain:
-            row[base + 2] = 1
-            row[base + 3] = n.linked / max(1, n.chars)
-            row[base + 4] = n.linked * 2 > n.chars
-            row[base + 5] = min(1.0, n.words / 20)
-            row[base + 6] = min(1.0, n.words / 200)
-            row[base + 7] = min(1.0, n.stops / 5)
-            row[base + 8] = n.chars / total
-            row[base + 9] = n.chars == 0
-            row[base + 10] = len(n.children) > 8
-            row[base + 11] = n.chars * 2 > total
+            row[_TAG[tag] + len(TAGS) * plain] = 1
+        if plain and tag not in ("#root", "html", "body"):
+            box = tag in ("div", "section", "other")
+            row[base] = n.linked / max(1, n.chars)
+            row[base + 1] = n.linked * 2 > n.chars
+            row[base + 2] = min(1.0, n.words / 20)
+            row[base + 3] = min(1.0, n.words / 200)
+            row[base + 4] = min(1.0, n.stops / 5)
+            row[base + 5] = n.chars / total
+            row[base + 6] = n.chars == 0
+            row[base + 7] = len(n.children) > 8
+            row[base + 8] = n.chars * 2 > total
+            row[base + 9] = box and paragraphs[i] > 0
+            row[base + 10] = box and min(1.0, paragraphs[i] / 4)
+            row[base + 11] = box and titles[i] > 0
+            row[base + 12] = box and titles[i] > 0 and paragraphs[i] > 0
+            row[base + 13] = last[n.parent] == i
+            row[base + 14] = box and paragraphs[i] == 0 and n.chars * 2 <= total
+            row[base + 15] = box and paragraphs[i] > 0 and n.chars * 2 > total
     return out
 
 
+@dataclass
+class Forest:
+    """The nodes of one or more trees as arrays, level by level."""
+
+    parent: np.ndarray  # -1 for roots
+    kinds: np.ndarray
+    held: np.ndarray  # nodes that hold text; others, like images and scripts, tell nothing of their parents
+    levels: list[np.ndarray]  # nodes by depth, roots first
+
+    @classmethod
+    def of(cls, trees: list[list[Node]]) -> Forest:
+        parent, kinds, depth, held = array("q"), array("q"), array("q"), array("b")
+        for nodes in trees:
+            base = len(parent)
+            for n in nodes:
+                parent.append(base + n.parent if n.parent >= 0 else -1)
+                kinds.append(bond_kind(n))
+                held.append((n.chars > 0 or n.text is not None) and n.parent >= 0)
+                depth.append(depth[parent[-1]] + 1 if n.parent >= 0 else 0)
+        deep = np.array(depth)
+        order = np.argsort(deep, kind="stable")
+        return cls(np.array(parent), np.array(kinds), np.array(held, dtype=bool), np.split(order, np.cumsum(np.bincount(deep))[:-1]))
+
+    def beliefs(self, own: np.ndarray, bonds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log-odds of each node given its whole tree, and the probability that it agrees with its parent.
+
+        ``own`` are the log-odds of each node's own evidence, ``bonds`` the log potentials per
+        kind of node that it has its parent's state.
+        """
+        bond = bonds[self.kinds] * self.held
+        def message(odds, b):
+            return np.logaddexp(odds + b, 0.0) - np.logaddexp(odds, b)
+
+        below, up = own.copy(), np.zeros(len(own))  # own evidence and messages from below
+        for level in self.levels[:0:-1]:
+            up[level] = message(below[level], bond[level])
+            np.add.at(below, self.parent[level], up[level])
+        total, agree = below.copy(), np.ones(len(own))
+        for level in self.levels[1:]:
+            above = total[self.parent[level]] - up[level]  # the parent without this node's message
+            total[level] += message(above, bond[level])
+            equal = np.logaddexp(0.0, below[level] + above) + bond[level]
+            agree[level] = np.exp(equal - np.logaddexp(equal, np.logaddexp(below[level], above)))
+        return total, agree
+
+
 @dataclass
 class Model:
     weights: np.ndarray  # log-odds of content per feature
-    pairs: np.ndarray  # log potential per kind of child: parent state x child state
+    bonds: np.ndarray  # log potential per kind of child: it has its parent's state
 
     def marginals(self, nodes: list[Node]) -> np.ndarray:
         """Probability of content for each node, by messages up and then down the tree."""
-        own = np.clip(features(nodes) @ self.weights, -8, 8)
-        pair = np.exp(self.pairs[[_TAG[kind(n)] for n in nodes]])
-        pair[[speaks(n) for n in nodes]] = 1.0
-        pair = pair.tolist()
-        local = [(1.0, float(np.exp(x))) for x in own]
-        up: list[tuple[float, float]] = [(1.0, 1.0)] * len(nodes)  # to the parent
-        belief = [list(x) for x in local]  # own evidence and messages from below
-        for i in range(len(nodes) - 1, 0, -1):
-            b0, b1 = belief[i]
-            p = pair[i]
-            m0, m1 = p[0][0] * b0 + p[0][1] * b1, p[1][0] * b0 + p[1][1] * b1
-            s = m0 + m1
-            up[i] = (m0 / s, m1 / s)
-            q = belief[nodes[i].parent]
-            q[0] *= up[i][0]
-            q[1] *= up[i][1]
-            s = q[0] + q[1]
-            q[0], q[1] = q[0] / s, q[1] / s
-        out = np.zeros(len(nodes))
-        down = [(0.5, 0.5)] * len(nodes)  # from the parent, without this node's own message
-        for i, n in enumerate(nodes):
-            if i:
-                b, d, u = belief[n.parent], down[n.parent], up[i]
-                a0, a1 = b[0] * d[0] / u[0], b[1] * d[1] / u[1]
-                p = pair[i]
-                m0, m1 = a0 * p[0][0] + a1 * p[1][0], a0 * p[0][1] + a1 * p[1][1]
-                down[i] = (m0 / (m0 + m1), m1 / (m0 + m1))
-            x0, x1 = belief[i][0] * down[i][0], belief[i][1] * down[i][1]
-            out[i] = x1 / (x0 + x1)
-        return out
+        forest = Forest.of([nodes])
+        odds, _ = forest.beliefs(features(nodes) @ self.weights, self.bonds)
+        return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
     def extract(self, page: str | None) -> str:
         if not page:
@@ -280,40 +353,66 @@ class Model:
 def landmark_labels(nodes: list[Node]) -> np.ndarray | None:
     """1 for nodes of the article that a page names itself, 0 for others; null without one."""
     state = np.zeros(len(nodes), dtype=int)
+    inside = [False] * len(nodes)  # a part of the page that is no content, or of one
     for i, n in enumerate(nodes[1:], 1):
-        if n.tag in RAW or n.tag in OUTSIDE or is_boilerplate(n):
-            continue
-        up = state[n.parent] or (n.tag in LANDMARK and not any(is_boilerplate(nodes[k]) for k in _above(nodes, i)))
-        state[i] = int(up)
+        inside[i] = inside[n.parent] or n.tag in RAW or n.tag in OUTSIDE or is_boilerplate(n)
+        state[i] = not inside[i] and (state[n.parent] or n.tag in LANDMARK)
     return state if state.any() else None
 
 
-def _above(nodes: list[Node], i: int) -> Iterator[int]:
-    while (i := nodes[i].parent) >= 0:
-        yield i
-
-
-def train(pages: list[tuple[list[Node], np.ndarray]]) -> Model:
-    """Logistic weights and pair potentials from nodes with known states."""
-    rows, states = [], []
-    joint = np.ones((len(TAGS), 2, 2)) + 4 * np.eye(2)
-    for k, (nodes, state) in enumerate(pages):
-        rows.append(features(nodes, hide=k % 4 == 1))
-        states.append(state)
-        for i, n in enumerate(nodes[1:], 1):
-            if not speaks(n):
-                joint[_TAG[kind(n)], state[n.parent], state[i]] += 1
-    x, y = np.concatenate(rows), np.concatenate(states).astype(float)
-    beta, ridge = np.zeros(x.shape[1]), 0.01
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(beta)), x.T @ (y - p) - ridge * beta)
-        beta += step / max(1.0, float(np.abs(step).max()) / 2)
-        if np.abs(step).max() < 1e-6:
-            break
-    # How often a child of each kind takes a state under each state of its parent.
-    share = joint / joint.sum(axis=2, keepdims=True)
-    return Model(beta, np.maximum(np.log(share), -6))
+def labelled_by_text(page: str, content: set[str]) -> tuple[list[Node], np.ndarray]:
+    """Nodes and states where the trimmed texts in ``content`` are the main text.
+
+    A container is content if it holds some and nothing else.
+    """
+    nodes = parse(page)
+    good, bad = [0] * len(nodes), [0] * len(nodes)
+    for i in range(len(nodes) - 1, -1, -1):
+        n = nodes[i]
+        if n.text is not None and n.text.strip():
+            good[i], bad[i] = (1, 0) if n.text.strip() in content else (0, 1)
+        if i:
+            good[n.parent] += good[i]
+            bad[n.parent] += bad[i]
+    return nodes, np.array([int(g > 0 and b == 0 and n.tag not in ("#root", "html", "body")) for g, b, n in zip(good, bad, nodes)])
+
+
+#: Tags that only name a part of a page.
+NAMING = LANDMARK | OUTSIDE - {"head", "form", "button", "select"}
+
+
+def without_names(nodes: list[Node], plain: set[str], classes: bool = False) -> list[Node]:
+    """The same tree with the tags in ``plain`` as containers and, if asked, no class names."""
+    hidden = {"tag": "div"}
+    nothing = {"names": (), "apart": False, "good": False}
+    return [replace(n, **(hidden if n.tag in plain else {}), **(nothing if classes else {})) for n in nodes]
+
+
+def train(pages: list[tuple[list[Node], np.ndarray]], steps: int = 200, ridge: float = 0.02) -> Model:
+    """Weights and bonds of greatest likelihood, by gradient steps of adapted length."""
+    trees, states = [], []
+    for page, state in pages:
+        trees += [page, without_names(page, LANDMARK), without_names(page, NAMING), without_names(page, NAMING, True)]
+        states += [state] * 4
+    forest = Forest.of(trees)
+    x = np.concatenate([features(t).astype(np.float32) for t in trees])
+    y = np.concatenate(states)
+    child = forest.held  # roots hold none
+    kinds = forest.kinds[child]
+    equal = (y == y[forest.parent])[child]
+    # Bonds start as none for parts that stand in an article as well as outside.
+    at = np.concatenate([np.zeros(N_FEATURES), [0.0 if t in OUTSIDE or t == "apart" else 2.0 for t in TAGS]])
+    mean, square = np.zeros(len(at)), np.zeros(len(at))
+    for k in range(1, steps + 1):
+        odds, agree = forest.beliefs((x @ at[:N_FEATURES].astype(np.float32)).astype(float), at[N_FEATURES:])
+        off = y - 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        bonds = np.bincount(kinds, equal - agree[child], len(TAGS))
+        slope = np.concatenate([off.astype(np.float32) @ x, bonds]) - ridge * at
+        mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
+        size = 0.3 * (1 - k / (steps + 1))
+        at = at + size * mean / (1 - 0.9**k) / (np.sqrt(square / (1 - 0.99**k)) + 1e-8)
+        at[N_FEATURES:] = np.clip(at[N_FEATURES:], 0, 8)
+    return Model(at[:N_FEATURES], at[N_FEATURES:])
 
 
 #: Labelled pages that stand for usual ones; they always take part in the training.
@@ -329,6 +428,26 @@ EXAMPLES = (
 <div id="comments"><ul><li><p>First reader, who has an opinion.</p></li></ul><form><p>Leave a reply.</p></form></div></main><div class="popup"><p>Subscribe to our letter, it is free.</p></div><footer>Imprint</footer></body></html>""",
     """<html><body><article><header><h1>Title in a head</h1></header><section><h2>Section</h2><p>Text of a section, in a sentence.</p><figure><img><figcaption>What it shows.</figcaption></figure><pre>some = code</pre></section>
 <section class="related"><h2>More</h2><p>Other texts, on the same theme.</p></section><footer><p>By an author, on a day.</p></footer></article><aside><p>Aside from the text, this.</p></aside><form><p>Ask us, if you like.</p></form></body></html>""",
+    "<html><body><nav><a href='/'>Home</a></nav><article><header><p>By an author.</p></header><h1>Title between adverts</h1>"
+    + "<p>A paragraph of it.</p><div class='ad'>Buy it.</div><aside><p>See also this.</p></aside><section class='related'><ul><li><a href='/x'>Another</a></li></ul></section><form><p>Sign up.</p><button>Yes</button><select><option>One</option></select></form><nav><ul><li><a href='#p'>Part</a></li></ul></nav><div class='share'><p>Share it.</p></div><footer>Of the part</footer>" * 8
+    + "</article><footer>Imprint</footer></body></html>",
+)
+
+#: Labelled pages without landmark tags: (page, the texts that are content).
+PLAIN_EXAMPLES = (
+    (
+        """<html><body><div class="wrapper"><div class="top"><a href="/">Home</a><a href="/a">About us</a></div><div class="story"><h1>A title here</h1><div class="form-group"><p>Text in a group, as styled.</p></div>
+<p class="social-history">What the patient did, before and after.</p><div class="ad-box">Buy it now, and cheap.</div><div class="story-ad-hoc"><p>A report made in haste, which stays.</p></div><p>The last one. It has two sentences.</p></div>
+<div class="bottom">&copy; Some site, all rights.</div></div></body></html>""",
+        {"A title here", "Text in a group, as styled.", "What the patient did, before and after.", "A report made in haste, which stays.", "The last one. It has two sentences."},
+    ),
+    ("<html><body><div><p>One short paragraph.</p></div></body></html>", {"One short paragraph."}),
+    ("<html><body><h1>Title</h1><p>First, on the page itself.</p><p>Second, on the page itself.</p></body></html>", {"Title", "First, on the page itself.", "Second, on the page itself."}),
+    ("<html><body><div>Words without a paragraph, that are all there is.</div></body></html>", {"Words without a paragraph, that are all there is."}),
+    (
+        """<html><body><div><a href="/">Home</a> <a href="/n">News</a></div><div><h1>Head</h1><p>A short text.</p></div><div>Ask us about offers.</div><div>&copy; A site &middot; imprint</div></body></html>""",
+        {"Head", "A short text."},
+    ),
 )
 
 
@@ -338,14 +457,19 @@ def labelled_nodes(page: str) -> tuple[list[Node], np.ndarray] | None:
     return None if state is None else (nodes, state)
 
 
+def examples() -> list[tuple[list[Node], np.ndarray]]:
+    """The built-in pages with their states."""
+    return [labelled_nodes(x) for x in EXAMPLES] + [labelled_by_text(*x) for x in PLAIN_EXAMPLES]
+
+
 def learn(pages: DataFrame, html: str = "html", most: int = MAX_PAGES) -> Model:
     """A model from the pages that name their article."""
     own = pages.select(F.col(html).alias("html")).where(F.col("html").rlike("(?i)<(?:article|main)\\b"))
     hashed = own.select(F.xxhash64("html").alias("h"), "html")
     least = hashed.select("h").distinct().orderBy("h").limit(most)
     sample = hashed.join(F.broadcast(least), "h").dropDuplicates(["h"]).orderBy("h").select("html").collect()  # at most MAX_PAGES
-    known = [labelled_nodes(x) for x in EXAMPLES] * max(2, len(sample) // 20) + [labelled_nodes(r["html"]) for r in sample]
-    return train([k for k in known if k is not None])
+    known = [labelled_nodes(r["html"]) for r in sample]
+    return train(examples() * max(2, len(sample) // 10) + [k for k in known if k is not None])
 
 
 def main_texts(pages: DataFrame, model: Model, html: str = "html") -> DataFrame:
