@@ -7,8 +7,9 @@ File format. A dataset is a folder with three Parquet tables:
 * ``coded``: rows in order of (shard, segment), each a run of whole documents:
   ``doc_ids`` and ``sizes`` (ids per document), ``bits`` (big-endian 32-bit words of
   the codes), ``checkpoints`` (the bit offset of every block of ``BLOCK`` ids, so that
-  any block is decoded alone) and ``n_ids``.
-* ``starts``: (shard, segment, start): how many ids stand before each segment.
+  any block is decoded alone), ``n_ids``
+  and ``before`` (ids of the shard that stand before the segment);
+* ``starts``: (shard, start): how many ids stand before each of at most ``MAX_SHARDS`` shards.
 
 Documents are in ascending doc_id order over all segments. Code lengths come from
 global counts by package-merge with at most ``MAX_BITS`` bits. Decoding looks up the
@@ -42,6 +43,8 @@ MAX_BITS = 18
 #: Ids per block, and ids per segment (a document is never cut).
 BLOCK = 256
 SEGMENT = 1 << 19
+#: Shards of a dataset, at most: what its index holds and every task reads of it.
+MAX_SHARDS = 1 << 18
 #: Distinct words remembered per worker.
 REMEMBERED = 500_000
 #: Punctuation that is tokenized apart from the word that it ends.
@@ -117,18 +120,22 @@ class WordIds:
             # Special tokens are matched before folding: bytes of words with "<" stay. So do words
             # that aren't all ASCII: a letter may only compose with the mark after it in one case.
             stays = _near_sign(raw) if 60 in raw else None
-            far = np.concatenate(([0], np.cumsum(raw >= 128)))
-            if far[-1]:
-                mixed = far[ends] > far[starts]
+            far = np.flatnonzero(raw >= 128)
+            if len(far):
+                at = np.searchsorted(starts, far, side="right") - 1  # the word of each such byte
+                mixed = at[np.flatnonzero(np.diff(at, prepend=-1))]
                 edge = np.zeros(len(raw) + 1, dtype=np.int8)
                 edge[starts[mixed]] += 1
                 edge[ends[mixed]] -= 1
-                stays = np.cumsum(edge[:-1]).astype(bool) if stays is None else stays | np.cumsum(edge[:-1]).astype(bool)
+                inside = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+                stays = inside if stays is None else stays | inside
             raw = T.LOWER[raw] if stays is None else np.where(stays, raw, T.LOWER[raw])
         if self.cuts and len(starts):
             end, alnum = _ENDING[raw], _ALNUM[raw]
             cut = np.flatnonzero((end[1:] & alnum[:-1]) | (end[:-1] & alnum[1:])) + 1
-            cut = cut[~np.isin(cut, offsets, assume_unique=False)]
+            edges = np.searchsorted(cut, offsets)  # where a text ends, none is needed
+            edges = edges[edges < len(cut)][cut[edges[edges < len(cut)]] == offsets[edges < len(cut)]]
+            cut = np.delete(cut, edges)
             counts = counts + np.diff(np.searchsorted(cut, offsets))
             starts, ends = np.sort(np.concatenate((starts, cut))), np.sort(np.concatenate((ends, cut)))
         size = ends - starts
@@ -143,15 +150,16 @@ class WordIds:
         flat = np.append(np.frombuffer(self.pool, dtype=np.int32), np.int32(end_id)) if self.pool else np.array([end_id], np.int32)
         begin = np.frombuffer(self.begin, dtype=np.int64)
         own = np.fromiter(map(self.words.__getitem__, texts), dtype=np.int64, count=len(texts))
-        start = np.append(begin[own], len(flat) - 1)
-        length = np.append(begin[own + 1] - begin[own], 1)
+        start = np.append(begin[own], len(flat) - 1).astype(np.int32)
+        length = np.append(begin[own + 1] - begin[own], 1).astype(np.int32)
         # Words of all rows with an end mark after each row.
         row_ends = np.cumsum(counts)
-        marks = np.insert(words.indices.to_numpy(zero_copy_only=False).astype(np.int64), row_ends, len(texts))
+        marks = np.insert(words.indices.to_numpy(zero_copy_only=False), row_ends, len(texts))
         n = length[marks]
-        last = np.cumsum(n)
-        ids = flat[np.repeat(start[marks] - (last - n), n) + np.arange(last[-1] if len(last) else 0)]
-        return ids, np.diff(np.concatenate(([0], last[row_ends + np.arange(len(row_ends))])))
+        last = np.cumsum(n, dtype=np.int32)  # a slice holds fewer ids than bytes
+        at = np.repeat(start[marks] - (last - n), n)
+        at += np.arange(len(at), dtype=np.int32)
+        return flat[at], np.diff(last[row_ends + np.arange(len(row_ends))], prepend=0).astype(np.int64)
 
 
 def _near_sign(raw: np.ndarray) -> np.ndarray:
@@ -176,7 +184,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _WORD_IDS.get(tokenizer) or _WORD_IDS.setdefault(tokenizer, WordIds(tokenizer))
-        for batch in T.slices(batches, "text", 4 * T.SLICE_BYTES):
+        for batch in T.slices(batches, "text", 8 * T.SLICE_BYTES):
             ids, n = own.encode(batch.column("text"), end_id)
             kind = numbers(own.tokenizer.get_vocab_size())
             raw = ids.astype(kind).tobytes()
@@ -302,7 +310,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
 
     # Range bounds come from narrow keys; the checksum splits rows that share a doc_id.
     sums = rows.agg(F.sum("n").alias("n")).collect()[0]["n"] or 0
-    shards = max(1, -(-int(sums) // (4 * SEGMENT)))
+    shards = max(1, -(-int(sums) // max(4 * SEGMENT, -(-int(sums) // MAX_SHARDS))))
     ordered = rows.withColumn("_crc", F.crc32("ids")).repartitionByRange(shards, "doc_id", "_crc").sortWithinPartitions("doc_id", "_crc", "ids").drop("_crc")
     shared = spark.sparkContext.broadcast((ids, bits))
 
@@ -310,16 +318,16 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
         from pyspark import TaskContext
 
         book, shard, k = Book(*shared.value), TaskContext.get().partitionId(), 0
-        names, parts, size = [], [], 0
+        names, parts, size, before = [], [], 0, 0
 
         def full():
             coded, marks = book.encode(np.concatenate(parts))
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([shard], pa.int32()), pa.array([k], pa.int32()), pa.array([names], pa.list_(kind)), pa.array([[len(p) for p in parts]], pa.list_(pa.int64())),
-                    pa.array([size], pa.int64()), pa.array([coded], pa.binary()), pa.array([marks.tolist()], pa.list_(pa.int64())),
+                    pa.array([size], pa.int64()), pa.array([before], pa.int64()), pa.array([coded], pa.binary()), pa.array([marks.tolist()], pa.list_(pa.int64())),
                 ],
-                names=["shard", "segment", "doc_ids", "sizes", "n_ids", "bits", "checkpoints"],
+                names=["shard", "segment", "doc_ids", "sizes", "n_ids", "before", "bits", "checkpoints"],
             )
 
         kind = pa.int64()
@@ -331,22 +339,21 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
                 size += len(parts[-1])
                 if size >= SEGMENT:
                     yield full()
-                    names, parts, size, k = [], [], 0, k + 1
+                    names, parts, size, k, before = [], [], 0, k + 1, before + size
         if names:
             yield full()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    coded = ordered.select("doc_id", "ids").mapInArrow(segments, f"shard int, segment int, doc_ids array<{kind}>, sizes array<long>, n_ids long, bits binary, checkpoints array<long>")
+    coded = ordered.select("doc_id", "ids").mapInArrow(segments, f"shard int, segment int, doc_ids array<{kind}>, sizes array<long>, n_ids long, before long, bits binary, checkpoints array<long>")
     coded.write.option("compression", "none").parquet(f"{path}/coded")
     _with_starts(spark, path)
 
 
 def _with_starts(spark: SparkSession, path: str) -> None:
-    """The index table ``starts``: ids before each segment, from the segments' own counts."""
-    sizes = spark.read.parquet(f"{path}/coded").select("shard", "segment", "n_ids").orderBy("shard", "segment").collect()  # a row per SEGMENT ids
-    starts = accumulate((r["n_ids"] for r in sizes), initial=0)
-    rows = [(r["shard"], r["segment"], s) for r, s in zip(sizes, starts)]
-    spark.createDataFrame(rows, "shard int, segment int, start long").coalesce(1).write.parquet(f"{path}/starts")
+    """The index table ``starts``: ids before each shard, from the segments' own counts."""
+    sizes = spark.read.parquet(f"{path}/coded").groupBy("shard").agg(F.sum("n_ids").alias("n")).orderBy("shard").collect()  # MAX_SHARDS rows at most
+    rows = list(zip((r["shard"] for r in sizes), accumulate((r["n"] for r in sizes), initial=0)))
+    spark.createDataFrame(rows, "shard int, start long").coalesce(1).write.parquet(f"{path}/starts")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -387,7 +394,7 @@ def _decoded(spark: SparkSession, path: str, extra: str, make) -> DataFrame:
     coded = spark.read.parquet(f"{path}/coded")
     starts = spark.read.parquet(f"{path}/starts")
     doc_kind = coded.schema["doc_ids"].dataType.elementType.simpleString()
-    rows = coded.join(F.broadcast(starts), ["shard", "segment"])  # a row per SEGMENT ids
+    rows = coded.join(F.broadcast(starts), "shard").withColumn("start", F.col("start") + F.col("before"))  # MAX_SHARDS rows at most
     return rows.mapInArrow(run, f"doc_id {doc_kind}, start long, n_tokens long, {name} {kind}")
 
 
