@@ -271,3 +271,14 @@ def test_wide_attributes_are_not_broadcast(spark, monkeypatch):
     wide = scd.load_type_1(target, staging, "id", ["name"], loaded_at=datetime(2020, 2, 1))
     assert not session.fits_broadcast(wide.classified)
     assert _join_rows(wide.dimension) == plain
+
+
+@pytest.mark.parametrize("name", ['a "quoted" name', 'doubled ""quote', "back`tick", "two``ticks", "with.dot", "`"])
+def test_odd_names_are_quoted(spark, name):
+    from tidemark.functions.expressions import null_safe_difference, quote_identifier
+
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, None)], ["k", "v"]).withColumnRenamed("v", name)
+    right = spark.createDataFrame([(1, "b"), (2, "a"), (3, None)], ["k", "v"]).withColumnRenamed("v", name)
+    assert left.selectExpr(f"{quote_identifier(name)} AS v").columns == ["v"]
+    both = left.alias("l").join(right.alias("r"), "k")
+    assert sorted((r.k, r.differs) for r in both.select("k", null_safe_difference([name], "l", "r").alias("differs")).collect()) == [(1, True), (2, True), (3, False)]
