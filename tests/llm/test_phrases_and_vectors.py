@@ -70,6 +70,24 @@ def test_collocations_of_odd_texts(spark, odd_texts, monkeypatch, least, book, r
     assert rows_of(collocations.collocations(docs, least=least, top=50, book=book)) == plain_collocations(rows, least, top=50)
 
 
+def test_keys_are_dealt_by_the_bounds_they_reach():
+    rng = random.Random(3)
+    for edges, size in ((0, 50), (1, 50), (40, 6), (40, 400)):
+        bounds = sorted({bytes(rng.choices(b"abc", k=rng.randint(1, 4))) for _ in range(edges)})
+        keys = sorted(bytes(rng.choices(b"abc", k=rng.randint(1, 5))) for _ in range(size))
+        assert collocations._places(keys, bounds).tolist() == [sum(b <= k for b in bounds) for k in keys]
+
+
+def test_bounds_cut_the_windows_into_even_parts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    made = spark.sparkContext.broadcast(collocations.make_book(collocations.word_counts(docs), 5, 1000))
+    bounds = collocations.range_bounds(docs, made, 5, 7)
+    assert 0 < len(bounds) < 7 and bounds == sorted(set(bounds))
+    rows = collocations.windows(docs, made, 5, spark.sparkContext.broadcast(bounds)).groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n")).orderBy("part").collect()
+    assert all(bytes(a.high) < bytes(b.low) for a, b in zip(rows, rows[1:]))
+    assert max(r.n for r in rows) < 3 * sum(r.n for r in rows) / 7
+
+
 def test_collocations_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert collocations.collocations(docs).collect() == []

@@ -6,8 +6,9 @@ all windows that begin with it, so ``ROLLUP`` over the lead columns gives the co
 shorter length; nothing is exploded per length.
 
 Windows are coded by a book of the most frequent words (two or three bytes each; words beyond the
-book are spelled out, so any vocabulary works), summed within a slice of text, written, and sorted over
-the whole corpus by range partitions. In a sorted run the windows that share a beginning stand
+book are spelled out, so any vocabulary works), summed within a slice of text and moved once, straight to
+range partitions of the whole corpus, whose bounds come from the windows of a sample of texts (they set how
+even the partitions are, never what is counted). In a sorted run the windows that share a beginning stand
 together: a run that ends inside the batch and falls short of ``least`` can't reach it
 anywhere, so its windows are shortened to the longest beginning that can, and summed. Runs at the
 edges of a batch stay as they are. What is left for the ROLLUP is a small part, and its sums are
@@ -21,7 +22,8 @@ empty result. Further columns are ignored. Texts are read whole, of any length.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +45,11 @@ BOOK_WORD_BYTES = 64
 SLICE_BYTES = 8_000_000
 #: Sorted windows that one pass of the collapse looks at.
 RUN_ROWS = 500_000
-#: Sorted windows in a range partition.
+#: Windows in a range partition, about, unless that takes more than MAX_PARTS of them.
 PARTITION_ROWS = 1_000_000
+MAX_PARTS = 1 << 16
+#: Texts (at least) and windows for each range partition that its bounds are taken from; bytes of a bound.
+SAMPLE_TEXTS, SAMPLE_WINDOWS, BOUND_BYTES = 2_000, 16, 64
 #: Shares of a language's candidates that are ranked apart before the last ranking.
 SALTS = 32
 
@@ -147,15 +152,16 @@ def _side_by_side(columns: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
-def windows(docs: DataFrame, broadcast, width: int = WIDTH) -> DataFrame:
-    """(key, n): windows of two to ``width`` words and how often each occurs within a slice of text.
+def windows(docs: DataFrame, broadcast, width: int = WIDTH, bounds=None) -> DataFrame:
+    """(part, key, n): windows of two to ``width`` words and how often each occurs within a slice of text.
 
     ``key`` is the language's key and the words' codes one after the other, so it sorts windows with
-    the same beginning next to each other.
+    the same beginning next to each other. ``part`` says how many of ``bounds`` (a broadcast sorted
+    list of keys) the key has reached.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        book = broadcast.value
+        book, edges = broadcast.value, bounds.value if bounds else []
         for b in T.slices(batches, "text", SLICE_BYTES):
             words, index, lang, langs, follows = _words(b)
             if len(index) < 2:
@@ -194,16 +200,60 @@ def windows(docs: DataFrame, broadcast, width: int = WIDTH) -> DataFrame:
                 head = np.frombuffer(_lang_key(names[l]), dtype=np.uint8)
                 easy = own[~outside[own].any(axis=1)]
                 if len(easy):
-                    yield _packed(head, lead[easy], n[easy])
+                    keys = _packed(head, lead[easy])
+                    yield _dealt(_places(_Keys(keys), edges), keys, n[easy])
                 hard = own[outside[own].any(axis=1)]
                 for part in np.array_split(hard, max(1, -(-len(hard) // 100_000))) if len(hard) else []:
                     keys = [head.tobytes() + b"".join(_spelled(spelled[x - len(book.words) - 1]) if x > len(book.words) else _code(x) for x in row if x) for row in lead[part].tolist()]
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(n[part].astype(np.int64))], ["key", "n"])
+                    places = np.array([bisect_right(edges, x) for x in keys], dtype=np.int32)
+                    yield _dealt(places, pa.array(keys, pa.binary()), n[part])
 
-    return _texts(docs).mapInArrow(run, "key binary, n long")
+    return _texts(docs).mapInArrow(run, "part int, key binary, n long")
 
 
-def _packed(head: np.ndarray, lead: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+def _dealt(places: np.ndarray, keys: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(places), keys, pa.array(n.astype(np.int64))], ["part", "key", "n"])
+
+
+class _Keys(Sequence):
+    """An Arrow array of keys as a sequence of bytes."""
+
+    def __init__(self, keys: pa.Array):
+        self.keys = keys
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def __getitem__(self, i: int) -> bytes:
+        return self.keys[i].as_py()
+
+
+def _places(keys: Sequence[bytes], edges: list[bytes]) -> np.ndarray:
+    """How many of the sorted ``edges`` each of the sorted ``keys`` has reached."""
+    first, last = bisect_right(edges, keys[0]), bisect_right(edges, keys[len(keys) - 1])
+    if last - first > len(keys):
+        return np.array([bisect_right(edges, k) for k in keys], dtype=np.int32)
+    cuts = [0]
+    for e in edges[first:last]:
+        cuts.append(bisect_left(keys, e, lo=cuts[-1]))
+    return np.repeat(np.arange(first, last + 1, dtype=np.int32), np.diff([*cuts, len(keys)]))
+
+
+def range_bounds(docs: DataFrame, broadcast, width: int, parts: int) -> list[bytes]:
+    """At most ``parts - 1`` keys that cut the windows of a sample of texts into equal shares.
+
+    At most ``SAMPLE_WINDOWS`` keys a partition reach the driver.
+    """
+    if parts < 2:
+        return []
+    share = max(SAMPLE_TEXTS, parts) / max(1, docs.count())
+    texts = docs.sample(fraction=share, seed=7) if share < 1 else docs
+    keys = windows(texts, broadcast, width).select(F.substring("key", 1, BOUND_BYTES).alias("key"), "n")
+    found = sorted(bytes(r["key"]) for r in keys.orderBy(F.xxhash64("key"), "key").limit(SAMPLE_WINDOWS * parts).collect())
+    return sorted({found[len(found) * i // parts] for i in range(1, parts)}) if found else []
+
+
+def _packed(head: np.ndarray, lead: np.ndarray) -> pa.Array:
     """Keys of windows whose words are all in the book."""
     rows, width = lead.shape
     three = lead >= TWO_BYTES
@@ -212,8 +262,7 @@ def _packed(head: np.ndarray, lead: np.ndarray, n: np.ndarray) -> pa.RecordBatch
     full = np.concatenate((np.broadcast_to(head, (rows, len(head))), body.reshape(rows, 3 * width)), axis=1)
     used = np.concatenate((np.ones((rows, len(head)), dtype=bool), used), axis=1)
     at = np.concatenate(([0], np.cumsum(used.sum(axis=1)))).astype(np.int32)
-    keys = pa.BinaryArray.from_buffers(pa.binary(), rows, [None, pa.py_buffer(at), pa.py_buffer(full[used])])
-    return pa.RecordBatch.from_arrays([keys, pa.array(n.astype(np.int64))], ["key", "n"])
+    return pa.BinaryArray.from_buffers(pa.binary(), rows, [None, pa.py_buffer(at), pa.py_buffer(full[used])])
 
 
 def _cuts(keys: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -350,9 +399,10 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, width: int = WIDTH, book:
     spark = docs.sparkSession
     counts = written(word_counts(docs), "word-counts")
     made = spark.sparkContext.broadcast(make_book(counts, least, book))
-    found = written(windows(docs, made, width), "windows")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-found.count() // PARTITION_ROWS))
-    ordered = found.repartitionByRange(parts, "key").sortWithinPartitions("key")
+    total = counts.agg(F.sum("n").alias("n")).collect()[0]["n"] or 0  # a window a word at most
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MAX_PARTS, -(-int(total) // PARTITION_ROWS)))
+    bounds = spark.sparkContext.broadcast(range_bounds(docs, made, width, parts))
+    ordered = windows(docs, made, width, bounds).repartitionById(parts, F.col("part")).sortWithinPartitions("key")
     left = written(collapsed(ordered, made, least, width), "collapsed-windows")
     lead = [f"w{k}" for k in range(1, width + 1)]
     # Marginals: the last lead column that a grouping keeps names its length; where it is padding, the window was shorter.
