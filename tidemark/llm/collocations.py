@@ -43,6 +43,8 @@ BOOK = 1 << 18
 BOOK_WORD_BYTES = 64
 #: Bytes of text whose windows are summed together before they are written.
 SLICE_BYTES = 8_000_000
+#: Windows whose keys are made, and passed on, at once.
+PACKED_ROWS = 100_000
 #: Sorted windows that one pass of the collapse looks at.
 RUN_ROWS = 500_000
 #: Windows in a range partition, about, unless that takes more than MAX_PARTS of them.
@@ -147,7 +149,7 @@ def _side_by_side(columns: list[np.ndarray]) -> list[np.ndarray]:
             out[-1] = out[-1] << bits | c
             left -= bits
         else:
-            out.append(c)
+            out.append(c.astype(np.int64))
             left = 63 - bits
     return out
 
@@ -185,7 +187,7 @@ def windows(docs: DataFrame, broadcast, width: int = WIDTH, bounds=None) -> Data
             if not len(first):
                 continue
             # Lead columns: a number for each word, 0 for padding; words that are spelled out come after the book.
-            plain = np.where(code == -2, len(book.words) + 1 + np.arange(len(code)), code + 1)[at]
+            plain = np.where(code == -2, len(book.words) + 1 + np.arange(len(code)), code + 1).astype(np.int32)[at]
             lead = [np.where(length[first] > k, plain[np.minimum(first + k, len(plain) - 1)], 0) for k in range(width)]
             keys = _side_by_side([lang[first], *lead])
             order = np.lexsort(keys[::-1])
@@ -194,16 +196,18 @@ def windows(docs: DataFrame, broadcast, width: int = WIDTH, bounds=None) -> Data
             n = np.diff(np.append(np.flatnonzero(new), len(order)))
             once = order[new]
             lead, speaks = np.stack([x[once] for x in lead], axis=1), lang[first][once]
+            del keys, order, new, once, plain, coded, at, ok, going, length, index, lang, follows  # only the distinct windows are needed
             outside = lead > len(book.words)
             for l in np.unique(speaks):
                 own = np.flatnonzero(speaks == l)
                 head = np.frombuffer(_lang_key(names[l]), dtype=np.uint8)
                 easy = own[~outside[own].any(axis=1)]
-                if len(easy):
-                    keys = _packed(head, lead[easy])
-                    yield _dealt(_places(_Keys(keys), edges), keys, n[easy])
+                for lo in range(0, len(easy), PACKED_ROWS):
+                    part = easy[lo : lo + PACKED_ROWS]
+                    keys = _packed(head, lead[part])
+                    yield _dealt(_places(_Keys(keys), edges), keys, n[part])
                 hard = own[outside[own].any(axis=1)]
-                for part in np.array_split(hard, max(1, -(-len(hard) // 100_000))) if len(hard) else []:
+                for part in np.array_split(hard, max(1, -(-len(hard) // PACKED_ROWS))) if len(hard) else []:
                     keys = [head.tobytes() + b"".join(_spelled(spelled[x - len(book.words) - 1]) if x > len(book.words) else _code(x) for x in row if x) for row in lead[part].tolist()]
                     places = np.array([bisect_right(edges, x) for x in keys], dtype=np.int32)
                     yield _dealt(places, pa.array(keys, pa.binary()), n[part])
