@@ -10,7 +10,9 @@ from conftest import DIM_SCHEMA, END_OF_TIME, SMALL_SF
 from tidemark import schemas, session
 from tidemark.functions.expressions import null_safe_difference, quote_identifier
 from tidemark.operators import checks, extract, facts, joins
+from tidemark.plans import scenario
 from tidemark.plans.queries import QUERIES
+from tidemark.sources import fixtures
 
 DAY0 = datetime(2000, 1, 1)
 
@@ -75,6 +77,35 @@ def test_names_with_quotes_and_backticks(spark):
     assert spark.sql(f"SELECT {quote_identifier(name)} AS v FROM {{df}}", df=left).count() == 2
 
 
+def test_lines_are_shuffled_once_and_written_once(spark, monkeypatch):
+    monkeypatch.setattr(session, "BROADCAST_MAX_ROWS", 10)
+    with session.staging() as written:
+        lines = fixtures.lines(spark, SMALL_SF)
+    assert not written  # no table between the numbering and the join
+    lineitem, orders = (spark.read.parquet(f"{SMALL_SF}/{t}.parquet") for t in ("lineitem", "orders"))
+    assert lines.count() == lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).count()
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1 and "Exchange hashpartitioning(l_orderkey#, l_linenumber" not in plan
+    even = sorted(map(tuple, lines.collect()))
+    monkeypatch.setattr(joins, "HOT_MIN_ROWS", 8)  # some orders count as hot: the other plan, the same rows
+    hot = fixtures.lines(spark, SMALL_SF)
+    assert sorted(map(tuple, hot.select(*lines.columns).collect())) == even
+
+
+def test_a_load_writes_its_facts_once_and_sources_share_their_lines(spark):
+    sc = scenario.get(spark, SMALL_SF)
+    assert sorted(sc.v1.order_line.inputFiles()) == sorted(sc.v2.order_line.inputFiles())
+    staged, fact = sc.report1.details["stg_fact"], sc.state1.fact_order_line
+    assert sorted(staged.inputFiles()) == sorted(fact.inputFiles()) and staged.count() == fact.count()
+
+
+def test_nothing_is_shuffled_for_an_empty_table(spark, monkeypatch):
+    monkeypatch.setattr(session, "BROADCAST_MAX_ROWS", 10)
+    empty = session.with_known_rows(spark.createDataFrame([], "k string"), 0)
+    plan = joins.rows_with_keys(empty, "k", session.stage(spark.range(100).select(F.col("id").cast("string").alias("k"))))
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString() and plan.columns == ["k"]
+
+
 @pytest.mark.parametrize("name", ["scd1_stats", "scd2_stats", "fact_stats", "reload_stats", "load_report", "watermark_get", "watermark_window",
                                   "watermark_reset", "validate_history", "validate_history_clean"])
 def test_reports_are_planned_from_tables(spark, name):

@@ -115,6 +115,11 @@ def stage_facts(order_lines: DataFrame, dim_customer: DataFrame) -> DataFrame:
     )
 
 
+def staged_rows(loaded: DataFrame) -> DataFrame:
+    """Fact rows as staged, without the load's stamp."""
+    return with_known_rows(loaded.drop("loaded_at"), row_count(loaded))
+
+
 def duplicate_keys(df: DataFrame, key: str = "order_line_id") -> int:
     """How many key values occur more than once (0 when the key is unique)."""
     return int(df.groupBy(key).count().where(F.col("count") > 1).count())

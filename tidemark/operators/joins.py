@@ -20,6 +20,8 @@ from tidemark.session import broadcast_bound, fits_broadcast, known_rows, row_co
 # whatever the size of the table.
 HOT_MIN_ROWS = 1_000_000
 SALT_BUCKETS = 64
+# Hashes by which keys are counted before they are counted one by one.
+HOT_BUCKETS = 1024
 
 
 # Bits of the filter of staged keys; at most FILTER_BITS / 64 rows of 16 bytes are broadcast.
@@ -40,6 +42,8 @@ def rows_with_keys(df: DataFrame, key: str, keys: DataFrame, keys_key: str | Non
     hashes (of a fixed size) is, so that of ``df`` only the rows that pass it are
     shuffled for the exact join.
     """
+    if known_rows(df) == 0:
+        return df
     keys_key = keys_key or key
     wanted = keys.select(F.col(keys_key).alias(key))
     if fits_broadcast(keys):
@@ -54,13 +58,21 @@ def rows_with_keys(df: DataFrame, key: str, keys: DataFrame, keys_key: str | Non
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame | None:
     """Keys of ``df`` with at least ``min_rows`` rows, the largest first, or None.
 
-    Counted over all rows (map-side partial sums). At most ``broadcast_bound()``
-    keys are returned, so the result may be broadcast; the list only steers the
-    plan.
+    Counted over all rows (map-side partial sums): by a hash of the keys first, so
+    that only keys of a hash with as many rows are shuffled. At most
+    ``broadcast_bound()`` keys are returned, so the result may be broadcast; the
+    list only steers the plan.
     """
     min_rows = HOT_MIN_ROWS if min_rows is None else min_rows
     if row_count(df) < min_rows:
         return None
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(HOT_BUCKETS))
+    full = df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_rows)
+    full = [r["_b"] for r in full.collect()]  # HOT_BUCKETS rows at most
+    if not full:
+        return None
+    if len(full) < HOT_BUCKETS:
+        df = df.where(bucket.isin(full))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_rows)
     found = stage(counts.orderBy(F.desc("_n")).limit(broadcast_bound()).select(*keys))
     return found if row_count(found) > 0 else None

@@ -12,9 +12,10 @@ Readers see a load only from then on; folders of a load that died are never name
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,24 +84,38 @@ class Warehouse:
             df = df.join(F.broadcast(gone) if n <= BROADCAST_MAX_ROWS // 4 else gone, [key.name, RUN_COL], "left_anti")
         return with_known_rows(df.select(*columns), m.live(table))
 
-    def _write(self, df: DataFrame, path: str, by: str | None = None) -> int:
-        seen = Observation(f"written_{uuid.uuid4().hex[:8]}")
-        writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
-        (writer.partitionBy(by) if by else writer).parquet(path)
-        return int(seen.get["n"])
+    def _write(self, df: DataFrame, base: Manifest, table: str, folder: str, run_id: str, by: str | None = None, metrics: Sequence[Column] = ()) -> tuple[Manifest, dict]:
+        """(``base`` with one more run of ``table``, the metrics observed while it was written)."""
+        run, seen = f"{run_id}-{uuid.uuid4().hex[:8]}", Observation(f"written_{uuid.uuid4().hex[:8]}")
+        writer = df.observe(seen, F.count(F.lit(1)).alias("_n"), *metrics).write.mode("errorifexists").option("compression", "zstd")
+        (writer.partitionBy(by) if by else writer).parquet(f"{self.root}/{folder}{run}")
+        values = dict(seen.get)
+        rows = base.rows | {f"{table}/{run}": int(values.pop("_n"))}
+        return replace(base, runs=base.runs | {table: [*base.runs.get(table, []), run]}, rows=rows), values
 
     def append(self, base: Manifest, table: str, rows: DataFrame, run_id: str, gone: DataFrame | None = None) -> Manifest:
         """Write ``rows`` as a run of ``table`` and the (key, run) of the rows they supersede;
         the manifest that holds them, for ``read`` and in the end ``commit``."""
-        run = f"{run_id}-{uuid.uuid4().hex[:8]}"
+        now, _ = self.append_observed(base, table, rows, run_id)
+        return now if gone is None else self.supersede(now, table, gone, run_id)
+
+    def append_observed(self, base: Manifest, table: str, rows: DataFrame, run_id: str, metrics: Sequence[Column] = ()) -> tuple[Manifest, dict]:
+        """``append`` with aggregates of the rows, observed by the same write."""
         rows, by = rows.select(*TABLE_SCHEMAS[table].fieldNames()), None
-        if table == "fact_order_line":  # by order month; a hot month is spread over tasks
-            by, month = MONTH_COL, (F.col("order_date_key") / 100).cast("int")
-            rows = rows.withColumn(MONTH_COL, month).repartitionByRange(F.col(MONTH_COL), F.col(KEYS[table]))
-        counts = {table: self._write(rows, f"{self.root}/{table}/{RUN_COL}={run}", by)}
-        if gone is not None:
-            counts[f"{table}-gone"] = self._write(gone.select(KEYS[table], RUN_COL), f"{self.root}/{table}-gone/{run}")
-        return replace(base, runs=base.runs | {t: [*base.runs.get(t, []), run] for t in counts}, rows=base.rows | {f"{t}/{run}": n for t, n in counts.items()})
+        if table == "fact_order_line":  # by order month, from the tasks that hold the rows: no shuffle
+            by = MONTH_COL
+            rows = rows.withColumn(MONTH_COL, (F.col("order_date_key") / 100).cast("int"))
+        return self._write(rows, base, table, f"{table}/{RUN_COL}=", run_id, by, metrics)
+
+    def supersede(self, base: Manifest, table: str, gone: DataFrame, run_id: str) -> Manifest:
+        """Write the (key, run) of rows of ``table`` that are no longer current."""
+        return self._write(gone.select(KEYS[table], RUN_COL), base, f"{table}-gone", f"{table}-gone/", run_id)[0]
+
+    def last_run(self, base: Manifest, table: str) -> DataFrame:
+        """The rows of the run that was written last, also before its commit."""
+        run = base.runs[table][-1]
+        df = self.spark.read.schema(TABLE_SCHEMAS[table]).parquet(f"{self.root}/{table}/{RUN_COL}={run}")
+        return with_known_rows(df.select(*TABLE_SCHEMAS[table].fieldNames()), base.rows[f"{table}/{run}"])
 
     def rewrite(self, base: Manifest, table: str, rows: DataFrame, run_id: str) -> Manifest:
         """``rows`` as the whole of ``table``: one run, nothing superseded."""

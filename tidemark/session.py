@@ -79,7 +79,7 @@ _ROWS_ATTR = "_tidemark_rows"
 _BYTES_ATTR = "_tidemark_bytes"
 
 
-def stage(df: DataFrame, name: str = "stage", metrics: list | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", metrics: list | None = None, codec: str = "snappy") -> DataFrame:
     """Materialise a DataFrame reliably (read once, use many; P3).
 
     The rows are written as Parquet to a fresh directory under the shared
@@ -88,7 +88,8 @@ def stage(df: DataFrame, name: str = "stage", metrics: list | None = None) -> Da
     get column pruning and pushed filters. The row count is observed during
     the same write, so size checks on staged data cost no extra job; further
     aggregate ``metrics`` (named Columns) are observed the same way and read
-    back with ``observed(staged)``.
+    back with ``observed(staged)``. ``codec`` compresses what is written, which the
+    bounds on bytes are meant for: only tables that are never broadcast name another.
     """
     from pyspark.sql import Observation
 
@@ -99,7 +100,7 @@ def stage(df: DataFrame, name: str = "stage", metrics: list | None = None) -> Da
     obs = Observation(f"tidemark_{uuid.uuid4().hex[:8]}")
     # The observation sits on top of the plan, in the writing (result) stage,
     # whose task updates Spark applies once per partition even under retries.
-    df.observe(obs, F.count(F.lit(1)).alias("_n"), *(metrics or [])).write.mode("errorifexists").parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("_n"), *(metrics or [])).write.mode("errorifexists").option("compression", codec).parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     values = dict(obs.get)
     setattr(staged, _ROWS_ATTR, int(values.pop("_n")))
