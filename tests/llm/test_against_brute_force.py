@@ -136,6 +136,19 @@ def test_sentencepiece_is_exact(texts):
         assert own.decode(ids) == library.decode(ids)
 
 
+def test_units_merged_together_are_as_merged_alone():
+    """Many short units by rounds, longer ones and unknown characters beside them."""
+    own = sentencepiece_bpe.Codec(queries.tokenizer_file("piece_bpe_32k.model"))
+    rng = random.Random(11)
+    units = {"".join(rng.choices("aabeeinrsthou▁éß1.漢\U0001f600", k=rng.randint(1, 70))) for _ in range(3000)} | {"\n", "▁" * 64, "▁" * 65, "e" * 64}
+    assert any(len(u) > sentencepiece_bpe.SHORT for u in units)
+    got = own.encode_units(units)
+    assert got == {u: own.encode_unit(u) for u in units}
+    known = [u for u in units if all(c in own.ids for c in u)]
+    assert len(known) > 100 and all(list(got[u]) == [own.ids[p] for p in own.merged(u)] for u in known)
+    assert own.encode_all([None, "", "a b", "a\nb"]) == [[], [], own.encode("a b"), own.encode("a\nb")]
+
+
 def test_long_unbroken_text_is_exact():
     import random
 
