@@ -472,3 +472,15 @@ def test_signatures_hold_their_keyword_and_a_cue():
     for label, keyword, _, pattern in signatures:
         assert keyword in re.sub(r"[^a-z0-9 ]", " ", pattern).split(), (label, pattern)
         assert any(cue in pattern for cue in license_scan.CUES), pattern
+
+
+def test_words_with_accents_are_cut_and_encoded_as_by_the_tokenizer():
+    own = huffman_ids.WordIds(queries.tokenizer_file("word_bpe_49k.json"))
+    rng = random.Random(3)
+    signs = [*"aeTHnsIÉéßÑñÿÀ×÷ªº.,;:!?#*$%&'s-", "́", "̧", "̸", " ", " ", "  ", "\n", "1", "漢", "\U0001f600", "<", "<|endoftext|>", "Ğ", "İ", "ς", "Σ", "\xa0", " "]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(3000)] + [None, "", "É", ".", "É.", ".É", "×.a÷.", "Étudié. étudié, CIÓN!"]
+    ids, n = own.encode(pa.array(texts), huffman_ids.END_ID)
+    ends = np.cumsum(n)
+    for text, a, b in zip(texts, ends - n, ends):
+        assert ids[a:b].tolist() == own.tokenizer.encode(text or "", add_special_tokens=False).ids + [huffman_ids.END_ID]
+    assert own.latin and own.cuts_latin and "Étudié" in own.words and "Étudié." not in own.words

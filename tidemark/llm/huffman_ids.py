@@ -24,10 +24,11 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -54,15 +55,32 @@ ENDINGS = ".,;:!?#*$%&"
 
 
 _ENDING = np.array([b in ENDINGS.encode() for b in range(256)])
+#: Letters that UTF-8 writes as C3 and one more byte.
+LATIN = "".join(chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha())
+_SECOND = np.array([bytes([0xC3, b]).decode() in LATIN if 128 <= b < 192 else False for b in range(256)])
+_LATIN_WORD = re.compile(f"[A-Za-z{LATIN}]+")
+#: These letters as byte-level vocabularies write them: bytes without a sign of their own come after 255.
+_NO_SIGN = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or 174 <= b)]
+_SHIFTED = [(chr(b), chr(256 + k)) for k, b in enumerate(_NO_SIGN) if b >= 128 and bytes([0xC3, b]).decode() in LATIN.lower()]
 _ALNUM = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 for b in range(256)])
 
 
+def _byte_level(words: str) -> str:
+    """Lower-cased words of Latin letters in the signs of byte-level vocabularies."""
+    words = words.lower()
+    if not words.isascii():
+        words = words.encode().decode("latin-1")
+        for byte, sign in _SHIFTED:
+            words = words.replace(byte, sign)
+    return words
+
+
 class WordIds:
     """Ids of texts by a tokenizer that drops white space and never joins across it.
 
     Each distinct word (run of other characters) goes through the tokenizer once; words
-    are cut between ASCII letters or digits and ``ENDINGS`` if the tokenizer cuts there
-    as well, and A-Z are lower-cased before if it does that. New words are joined by a
+    are cut between letters (ASCII or of ``LATIN``) or ASCII digits and ``ENDINGS`` if the
+    tokenizer cuts there as well, and A-Z are lower-cased before if it does that. New words are joined by a
     special token, by which their ids are told apart.
     """
 
@@ -77,12 +95,16 @@ class WordIds:
         same = lambda *texts: len({tuple(sum((self.tokenizer.encode(t, add_special_tokens=False).ids for t in x), [])) for x in texts}) == 1
         self.folds = same(("Ab",), ("ab",))
         self.cuts = all(same((f"a1{p}b",), ("a1", p, "b")) for p in [*ENDINGS, ENDINGS])
-        # Lower-case Latin words need no folding, pattern or byte table, only the merges.
+        self.cuts_latin = self.cuts and all(same((f"{c}{p}{c}",), (c, p, c)) for c in LATIN for p in ENDINGS)
+        # Words of Latin letters need no pattern, only folding, signs for bytes and the merges.
         own = json.loads(self.tokenizer.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
         self.merges = Tokenizer.from_str(json.dumps(own))
         probes = ["!", "a", "z", "the", "and", "qxz", "tokenization", "thntblere"]
         alike = [self.merges.encode(p).ids == self.tokenizer.encode(p, add_special_tokens=False).ids for p in probes]
         self.plain = all(alike) and len(self.merges.encode("!").ids) == 1
+        probes = [*LATIN, *(f"{a}{b}" for a, b in zip(LATIN, LATIN[1:])), *(f"th{c}Tion" for c in LATIN)]
+        self.latin = self.plain and self.folds and all(
+            [t.id for t in self.merges.model.tokenize(_byte_level(p))] == self.tokenizer.encode(p, add_special_tokens=False).ids for p in probes)
         self.forget()
 
     def forget(self) -> None:
@@ -90,8 +112,12 @@ class WordIds:
         self.pool, self.begin = array("i"), array("q", [0])
 
     def _add(self, words: list[str]) -> None:
-        plain = [w for w in words if w.isascii() and w.isalpha() and w.islower()] if self.plain else []
-        self._add_joined(self.merges, plain, "!", self.merges.encode("!").ids[0] if plain else None)
+        if self.latin:
+            plain = [w for w in words if _LATIN_WORD.fullmatch(w)]
+            self._add_latin(plain)
+        else:
+            plain = [w for w in words if w.isascii() and w.isalpha() and w.islower()] if self.plain else []
+            self._add_joined(self.merges, plain, "!", self.merges.encode("!").ids[0] if plain else None)
         rest = [w for w in words if w not in self.words] if plain else words
         alone = [w for w in rest if self.mark is None or ("<" in w and any(s in w for s in self.special))]
         for w, e in zip(alone, self.tokenizer.encode_batch(alone, add_special_tokens=False)):
@@ -100,6 +126,17 @@ class WordIds:
             self.begin.append(len(self.pool))
         self._add_joined(self.tokenizer, [w for w in rest if w not in self.words] if alone else rest, self.mark, self.mark_id)
 
+    def _add_latin(self, words: list[str]) -> None:
+        """Encode words of Latin letters by the tokenizer's model alone."""
+        tokenize = self.merges.model.tokenize
+        for i in range(0, len(words), 4096):  # ids of so many words at once
+            group = words[i : i + 4096]
+            ids = [[t.id for t in tokenize(w)] for w in _byte_level("\n".join(group)).split("\n")]
+            first, before = len(self.begin) - 1, len(self.pool)
+            self.words.update(zip(group, range(first, first + len(group))))
+            self.pool.extend(chain.from_iterable(ids))
+            self.begin.extend(islice(accumulate(map(len, ids), initial=before), 1, None))
+
     def _add_joined(self, tokenizer, words: list[str], mark: str, mark_id: int) -> None:
         """Encode words with a mark between them, whose id none of them has."""
         groups = [words[i : i + 256] for i in range(0, len(words), 256)]
@@ -131,18 +168,23 @@ class WordIds:
                 stays = inside if stays is None else stays | inside
             raw = T.LOWER[raw] if stays is None else np.where(stays, raw, T.LOWER[raw])
         if self.cuts and len(starts):
-            end, alnum = _ENDING[raw], _ALNUM[raw]
-            cut = np.flatnonzero((end[1:] & alnum[:-1]) | (end[:-1] & alnum[1:])) + 1
+            sign = np.flatnonzero(_ENDING[raw])
+            before, after = sign[sign > 0], sign[sign < len(raw) - 1]
+            ended, begun = _ALNUM[raw[before - 1]], _ALNUM[raw[after + 1]]
+            if self.cuts_latin:
+                ended |= (before > 1) & (raw[before - 2] == 0xC3) & _SECOND[raw[before - 1]]
+                begun |= (raw[after + 1] == 0xC3) & _SECOND[raw[np.minimum(after + 2, len(raw) - 1)]]
+            cut = np.sort(np.concatenate((before[ended], after[begun] + 1)))
             edges = np.searchsorted(cut, offsets)  # where a text ends, none is needed
             edges = edges[edges < len(cut)][cut[edges[edges < len(cut)]] == offsets[edges < len(cut)]]
             cut = np.delete(cut, edges)
             counts = counts + np.diff(np.searchsorted(cut, offsets))
-            starts, ends = np.sort(np.concatenate((starts, cut))), np.sort(np.concatenate((ends, cut)))
+            starts, ends = (np.insert(x, np.searchsorted(x, cut), cut) for x in (starts, ends))
         size = ends - starts
         data = raw[T.NOT_SPACE[raw]]
         at = np.concatenate(([0], np.cumsum(size)))
         words = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(at), pa.py_buffer(data)).dictionary_encode()
-        texts = words.dictionary.to_pylist()
+        texts = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.words) > REMEMBERED:
             self.forget()
         if new := [w for w in texts if w not in self.words]:
